@@ -1,8 +1,9 @@
-"""Dates: parsing, calendar parts, and season and time-of-day labels."""
+"""Dates: parsing, calendar parts, and season and time-of-day labels.
 
-from __future__ import annotations
+The label functions take SQL text of the month, hour or day they work on.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,58 +27,64 @@ WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
 NOTED_FORMAT = "d-M-yyyy H:m"
 
 
+def text_array(names: list[str] | tuple[str, ...]) -> str:
+    """SQL array literal of plain names."""
+    return "array(" + ", ".join(f"'{name}'" for name in names) + ")"
+
+
 def parse_noted(text: Column, strict: bool = True) -> Column:
-    """Text to a zone-free timestamp; bad text raises, or is NULL if not strict."""
+    """Text to a zone-free timestamp; bad or no text raises, or is NULL if not strict."""
     if strict:
-        return F.to_timestamp_ntz(text, F.lit(NOTED_FORMAT))
+        return F.to_timestamp_ntz(F.coalesce(text, F.lit("")), F.lit(NOTED_FORMAT))
     return F.try_to_timestamp(text, F.lit(NOTED_FORMAT)).cast("timestamp_ntz")
 
 
-def _label(value: Column, labels: dict[str, tuple[int, ...]]) -> Column:
-    (first, members), *rest = labels.items()
-    return reduce(
-        lambda chain, item: chain.when(value.isin(*item[1]), F.lit(item[0])),
-        rest,
-        F.when(value.isin(*members), F.lit(first)),
+def _label(value: str, labels: dict[str, tuple[int, ...]], otherwise: str) -> Column:
+    branches = " ".join(
+        f"WHEN {value} IN ({', '.join(map(str, members))}) THEN '{label}'"
+        for label, members in labels.items()
     )
+    return F.expr(f"CASE {branches} ELSE {otherwise} END")
 
 
-def season_of(month: Column) -> Column:
+def season_of(month: str) -> Column:
     """Season label of a month number; anything but 1-12 is an error."""
-    problem = F.concat(F.lit("no season for month "), F.coalesce(month.cast("string"), F.lit("NULL")))
-    return _label(month, SEASON_MONTHS).otherwise(F.raise_error(problem).cast("string"))
+    problem = f"raise_error(concat('no season for month ', coalesce({month}, 'NULL')))"
+    return _label(month, SEASON_MONTHS, f"CAST({problem} AS STRING)")
 
 
-def timing_of(hour: Column) -> Column:
+def timing_of(hour: str) -> Column:
     """Time-of-day label of an hour; anything but 0-23 is ``X``."""
-    return _label(hour, TIMING_HOURS).otherwise(F.lit(UNKNOWN_TIMING))
+    return _label(hour, TIMING_HOURS, f"'{UNKNOWN_TIMING}'")
 
 
-def weekday_name(day: Column) -> Column:
+def weekday_name(day: str) -> Column:
     """Full English weekday name, independent of locale and time zone."""
-    return F.element_at(F.array(*map(F.lit, WEEKDAYS)), F.weekday(day) + 1)
+    return F.expr(f"element_at({text_array(WEEKDAYS)}, weekday({day}) + 1)")
 
 
-def weekday_ordinal(name: Column) -> Column:
+def weekday_ordinal(name: str) -> Column:
     """0 for Monday to 6 for Sunday."""
-    return (F.array_position(F.array(*map(F.lit, WEEKDAYS)), name) - 1).cast("int")
+    return F.expr(f"CAST(array_position({text_array(WEEKDAYS)}, {name}) - 1 AS INT)")
 
 
-def year_month(moment: Column) -> Column:
+def year_month(moment: str) -> Column:
     """``yyyy-MM`` text."""
-    return F.substring(F.to_date(moment).cast("string"), 1, 7)
-
-
-def calendar_parts(moment: Column) -> dict[str, Column]:
-    """The calendar features of a timestamp, by output name."""
-    return {
-        "year": F.year(moment),
-        "month": F.month(moment),
-        "day": F.dayofmonth(moment),
-        "weekday": weekday_name(moment),
-        "weekofyear": F.weekofyear(moment),
-        "hour": F.hour(moment),
-        "minute": F.minute(moment),
-        "season": F.when(moment.isNotNull(), season_of(F.month(moment))),
-        "timing": timing_of(F.hour(moment)),
+    return F.expr(f"substring(CAST(CAST({moment} AS DATE) AS STRING), 1, 7)")
+
+
+def calendar_parts(moment: str) -> list[Column]:
+    """The calendar features of a timestamp, named."""
+    numbers = {
+        "year": "year",
+        "month": "month",
+        "day": "dayofmonth",
+        "weekofyear": "weekofyear",
+        "hour": "hour",
+        "minute": "minute",
     }
+    parts = {name: F.expr(f"{part}({moment})") for name, part in numbers.items()}
+    parts["weekday"] = weekday_name(moment)
+    parts["season"] = season_of(f"month({moment})")
+    parts["timing"] = timing_of(f"hour({moment})")
+    return [column.alias(name) for name, column in parts.items()]

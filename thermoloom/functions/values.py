@@ -32,9 +32,9 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
     return F.bround(part / whole * 100, digits)
 
 
-def season_flags(season: Column) -> dict[str, Column]:
+def season_flags(season: str) -> dict[str, Column]:
     """One 0/1 column per label of the fixed season domain."""
     return {
-        f"season_{label}": F.when(season == label, 1).otherwise(0)
+        f"season_{label}": F.expr(f"CASE WHEN {season} = '{label}' THEN 1 ELSE 0 END")
         for label in sorted(SEASON_MONTHS)
     }

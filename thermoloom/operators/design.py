@@ -10,9 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import pi
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from thermoloom.functions.calendar import text_array
 from thermoloom.schemas import SERIES
 
 # Model settings.
@@ -52,10 +53,10 @@ class Term:
 
 
 def trend_terms() -> list[Term]:
-    hinges = [
+    changes = [
         Term(f"hinge_{j:02d}", CHANGEPOINT_SCALE, laplace=True) for j in range(1, CHANGEPOINTS + 1)
     ]
-    return [Term("intercept", TREND_SCALE), Term("slope", TREND_SCALE), *hinges]
+    return [Term("intercept", TREND_SCALE), Term("slope", TREND_SCALE), *changes]
 
 
 def season_terms(season: Season) -> list[Term]:
@@ -70,78 +71,78 @@ def season_terms(season: Season) -> list[Term]:
 TERMS = [*trend_terms(), *[term for season in SEASONS for term in season_terms(season)]]
 
 
-def fourier(season: Season, day: Column) -> list[Column]:
+def fourier(season: Season, day: str) -> str:
     """Sine and cosine of each order, on days counted from 1970-01-01."""
-    turn = F.unix_date(day) * (2 * pi) / season.period
-    return [wave(turn * n) for n in range(1, season.order + 1) for wave in (F.sin, F.cos)]
+    turn = f"unix_date({day}) * {2 * pi / season.period!r}D * n"
+    return f"flatten(transform(sequence(1, {season.order}), n -> array(sin({turn}), cos({turn}))))"
 
 
-def _knot(j: int) -> Column:
-    """The j-th changepoint: evenly spread positions in the early history."""
-    early = F.floor(F.col("observed") * CHANGEPOINT_RANGE)
-    count = F.least(F.lit(CHANGEPOINTS), early - 1)
-    position = F.bround((early - 1) * j / F.nullif(count, F.lit(0)), 0).cast("int")
-    return F.when(j <= count, F.get("history", position))
+def limited_to(active: str, season: Season, waves: str) -> str:
+    """The block on days of its season, zeros on others."""
+    return f"IF({active}, {waves}, array_repeat(0D, {2 * season.order}))"
+
+
+def hinges(day: str, knots: str) -> str:
+    """Days past each changepoint; zero before it, and for an absent one."""
+    return f"transform({knots}, knot -> CAST(greatest(datediff({day}, knot), 0) AS DOUBLE))"
 
 
 def design(train: DataFrame) -> DataFrame:
     """Model terms of every training day that has a value.
 
     Per row: ``x``, the 61 terms on the scaled axes; ``z``, the value divided by
-    ``y_scale``; and what maps the fit back (``start``, ``span`` in days,
-    ``knots``). One window over a series, which holds the training days only,
-    gives the scaling; later steps keep its partitioning.
+    ``y_scale``; and what maps the fit back (``start``, ``span`` in days and the
+    changepoint days ``knots``). One window over a series, which holds the
+    training days only, gives the scaling; later steps keep its partitioning.
+
+    Changepoints are evenly spread positions in the early history. The array
+    always has 25 elements; a short history fills it up with NULL.
     """
     series = Window.partitionBy(*SERIES)
-    scaled = (
-        train.where("y IS NOT NULL")
-        .withColumns(
-            {
-                "start": F.min("ds").over(series),
-                "end": F.max("ds").over(series),
-                "y_scale": F.max(F.abs("y")).over(series),
-                "history": F.sort_array(F.collect_list("ds").over(series)),
-            }
-        )
-        .withColumn("y_scale", F.when(F.col("y_scale") == 0, 1.0).otherwise(F.col("y_scale")))
-        .withColumn("observed", F.size("history"))
-        .withColumn("span", F.datediff("end", "start"))
-        .withColumn("knots", F.array(*[_knot(j) for j in range(1, CHANGEPOINTS + 1)]))
+    known = train.where("y IS NOT NULL")
+    scaled = known.withColumns(
+        {
+            "start": F.min("ds").over(series),
+            "end": F.max("ds").over(series),
+            "largest": F.max(F.abs("y")).over(series),
+            "observed": F.count(F.lit(1)).over(series),
+            "history": F.sort_array(F.collect_list("ds").over(series)),
+        }
+    ).selectExpr(
+        "*",
+        "datediff(end, start) AS span",
+        "IF(largest = 0, 1D, largest) AS y_scale",
+        f"floor(observed * {CHANGEPOINT_RANGE}D) - 1 AS last",
+        f"least({CHANGEPOINTS}, floor(observed * {CHANGEPOINT_RANGE}D) - 1) AS changes",
     )
-    trend = [
-        F.lit(1.0),
-        F.datediff("ds", "start") / F.col("span"),
-        *[
-            F.greatest(F.datediff("ds", F.col("knots")[j]), F.lit(0)) / F.col("span")
-            for j in range(CHANGEPOINTS)
-        ],
+    knots = f"""transform(sequence(1, {CHANGEPOINTS}), j ->
+        IF(j <= changes, get(history, CAST(bround(last * j / changes, 0) AS INT)), NULL))"""
+    blocks = [
+        "array(1D, datediff(ds, start) / span)",
+        f"transform({hinges('ds', 'knots')}, past -> past / span)",
     ]
-    waves = []
     for season in SEASONS:
-        columns = fourier(season, F.col("ds"))
-        if season.flag:
-            columns = [F.when(F.col(season.name), c).otherwise(0.0) for c in columns]
-        waves += columns
-    return scaled.select(
+        waves = fourier(season, "ds")
+        blocks.append(limited_to(season.name, season, waves) if season.flag else waves)
+    return scaled.withColumn("knots", F.expr(knots)).selectExpr(
         *SERIES,
         "ds",
-        "y",
         "start",
         "span",
         "y_scale",
         "knots",
         "observed",
-        (F.col("y") / F.col("y_scale")).alias("z"),
-        F.array(*trend, *waves).alias("x"),
+        "y / y_scale AS z",
+        f"concat({', '.join(blocks)}) AS x",
     )
 
 
 def design_matrix(designed: DataFrame) -> DataFrame:
     """The design in long form, one row per day and term."""
-    names = F.array(*[F.lit(term.name) for term in TERMS])
-    return designed.select(
-        *SERIES, "ds", F.posexplode("x").alias("position", "x")
-    ).select(*SERIES, "ds", names[F.col("position")].alias("term"), "x")
+    names = text_array([term.name for term in TERMS])
+    return designed.selectExpr(*SERIES, "ds", "posexplode(x) AS (position, x)").selectExpr(
+        *SERIES, "ds", f"{names}[position] AS term", "x"
+    )
 
 
 def gram(designed: DataFrame) -> DataFrame:
@@ -152,28 +153,22 @@ def gram(designed: DataFrame) -> DataFrame:
     term, not one per pair of terms, and the days are summed inside the
     partitioning that the design already has.
     """
-    size = len(TERMS) + 1
-    rows = designed.withColumn("v", F.concat("x", F.array("z"))).select(
-        *SERIES, "start", "span", "y_scale", "knots", "observed", "v", F.posexplode("v").alias("i", "vi")
-    )
-    hinge = F.get("knots", F.col("i") - 2)
-    return rows.groupBy(*SERIES, "i").agg(
-        F.max(F.when(F.col("i") == 1, F.col("start")).when(F.col("i") > 1, hinge)).alias("knot"),
-        F.max("span").alias("span"),
-        F.max("y_scale").alias("y_scale"),
-        F.max("observed").alias("observed"),
-        F.array(*[F.sum(F.col("vi") * F.col("v")[j]) for j in range(size)]).alias("products"),
+    products = ", ".join(f"sum(vi * v[{j}])" for j in range(len(TERMS) + 1))
+    return (
+        designed.withColumn("v", F.expr("concat(x, array(z))"))
+        .selectExpr("*", "posexplode(v) AS (i, vi)")
+        .withColumn("knot", F.expr("IF(i = 1, start, get(knots, i - 2))"))
+        .groupBy(*SERIES, "i")
+        .agg(
+            *[F.max(name).alias(name) for name in ("knot", "span", "y_scale", "observed")],
+            F.expr(f"array({products}) AS products"),
+        )
     )
 
 
 def gram_long(products: DataFrame) -> DataFrame:
     """The cross products in long form, one row per ordered pair of terms."""
-    names = F.array(*[F.lit(term.name) for term in TERMS], F.lit("y"))
-    return products.select(
-        *SERIES, "i", F.posexplode("products").alias("j", "product")
-    ).select(
-        *SERIES,
-        names[F.col("i")].alias("term_i"),
-        names[F.col("j")].alias("term_j"),
-        "product",
+    names = text_array([*[term.name for term in TERMS], "y"])
+    return products.selectExpr(*SERIES, "i", "posexplode(products) AS (j, product)").selectExpr(
+        *SERIES, f"{names}[i] AS term_i", f"{names}[j] AS term_j", "product"
     )

@@ -6,11 +6,20 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermoloom.functions.calendar import season_of
-from thermoloom.operators.design import CHANGEPOINTS, SEASONS, TERMS, design, fourier, gram
+from thermoloom.functions.calendar import season_of, text_array
+from thermoloom.operators.design import (
+    CHANGEPOINTS,
+    SEASONS,
+    TERMS,
+    design,
+    fourier,
+    gram,
+    hinges,
+    limited_to,
+)
 from thermoloom.schemas import MODEL, SERIES
 
 #: Fixed value: scale of the half-normal prior on the residual deviation.
@@ -90,41 +99,33 @@ def stamp_model(coefficients: DataFrame, ds: dt.date) -> DataFrame:
     return coefficients.withColumn("ds", F.lit(ds)).select(*MODEL.names)
 
 
-def _dot(coefs: list[Column], values: list[Column]) -> Column:
-    total = coefs[0] * values[0]
-    for coef, value in zip(coefs[1:], values[1:], strict=True):
-        total = total + coef * value
-    return total
-
-
 def score(points: DataFrame, model: DataFrame) -> DataFrame:
     """Add the model's value ``yhat`` to rows with ``source``, ``place`` and ``ds``.
 
     The model is folded to one row per series first, so a point meets one model
-    row and its 61 terms are plain column arithmetic: no exploded terms and no
-    aggregation over the points. Whether the model side is broadcast is left to
-    its measured size; a hot series is split by adaptive skew handling.
+    row and its 61 terms are array arithmetic within the row: no exploded terms
+    and no aggregation over the points. Whether the model side is broadcast is
+    left to its measured size; a hot series is split by adaptive skew handling.
     """
-    order = F.array(*[F.lit(term.name) for term in TERMS])
-    position = F.array_position(order, F.col("term"))
+    position = F.expr(f"array_position({text_array([term.name for term in TERMS])}, term)")
+    terms = F.array_sort(F.collect_list(F.struct(position.alias("position"), "coef", "knot")))
     folded = (
         model.where(position > 0)
         .groupBy(*SERIES)
-        .agg(F.array_sort(F.collect_list(F.struct(position.alias("p"), "coef", "knot"))).alias("terms"))
+        .agg(terms.alias("terms"))
+        .selectExpr(*SERIES, "terms.coef AS coefs", "terms.knot AS knots")
     )
-    ds = F.col("ds")
-    coefs = [F.col("terms")[k]["coef"] for k in range(len(TERMS))]
-    knots = [F.col("terms")[k]["knot"] for k in range(len(TERMS))]
-    trend = 2 + CHANGEPOINTS
-    total = coefs[0] + coefs[1] * F.datediff(ds, knots[1])
-    for k in range(2, trend):
-        total = total + coefs[k] * F.greatest(F.datediff(ds, knots[k]), F.lit(0))
-    at = trend
+    blocks = [
+        "array(1D, CAST(datediff(ds, knots[1]) AS DOUBLE))",
+        hinges("ds", f"slice(knots, 3, {CHANGEPOINTS})"),
+    ]
     for season in SEASONS:
-        waves = fourier(season, ds)
-        part = _dot(coefs[at : at + len(waves)], waves)
-        if season.flag:
-            part = F.when(season_of(F.month(ds)) == season.flag, part).otherwise(0.0)
-        total = total + part
-        at += len(waves)
-    return points.join(folded, list(SERIES)).withColumn("yhat", total).drop("terms")
+        waves = fourier(season, "ds")
+        blocks.append(limited_to(f"season = '{season.flag}'", season, waves) if season.flag else waves)
+    products = f"zip_with(coefs, concat({', '.join(blocks)}), (coef, x) -> coef * x)"
+    return (
+        points.join(folded, list(SERIES))
+        .withColumn("season", season_of("month(ds)"))
+        .withColumn("yhat", F.expr(f"aggregate({products}, 0D, (total, x) -> total + x)"))
+        .drop("season", "coefs", "knots")
+    )

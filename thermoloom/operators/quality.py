@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thermoloom.functions.calendar import calendar_parts, parse_noted
@@ -12,7 +12,13 @@ from thermoloom.functions.values import id_number, id_token, known
 
 
 def parse_readings(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Rename, drop the room column and parse the date."""
+    """Rename, drop the room column and parse the date.
+
+    If not strict, readings without a usable date or identifier are left out;
+    :func:`rejected_readings` has them. A strict parse gives no NULL dates.
+    """
+    if not strict:
+        raw = raw.where(~_refused())
     return raw.select(
         "source",
         "id",
@@ -30,29 +36,31 @@ def preprocess(raw: DataFrame, strict: bool = True) -> DataFrame:
     fourteen, and copies of a row are merged before it. Rows stay distinct by
     the full identifier, of which only the number is kept afterwards.
 
-    With ``strict`` unset, values that cannot be parsed become NULL instead of
-    failing the job; :func:`rejected_readings` finds those rows.
+    A reading that cannot be parsed fails the job, or is left out if not strict.
     """
     unique = parse_readings(raw, strict).dropDuplicates()
-    parts = calendar_parts(F.col("date"))
     return unique.select(
         "source",
         id_number(F.col("id"), strict).alias("id"),
         "date",
         "temp",
         "place",
-        *[column.alias(name) for name, column in parts.items()],
+        *calendar_parts("date"),
     )
 
 
-def rejected_readings(raw: DataFrame) -> DataFrame:
-    """Raw rows whose date or identifier a strict run would refuse."""
-    return raw.where(
+def _refused() -> Column:
+    return (
         parse_noted(F.col("noted_date"), strict=False).isNull()
         | id_number(F.col("id"), strict=False).isNull()
     )
 
 
+def rejected_readings(raw: DataFrame) -> DataFrame:
+    """Raw rows whose date or identifier a strict run would refuse."""
+    return raw.where(_refused())
+
+
 def duplicate_rows(raw: DataFrame) -> DataFrame:
     """Readings that occur more than once, with their number of copies."""
     readings = parse_readings(raw)

@@ -56,9 +56,8 @@ def in_out_daily(calendar: DataFrame) -> DataFrame:
 
 def daily_onehot(wide: DataFrame) -> DataFrame:
     """Add one 0/1 column per season of the day."""
-    flags = season_flags(F.col("season"))
     return (
-        wide.withColumn("season", season_of(F.month("daily")))
-        .withColumns(flags)
+        wide.withColumn("season", season_of("month(daily)"))
+        .withColumns(season_flags("season"))
         .drop("season")
     )

@@ -17,7 +17,6 @@ from thermoloom.schemas import SERIES
 
 def timestamp_rollup(readings: DataFrame) -> DataFrame:
     """Count, mean, lowest and highest temperature of each timestamp and place."""
-    parts = calendar_parts(F.col("date"))
     return (
         readings.groupBy("source", "date", "place")
         .agg(
@@ -26,7 +25,7 @@ def timestamp_rollup(readings: DataFrame) -> DataFrame:
             F.min("temp").alias("temp_min"),
             F.max("temp").alias("temp_max"),
         )
-        .select("*", *[column.alias(name) for name, column in parts.items()])
+        .select("*", *calendar_parts("date"))
     )
 
 
@@ -57,7 +56,7 @@ def value_share(df: DataFrame, key: str) -> DataFrame:
 
 def month_shares(df: DataFrame, within: tuple[str, ...] = ("source",)) -> DataFrame:
     """Percentage of readings per calendar month, to one decimal."""
-    return shares(df.withColumn("Month", year_month(F.col("date"))), "Month", within, digits=1)
+    return shares(df.withColumn("Month", year_month("date")), "Month", within, digits=1)
 
 
 def month_share(df: DataFrame, within: tuple[str, ...] = ("source",)) -> DataFrame:
@@ -78,7 +77,7 @@ def extremes(df: DataFrame, key: str, name: str) -> DataFrame:
 def series_mean(readings: DataFrame) -> DataFrame:
     """One row per timestamp and place: mean temperature, calendar columns, day."""
     return (
-        timestamp_rollup(readings.where("date IS NOT NULL AND place IS NOT NULL"))
+        timestamp_rollup(readings.where("place IS NOT NULL"))
         .drop("n", "temp_min", "temp_max")
         .withColumn("daily", F.to_date("date"))
     )
@@ -99,7 +98,7 @@ def mean_by_weekday(series: DataFrame) -> DataFrame:
     """As :func:`mean_by`, from Monday to Sunday."""
     return (
         mean_by(series, "weekday")
-        .withColumn("week_num", weekday_ordinal(F.col("weekday")))
+        .withColumn("week_num", weekday_ordinal("weekday"))
         .orderBy(*SERIES, "week_num")
         .drop("week_num")
     )

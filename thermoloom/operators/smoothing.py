@@ -4,13 +4,14 @@ A gap takes the value of a quintic smoothing spline whose squared residual over
 the ``m`` observed days is at most ``m``; observed days keep their value. Series
 without a gap are left alone.
 
-* The plain quintic polynomial is tried first, for all series at once: its
-  normal equations are moment sums, which Spark aggregates, and only one small
-  row per series is solved.
+* The plain quintic polynomial is tried first: its normal equations are moment
+  sums, which Spark aggregates, and only a 6x6 system per series is solved.
 * Series it does not fit well enough get a spline. Its knots are equally spaced
   and doubled until the fit is close enough, and then the roughness at the knots
   is reduced until the squared residual is ``m`` (Dierckx 1975; Eilers and Marx
-  1996). Such a group holds one row per calendar day, never single readings.
+  1996).
+
+A series reaches a worker as one value per calendar day, never as readings.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,13 +31,6 @@ MIN_DAYS = DEGREE + 1
 #: The residual target is met to this relative precision.
 TOLERANCE = 1e-3
 
-FIT = T.StructType(
-    [
-        T.StructField("coef", T.ArrayType(T.DoubleType())),
-        T.StructField("rss", T.DoubleType()),
-    ]
-)
-
 
 def _on_unit_axis(calendar: DataFrame) -> DataFrame:
     """Add ``t``: the day's place in its series, from -1 to 1."""
@@ -46,87 +40,73 @@ def _on_unit_axis(calendar: DataFrame) -> DataFrame:
     return calendar.withColumn("t", F.coalesce(t, F.lit(0.0)))
 
 
-def _moments(placed: DataFrame) -> DataFrame:
-    seen = F.col("temp_mean").isNotNull()
-    power = [F.lit(1.0), F.col("t")]
-    while len(power) <= 2 * DEGREE:
-        power.append(power[-1] * F.col("t"))
-    return placed.groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("days"),
-        F.count("temp_mean").alias("m"),
-        *[F.sum(F.when(seen, p)).alias(f"t{k}") for k, p in enumerate(power)],
-        *[F.sum(p * F.col("temp_mean")).alias(f"yt{k}") for k, p in enumerate(power[: DEGREE + 1])],
-        F.sum(F.col("temp_mean") * F.col("temp_mean")).alias("yy"),
-    )
+def _moment_sums() -> list[Column]:
+    power = [" * ".join(["1D"] + ["t"] * k) for k in range(2 * DEGREE + 1)]
+    sums = {
+        "days": "count(1)",
+        "m": "count(temp_mean)",
+        **{f"t{k}": f"sum(IF(temp_mean IS NULL, NULL, {p}))" for k, p in enumerate(power)},
+        **{f"yt{k}": f"sum(temp_mean * {p})" for k, p in enumerate(power[:MIN_DAYS])},
+        "yy": "sum(temp_mean * temp_mean)",
+    }
+    return [F.expr(f"{total} AS {name}") for name, total in sums.items()]
 
 
 def quintic_moments(calendar: DataFrame) -> DataFrame:
     """Sums of t^k (k to 10), y*t^k (k to 5) and y*y over the observed days."""
-    return _moments(_on_unit_axis(calendar))
+    return _on_unit_axis(calendar).groupBy(*SERIES).agg(*_moment_sums())
 
 
-@F.pandas_udf(FIT)
-def _solve_quintic(
-    m: pd.Series, powers: pd.Series, products: pd.Series, yy: pd.Series
-) -> pd.DataFrame:
-    """Least squares for a batch of series; too few days give no fit."""
+def _smooth_values(
+    powers: pd.Series, products: pd.Series, yy: pd.Series, times: pd.Series, values: pd.Series
+) -> pd.Series:
+    """Smooth value of every day of a batch of series."""
     sums, right = np.stack(powers.to_numpy()), np.stack(products.to_numpy())
-    order = np.add.outer(np.arange(MIN_DAYS), np.arange(MIN_DAYS))
-    normal = sums[:, order]
-    normal[m.to_numpy() < MIN_DAYS] = np.eye(MIN_DAYS)
+    normal = sums[:, np.add.outer(np.arange(MIN_DAYS), np.arange(MIN_DAYS))]
+    observed = sums[:, 0]
+    normal[observed < MIN_DAYS] = np.eye(MIN_DAYS)
     coef = np.linalg.solve(normal, right[..., None])[..., 0]
-    rss = yy.to_numpy() - (coef * right).sum(axis=1)
-    return pd.DataFrame({"coef": list(coef), "rss": np.maximum(rss, 0.0)})
-
-
-def _fill_with_spline(days: pd.DataFrame) -> pd.DataFrame:
-    days = days.sort_values("daily", ignore_index=True)
-    seen = days["temp_mean"].notna().to_numpy()
-    u = (days["t"].to_numpy() + 1) / 2
-    fitted = smoothing_spline(u[seen], days["temp_mean"].to_numpy()[seen], u[~seen])
-    days.loc[~seen, "temp_mean"] = fitted
-    return days[["source", "place", "daily", "temp_mean"]].assign(filled=~seen)
+    close = yy.to_numpy() - (coef * right).sum(axis=1) <= observed * (1 + TOLERANCE)
+    out = []
+    for t, y, c, polynomial in zip(times, values, coef, close, strict=True):
+        seen = ~np.isnan(y)
+        if seen.all():
+            out.append(y)
+        elif polynomial:
+            out.append(np.polynomial.polynomial.polyval(t, c))
+        else:
+            out.append(smoothing_spline((t[seen] + 1) / 2, y[seen], (t + 1) / 2))
+    return pd.Series(out)
 
 
 def fill_gaps(calendar: DataFrame) -> DataFrame:
     """The calendar with its gaps filled, and which days those are.
 
-    All steps are keyed by series, so the calendar is shuffled once. A series
-    with gaps and fewer than six observed days fails the job.
+    Everything is keyed by series, so the calendar is shuffled at most once. A
+    series with gaps and fewer than six observed days fails the job.
     """
-    placed = _on_unit_axis(calendar)
-    moments = _moments(placed).select(
-        *SERIES,
-        "days",
-        "m",
-        F.array(*[f"t{k}" for k in range(2 * DEGREE + 1)]).alias("powers"),
-        F.array(*[f"yt{k}" for k in range(DEGREE + 1)]).alias("products"),
-        "yy",
-    )
-    few = F.concat_ws(" ", "source", "place", F.lit("has too few days to fill its gaps:"), "m")
-    gappy = F.col("days") > F.col("m")
-    fits = moments.withColumn("fit", _solve_quintic("m", "powers", "products", "yy")).select(
-        *SERIES,
-        "fit.coef",
-        F.when(gappy & (F.col("m") < MIN_DAYS), F.raise_error(few).cast("boolean"))
-        .otherwise(gappy & (F.col("fit.rss") > F.col("m") * (1 + TOLERANCE)))
-        .alias("needs_spline"),
+    smooth = F.pandas_udf(_smooth_values, T.ArrayType(T.DoubleType()))
+    point = F.struct("daily", "t", "temp_mean")
+    series = (
+        _on_unit_axis(calendar)
+        .groupBy(*SERIES)
+        .agg(*_moment_sums(), F.sort_array(F.collect_list(point)).alias("points"))
+        .where(
+            f"""CASE WHEN days = m OR m >= {MIN_DAYS} THEN true ELSE CAST(raise_error(
+            concat_ws(' ', source, place, 'has too few days to fill its gaps:', m)) AS BOOLEAN) END"""
+        )
     )
-    joined = placed.join(fits, list(SERIES))
-    polynomial = F.col("coef")[DEGREE]
-    for k in reversed(range(DEGREE)):
-        polynomial = polynomial * F.col("t") + F.col("coef")[k]
-    smooth = joined.where(~F.col("needs_spline")).select(
+    powers = F.expr(f"array({', '.join(f't{k}' for k in range(2 * DEGREE + 1))})")
+    products = F.expr(f"array({', '.join(f'yt{k}' for k in range(MIN_DAYS))})")
+    values = smooth(powers, products, "yy", "points.t", "points.temp_mean")
+    return series.select(
+        *SERIES, F.explode(F.arrays_zip("points", values.alias("smooth"))).alias("day")
+    ).select(
         *SERIES,
-        "daily",
-        F.coalesce("temp_mean", polynomial).alias("temp_mean"),
-        F.col("temp_mean").isNull().alias("filled"),
-    )
-    rough = joined.where("needs_spline").groupBy(*SERIES).applyInPandas(
-        _fill_with_spline,
-        "source string, place string, daily date, temp_mean double, filled boolean",
+        "day.points.daily",
+        F.coalesce("day.points.temp_mean", "day.smooth").alias("temp_mean"),
+        F.col("day.points.temp_mean").isNull().alias("filled"),
     )
-    return smooth.unionByName(rough)
 
 
 def _basis(u: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:

@@ -56,28 +56,24 @@ def train_frame(
     A source with fewer days fails the job, and says so.
     """
     series = Window.partitionBy(*SERIES)
-    short = F.concat_ws(
-        " ", F.lit("source"), "source", F.lit("has"), "available", F.lit(f"days, {days} are needed")
-    )
-    enough = F.when(
-        F.col("available") >= days, F.col("position") <= days
-    ).otherwise(F.raise_error(short).cast("boolean"))
+    seasons = ("Monsoon", "Post_Monsoon", "Winter")
     return (
         onehot.unpivot(
-            ["source", "daily", "season_Monsoon", "season_Post_Monsoon", "season_Winter"],
+            ["source", "daily", *[f"season_{season}" for season in seasons]],
             list(places),
             "place",
             "y",
         )
         .withColumn("position", F.row_number().over(series.orderBy("daily")))
         .withColumn("available", F.count(F.lit(1)).over(series))
-        .where(enough)
-        .select(
+        .where(
+            f"""CASE WHEN available >= {days} THEN position <= {days} ELSE CAST(raise_error(
+            concat_ws(' ', source, 'has', available, 'days,', {days}, 'are needed')) AS BOOLEAN) END"""
+        )
+        .selectExpr(
             *SERIES,
-            F.col("daily").alias("ds"),
+            "daily AS ds",
             "y",
-            F.col("season_Monsoon").cast("boolean").alias("monsoon"),
-            F.col("season_Post_Monsoon").cast("boolean").alias("post_monsoon"),
-            F.col("season_Winter").cast("boolean").alias("winter"),
+            *[f"season_{season} = 1 AS {season.lower()}" for season in seasons],
         )
     )

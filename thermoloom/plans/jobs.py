@@ -42,7 +42,7 @@ def training_data(
 
 def reports(rollup: DataFrame) -> dict[str, DataFrame]:
     """All share, extreme and mean tables from the per-timestamp rollup."""
-    series = rollup.where("date IS NOT NULL AND place IS NOT NULL").withColumn(
+    series = rollup.where("place IS NOT NULL").withColumn(
         "daily", F.to_date("date")
     )
     return {

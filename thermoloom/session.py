@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Capturing the Python call site of every column costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

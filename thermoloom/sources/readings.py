@@ -41,6 +41,10 @@ def write_landing(raw: DataFrame, root: str) -> None:
     raw.write.partitionBy("source").option("header", "true").csv(root)
 
 
+#: Columns of the event table that readings are derived from.
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+
+
 def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw readings derived from all rows of the ``events`` table.
 
@@ -48,7 +52,7 @@ def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Users decide the source and shift the date, which spreads the readings over
     most of a year. The copies come from an explode, so the table is scanned once.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     copies = F.when(F.col("event_id") % 20 == 0, 2).otherwise(1)
     shifted = F.col("ts") + F.make_dt_interval(((F.col("user_id") * 37) % 330).cast("int"))
     return events.select(
