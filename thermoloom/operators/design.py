@@ -140,7 +140,7 @@ def design(train: DataFrame) -> DataFrame:
 def design_matrix(designed: DataFrame) -> DataFrame:
     """The design in long form, one row per day and term."""
     names = text_array([term.name for term in TERMS])
-    return designed.selectExpr(*SERIES, "ds", "posexplode(x) AS (position, x)").selectExpr(
+    return designed.selectExpr(*SERIES, "ds", "posexplode_outer(x) AS (position, x)").selectExpr(
         *SERIES, "ds", f"{names}[position] AS term", "x"
     )
 
@@ -156,7 +156,7 @@ def gram(designed: DataFrame) -> DataFrame:
     products = ", ".join(f"sum(vi * v[{j}])" for j in range(len(TERMS) + 1))
     return (
         designed.withColumn("v", F.expr("concat(x, array(z))"))
-        .selectExpr("*", "posexplode(v) AS (i, vi)")
+        .selectExpr("*", "posexplode_outer(v) AS (i, vi)")
         .withColumn("knot", F.expr("IF(i = 1, start, get(knots, i - 2))"))
         .groupBy(*SERIES, "i")
         .agg(

@@ -81,15 +81,15 @@ def run_pipeline(
 ) -> dict[str, DataFrame]:
     """Preprocess, report and train; every result is a table under ``workspace``.
 
-    The readings are scanned and shuffled once, into the feature table; the
-    rollup of that table is written too, and everything after it reads only the
-    rollup or less. Both tables cut lineage, so losing executors later never
-    means going back to the raw input.
+    The readings are scanned and shuffled once, into the feature table, which is
+    written straight from the deduplication. The rollup of that table is written
+    too, and everything after it reads only the rollup or less. Both tables cut
+    lineage, so losing executors later never means going back to the raw input.
     """
     readings = write_stage(preprocess(raw), f"{workspace}/readings")
-    rollup = write_stage(timestamp_rollup(readings), f"{workspace}/rollup")
+    rollup = write_stage(timestamp_rollup(readings), f"{workspace}/rollup", rebalance=True)
     tables = {
-        name: write_stage(table, f"{workspace}/reports/{name}")
+        name: write_stage(table, f"{workspace}/reports/{name}", rebalance=True)
         for name, table in reports(rollup).items()
     }
     daily = fill_gaps(daily_calendar(tables["mean_by_day"])).drop("filled")

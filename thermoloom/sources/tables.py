@@ -14,12 +14,18 @@ from thermoloom.schemas import MODEL
 MODEL_PARTITIONS = ("ds", "source", "place")
 
 
-def write_stage(df: DataFrame, path: str) -> DataFrame:
+def write_stage(df: DataFrame, path: str, rebalance: bool = False) -> DataFrame:
     """Write an intermediate table by source and return it as read back.
 
     The table holds typed columns and no index; reading it back cuts lineage, so
     a lost executor repeats only the later stages.
+
+    Every task writes one file per source it holds rows of. ``rebalance`` adds a
+    shuffle that gathers each source into files of the advisory partition size,
+    splitting a hot source over many tasks; it pays off with many sources.
     """
+    if rebalance:
+        df = df.hint("rebalance", "source")
     df.write.mode("overwrite").partitionBy("source").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
