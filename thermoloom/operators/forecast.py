@@ -38,8 +38,11 @@ def posterior_mode(
     Priors are normal, or Laplace for the changes of slope, and half-normal for
     the residual deviation. The Laplace prior is majorised by a normal one, so
     every step is a ridge solve followed by the exact update of the deviation.
+    The first term is the intercept; a series of equal values needs no other.
     """
     normal, right, total = products[:-1, :-1], products[:-1, -1], products[-1, -1]
+    if right[0] ** 2 == observed * total:  # all values are equal
+        return np.append(right[0] / observed, np.zeros(len(right) - 1))
     coef, variance = np.zeros(len(right)), SIGMA_SCALE**2
     precision = np.where(laplace, 1 / scales, 1 / scales**2)
     for _ in range(MAX_STEPS):

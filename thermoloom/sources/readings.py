@@ -55,6 +55,7 @@ def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     copies = F.when(F.col("event_id") % 20 == 0, 2).otherwise(1)
     shifted = F.col("ts") + F.make_dt_interval(((F.col("user_id") * 37) % 330).cast("int"))
+    text = shifted.cast("string")  # no zone is involved, unlike in date_format
     return events.select(
         F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
         "*",
@@ -63,7 +64,10 @@ def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("__export__.temp_log_"), F.col("event_id"), F.lit("_"), F.col("user_id")
         ).alias("id"),
         F.lit("Room Admin").alias("room_id/id"),
-        F.date_format(shifted, "dd-MM-yyyy HH:mm").alias("noted_date"),
+        F.concat(
+            F.substring(text, 9, 2), F.substring(text, 5, 4), F.substring(text, 1, 4),
+            F.substring(text, 11, 6),
+        ).alias("noted_date"),
         F.bround("value", 0).alias("temp"),
         F.when(F.col("event_type").isin("view", "error"), "In").otherwise("Out").alias("out/in"),
         F.element_at(
