@@ -38,7 +38,7 @@ def archive_readings(raw: DataFrame, path: str, run_id: str, moment: dt.datetime
     """
     if not re.fullmatch(r"[\w.-]+", run_id):
         raise ValueError(f"run_id {run_id!r} does not fit in a directory name")
-    stamped = raw.withColumn("ts", F.lit(moment).cast("timestamp_ntz"))
+    stamped = raw.withColumn("ts", F.lit(str(moment)).cast("timestamp_ntz"))
     folder = f"{path.rstrip('/')}/run_id={run_id}"
     stamped.write.mode("overwrite").parquet(folder)
     return (
