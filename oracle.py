@@ -209,6 +209,15 @@ QUALIFY row_number() OVER (PARTITION BY source, date, place ORDER BY id, temp) =
 SELECT source, date, place, n, temp, temp_min, temp_max, {_PARTS}
 FROM (SELECT source, date, place, count(*) AS n, avg(temp) AS temp, min(temp) AS temp_min,
              max(temp) AS temp_max FROM readings GROUP BY ALL)""",
+        "daily_cube": f"""WITH {_READINGS}
+SELECT source, place, daily, timing, n, temp_sum, temp_count, temp_min, temp_max,
+       month, weekofyear, weekday, season
+FROM (SELECT source, place, CAST(date AS DATE) AS daily, timing, month, weekofyear, weekday, season,
+             CAST(sum(n) AS BIGINT) AS n, round(sum(temp), 6) AS temp_sum,
+             count(temp) AS temp_count, min(low) AS temp_min, max(high) AS temp_max
+      FROM (SELECT source, date, place, timing, month, weekofyear, weekday, season, count(*) AS n,
+                   avg(temp) AS temp, min(temp) AS low, max(temp) AS high FROM readings GROUP BY ALL)
+      GROUP BY ALL)""",
         "month_share": f"""WITH {_READINGS} {_share('"Month"', digits=1, expression=_MONTH)}""",
         "place_share": f"WITH {_READINGS} {_share('place')}",
         "season_share": f"WITH {_READINGS} {_share('season')}",

@@ -58,9 +58,12 @@ def test_only_the_first_days_are_used(spark):
     assert (last.y, last.monsoon, last.post_monsoon, last.winter) == (133, False, True, False)
 
 
-def test_short_series_fail(spark):
+def test_short_series_fail_or_are_left_out(spark):
+    short = daily_onehot(_wide(spark, 100, float))
     with pytest.raises(Exception, match="s has 100 days, 134 are needed"):
-        train_frame(daily_onehot(_wide(spark, 100, float))).collect()
+        train_frame(short).collect()
+    both = short.unionByName(daily_onehot(_wide(spark, 134, float, source="long")))
+    assert {r.source for r in train_frame(both, strict=False).collect()} == {"long"}
 
 
 def test_design_and_gram_against_plain_python(spark):

@@ -180,5 +180,41 @@ def test_hot_keys_are_reduced_before_the_shuffle(spark):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize(
+    "name, shuffles",
+    [
+        ("preprocess", 1),
+        ("duplicate_rows", 1),
+        ("timestamp_rollup", 2),
+        ("mean_by_day", 3),
+        ("season_minmax", 1),
+        ("daily_calendar", 4),
+        ("daily_filled", 4),
+        ("in_out_daily", 5),
+        ("model_coefficients", 6),
+    ],
+)
+def test_number_of_shuffles(spark, name, shuffles):
+    """At most one per operator; extremes need no distinct rows, and Spark sees that."""
+    frame = entry.queries()[name](spark, "/root/testdata/sf0.001")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == shuffles
+    assert plan.count("FileScan") == 1
+    assert "SinglePartition" not in plan
+
+
+def test_filters_and_columns_reach_the_stage_table(spark, tmp_path):
+    stage = jobs.write_stage(
+        entry.queries()["preprocess"](spark, "/root/testdata/sf0.001"), str(tmp_path / "stage")
+    )
+    frame = rollups.mean_by(
+        rollups.series_mean(stage.where("place = 'Out' AND source = 'site_a'")), "month"
+    )
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(place,Out)" in plan
+    assert "PartitionFilters: [isnotnull(source" in plan
+    assert "ReadSchema: struct<date:timestamp_ntz,temp:double,place:string>" in plan
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from thermoloom.operators import reshape, rollups, timeseries
 from thermoloom.operators.quality import preprocess
 from thermoloom.plans.jobs import reports
@@ -86,11 +88,12 @@ def test_onehot_has_all_seasons(spark):
     assert (row.season_Monsoon, row.season_Post_Monsoon, row.season_Summer, row.season_Winter) == (1, 0, 0, 0)
 
 
-def test_reports_from_rollup_equal_reports_from_readings(spark):
+def test_reports_from_cube_equal_reports_from_readings(spark):
     from thermoloom.sources.readings import readings_from_events
 
     readings = preprocess(readings_from_events(spark, "/root/testdata/sf0.001"))
-    rollup = reports(rollups.timestamp_rollup(readings))
+    cube = reports(rollups.daily_cube(rollups.timestamp_rollup(readings)))
+    series = rollups.series_mean(readings)
     direct = {
         "month_share": rollups.month_share(readings),
         "place_share": rollups.value_share(readings, "place"),
@@ -101,4 +104,9 @@ def test_reports_from_rollup_equal_reports_from_readings(spark):
         "timing_minmax_long": reshape.extremes_long(readings, "timing", "Timing"),
     }
     for name, frame in direct.items():
-        assert sorted(map(tuple, frame.collect())) == sorted(map(tuple, rollup[name].collect())), name
+        assert sorted(map(tuple, frame.collect())) == sorted(map(tuple, cube[name].collect())), name
+    for key in ("month", "weekofyear", "daily", "weekday"):
+        frame = rollups.mean_by_weekday(series) if key == "weekday" else rollups.mean_by(series, key)
+        name = "mean_by_day" if key == "daily" else f"mean_by_{key}"
+        got, want = ({tuple(r[:-1]): r[-1] for r in f.collect()} for f in (cube[name], frame))
+        assert got == pytest.approx(want, abs=1e-9), name

@@ -100,6 +100,9 @@ def test_series_without_gaps_and_mixed_batches(spark):
     assert list(got) == [1.0, 5.0, 2.0] and not filled.any()
 
 
-def test_too_few_days_fail(spark):
+def test_too_few_days_fail_or_keep_their_gaps(spark):
+    frame = _calendar(spark, In=[1, 2, None, 3])
     with pytest.raises(Exception, match="too few days"):
-        fill_gaps(_calendar(spark, In=[1, 2, None, 3])).collect()
+        fill_gaps(frame).collect()
+    rows = fill_gaps(frame, strict=False).orderBy("daily").collect()
+    assert [r.temp_mean for r in rows] == [1, 2, None, 3]

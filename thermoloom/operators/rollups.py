@@ -1,8 +1,8 @@
 """Shares, extremes and means.
 
-All of them can run on single readings or on :func:`timestamp_rollup`, which is
-computed once and is bounded by the calendar instead of the number of readings:
-a report then costs nothing next to the one pass over the readings.
+All of them can run on readings (means: on the per-timestamp series), or on
+:func:`daily_cube`, which one pass over the readings gives and which has a few
+rows per day: every report then costs next to nothing.
 """
 
 from __future__ import annotations
@@ -10,7 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thermoloom.functions.calendar import calendar_parts, weekday_ordinal, year_month
+from thermoloom.functions.calendar import (
+    calendar_parts,
+    season_of,
+    weekday_name,
+    weekday_ordinal,
+    year_month,
+)
 from thermoloom.functions.values import percent
 from thermoloom.schemas import SERIES
 
@@ -29,11 +35,38 @@ def timestamp_rollup(readings: DataFrame) -> DataFrame:
     )
 
 
+def daily_cube(rollup: DataFrame) -> DataFrame:
+    """The rollup by series, day and time of day, in parts that can be added up.
+
+    ``temp_sum`` and ``temp_count`` are over timestamps, because the means of the
+    reports are means of per-timestamp means.
+    """
+    return (
+        rollup.groupBy("source", "place", F.to_date("date").alias("daily"), "timing")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("temp").alias("temp_sum"),
+            F.count("temp").alias("temp_count"),
+            F.min("temp_min").alias("temp_min"),
+            F.max("temp_max").alias("temp_max"),
+        )
+        .selectExpr("*", "month(daily) AS month", "weekofyear(daily) AS weekofyear")
+        .withColumn("weekday", weekday_name("daily"))
+        .withColumn("season", season_of("month"))
+    )
+
+
 def _rows(df: DataFrame) -> Column:
-    """Readings behind a group: the summed counts of a rollup, or plain rows."""
+    """Readings behind a group: summed counts, or plain rows."""
     return F.sum("n") if "n" in df.columns else F.count(F.lit(1))
 
 
+def _mean(df: DataFrame) -> Column:
+    if "temp_sum" in df.columns:
+        return F.try_divide(F.sum("temp_sum"), F.sum("temp_count"))
+    return F.avg("temp")
+
+
 def shares(
     df: DataFrame, key: str, within: tuple[str, ...] = ("source",), digits: int = 0
 ) -> DataFrame:
@@ -56,7 +89,8 @@ def value_share(df: DataFrame, key: str) -> DataFrame:
 
 def month_shares(df: DataFrame, within: tuple[str, ...] = ("source",)) -> DataFrame:
     """Percentage of readings per calendar month, to one decimal."""
-    return shares(df.withColumn("Month", year_month("date")), "Month", within, digits=1)
+    day = "daily" if "daily" in df.columns else "date"
+    return shares(df.withColumn("Month", year_month(day)), "Month", within, digits=1)
 
 
 def month_share(df: DataFrame, within: tuple[str, ...] = ("source",)) -> DataFrame:
@@ -91,7 +125,7 @@ def place_series(series: DataFrame, place: str | None = None) -> DataFrame:
 
 def mean_by(series: DataFrame, key: str) -> DataFrame:
     """Mean of the per-timestamp means, by series and ``key``."""
-    return series.groupBy(*SERIES, key).agg(F.avg("temp").alias("temp_mean"))
+    return series.groupBy(*SERIES, key).agg(_mean(series).alias("temp_mean"))
 
 
 def mean_by_weekday(series: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from thermoloom.functions.values import known
 from thermoloom.schemas import SERIES
 
 DEGREE = 5
@@ -70,7 +71,7 @@ def _smooth_values(
     out = []
     for t, y, c, polynomial in zip(times, values, coef, close, strict=True):
         seen = ~np.isnan(y)
-        if seen.all():
+        if seen.all() or seen.sum() < MIN_DAYS:
             out.append(y)
         elif polynomial:
             out.append(np.polynomial.polynomial.polyval(t, c))
@@ -79,22 +80,22 @@ def _smooth_values(
     return pd.Series(out)
 
 
-def fill_gaps(calendar: DataFrame) -> DataFrame:
+def fill_gaps(calendar: DataFrame, strict: bool = True) -> DataFrame:
     """The calendar with its gaps filled, and which days those are.
 
     Everything is keyed by series, so the calendar is shuffled at most once. A
-    series with gaps and fewer than six observed days fails the job.
+    series with gaps and fewer than six observed days fails the job, or keeps its
+    gaps if not strict.
     """
+    problem = "concat_ws(' ', source, place, 'has too few days to fill its gaps:', m)"
+    few = f"CAST(raise_error({problem}) AS BOOLEAN)" if strict else "true"
     smooth = F.pandas_udf(_smooth_values, T.ArrayType(T.DoubleType()))
     point = F.struct("daily", "t", "temp_mean")
     series = (
         _on_unit_axis(calendar)
         .groupBy(*SERIES)
         .agg(*_moment_sums(), F.sort_array(F.collect_list(point)).alias("points"))
-        .where(
-            f"""CASE WHEN days = m OR m >= {MIN_DAYS} THEN true ELSE CAST(raise_error(
-            concat_ws(' ', source, place, 'has too few days to fill its gaps:', m)) AS BOOLEAN) END"""
-        )
+        .where(f"CASE WHEN days = m OR m >= {MIN_DAYS} THEN true ELSE {few} END")
     )
     powers = F.expr(f"array({', '.join(f't{k}' for k in range(2 * DEGREE + 1))})")
     products = F.expr(f"array({', '.join(f'yt{k}' for k in range(MIN_DAYS))})")
@@ -104,7 +105,7 @@ def fill_gaps(calendar: DataFrame) -> DataFrame:
     ).select(
         *SERIES,
         "day.points.daily",
-        F.coalesce("day.points.temp_mean", "day.smooth").alias("temp_mean"),
+        F.coalesce("day.points.temp_mean", known(F.col("day.smooth"))).alias("temp_mean"),
         F.col("day.points.temp_mean").isNull().alias("filled"),
     )
 

@@ -48,13 +48,19 @@ def train_dates(wide: DataFrame, days: int = TRAIN_DAYS) -> DataFrame:
 
 
 def train_frame(
-    onehot: DataFrame, places: Iterable[str] = PLACES, days: int = TRAIN_DAYS
+    onehot: DataFrame,
+    places: Iterable[str] = PLACES,
+    days: int = TRAIN_DAYS,
+    strict: bool = True,
 ) -> DataFrame:
     """First ``days`` days of each chosen place with season flags.
 
     The daily frame has no gaps, so its n-th row is the n-th training date.
-    A source with fewer days fails the job, and says so.
+    A source with fewer days fails the job and says so, or is left out if not
+    strict, as when it would have had a job of its own.
     """
+    problem = f"concat_ws(' ', source, 'has', available, 'days,', {days}, 'are needed')"
+    short = f"CAST(raise_error({problem}) AS BOOLEAN)" if strict else "false"
     series = Window.partitionBy(*SERIES)
     seasons = ("Monsoon", "Post_Monsoon", "Winter")
     return (
@@ -66,10 +72,7 @@ def train_frame(
         )
         .withColumn("position", F.row_number().over(series.orderBy("daily")))
         .withColumn("available", F.count(F.lit(1)).over(series))
-        .where(
-            f"""CASE WHEN available >= {days} THEN position <= {days} ELSE CAST(raise_error(
-            concat_ws(' ', source, 'has', available, 'days,', {days}, 'are needed')) AS BOOLEAN) END"""
-        )
+        .where(f"CASE WHEN available >= {days} THEN position <= {days} ELSE {short} END")
         .selectExpr(
             *SERIES,
             "daily AS ds",

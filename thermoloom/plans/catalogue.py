@@ -41,6 +41,10 @@ def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.preprocess(_raw(spark, sf_dir))
 
 
+def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.daily_cube(rollups.timestamp_rollup(_readings(spark, sf_dir)))
+
+
 def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.series_mean(_readings(spark, sf_dir))
 
@@ -89,11 +93,9 @@ def archived_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily means from the stored rollup instead of from the readings."""
-    rollup = tables.write_stage(
-        rollups.timestamp_rollup(_readings(spark, sf_dir)), scratch_dir(spark, "rollup")
-    )
-    return _settle(jobs.reports(rollup)["mean_by_day"], "temp_mean")
+    """Daily means from the stored cube instead of from the readings."""
+    cube = tables.write_stage(_cube(spark, sf_dir), scratch_dir(spark, "cube"))
+    return _settle(jobs.reports(cube)["mean_by_day"], "temp_mean")
 
 
 def daily_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,6 +165,7 @@ def queries() -> dict[str, Query]:
         "id_range_sorted": on_readings(quality.id_range_sorted),
         "first_per_date_place": on_raw(quality.first_per_date_place),
         "timestamp_rollup": on_readings(rollups.timestamp_rollup),
+        "daily_cube": lambda s, d: _settle(_cube(s, d), "temp_sum"),
         "month_share": on_readings(rollups.month_share),
         "place_share": on_readings(lambda df: rollups.value_share(df, "place")),
         "season_share": on_readings(lambda df: rollups.value_share(df, "season")),

@@ -12,6 +12,7 @@ from thermoloom.operators.forecast import fit, score, stamp_model
 from thermoloom.operators.quality import preprocess
 from thermoloom.operators.reshape import PLACES, daily_onehot, extremes_long, in_out_daily, in_out_month_long
 from thermoloom.operators.rollups import (
+    daily_cube,
     mean_by,
     mean_by_weekday,
     month_share,
@@ -24,10 +25,10 @@ from thermoloom.operators.timeseries import TRAIN_DAYS, daily_calendar, train_fr
 from thermoloom.sources.tables import read_model, write_model, write_stage
 
 
-def daily_series(readings: DataFrame, fill: bool = True) -> DataFrame:
+def daily_series(readings: DataFrame, fill: bool = True, strict: bool = True) -> DataFrame:
     """Gap-free daily means per series, with or without values in the gaps."""
     calendar = daily_calendar(mean_by(series_mean(readings), "daily"))
-    return fill_gaps(calendar).drop("filled") if fill else calendar
+    return fill_gaps(calendar, strict).drop("filled") if fill else calendar
 
 
 def training_data(
@@ -35,25 +36,25 @@ def training_data(
     places: Iterable[str] = PLACES,
     days: int = TRAIN_DAYS,
     fill: bool = True,
+    strict: bool = True,
 ) -> DataFrame:
     """Training frame of every source and chosen place."""
-    return train_frame(daily_onehot(in_out_daily(daily_series(readings, fill))), places, days)
+    wide = in_out_daily(daily_series(readings, fill, strict))
+    return train_frame(daily_onehot(wide), places, days, strict)
 
 
-def reports(rollup: DataFrame) -> dict[str, DataFrame]:
-    """All share, extreme and mean tables from the per-timestamp rollup."""
-    series = rollup.where("place IS NOT NULL").withColumn(
-        "daily", F.to_date("date")
-    )
+def reports(cube: DataFrame) -> dict[str, DataFrame]:
+    """All share, extreme and mean tables from the daily cube."""
+    series = cube.where("place IS NOT NULL")
     return {
-        "month_share": month_share(rollup),
-        "place_share": value_share(rollup, "place"),
-        "season_share": value_share(rollup, "season"),
-        "timing_share": value_share(rollup, "timing"),
-        "month_share_by_place": month_share(rollup, ("source", "place")),
-        "in_out_month_long": in_out_month_long(rollup),
-        "season_minmax_long": extremes_long(rollup, "season", "Season"),
-        "timing_minmax_long": extremes_long(rollup, "timing", "Timing"),
+        "month_share": month_share(cube),
+        "place_share": value_share(cube, "place"),
+        "season_share": value_share(cube, "season"),
+        "timing_share": value_share(cube, "timing"),
+        "month_share_by_place": month_share(cube, ("source", "place")),
+        "in_out_month_long": in_out_month_long(cube),
+        "season_minmax_long": extremes_long(cube, "season", "Season"),
+        "timing_minmax_long": extremes_long(cube, "timing", "Timing"),
         "mean_by_month": mean_by(series, "month"),
         "mean_by_day": mean_by(series, "daily"),
         "mean_by_weekday": mean_by_weekday(series),
@@ -78,24 +79,37 @@ def run_pipeline(
     ds: dt.date,
     places: Iterable[str] = ("Out",),
     days: int = TRAIN_DAYS,
+    strict: bool = True,
 ) -> dict[str, DataFrame]:
     """Preprocess, report and train; every result is a table under ``workspace``.
 
     The readings are scanned and shuffled once, into the feature table, which is
-    written straight from the deduplication. The rollup of that table is written
-    too, and everything after it reads only the rollup or less. Both tables cut
-    lineage, so losing executors later never means going back to the raw input.
+    written straight from the deduplication. One pass over that table gives the
+    daily cube, and everything after it reads only the cube or less. Both tables
+    cut lineage: losing executors later never means going back to the raw input.
+
+    If not strict, readings that cannot be parsed are left out, and a source too
+    short to train on has reports but no model.
     """
-    readings = write_stage(preprocess(raw), f"{workspace}/readings")
-    rollup = write_stage(timestamp_rollup(readings), f"{workspace}/rollup", rebalance=True)
+    readings = write_stage(preprocess(raw, strict), f"{workspace}/readings")
+    cube = write_stage(daily_cube(timestamp_rollup(readings)), f"{workspace}/cube", rebalance=True)
     tables = {
         name: write_stage(table, f"{workspace}/reports/{name}", rebalance=True)
-        for name, table in reports(rollup).items()
+        for name, table in reports(cube).items()
     }
-    daily = fill_gaps(daily_calendar(tables["mean_by_day"])).drop("filled")
-    frame = train_frame(daily_onehot(in_out_daily(daily)), places, days)
+    daily = write_stage(
+        fill_gaps(daily_calendar(tables["mean_by_day"]), strict), f"{workspace}/daily", rebalance=True
+    )
+    frame = train_frame(daily_onehot(in_out_daily(daily)), places, days, strict)
     write_model(stamp_model(fit(frame), ds), f"{workspace}/models")
     model = read_model(raw.sparkSession, f"{workspace}/models", ds)
     points = daily.where(F.col("place").isin(*places)).withColumnRenamed("daily", "ds")
     scored = write_stage(score(points, model.drop("ds")), f"{workspace}/scores")
-    return {"readings": readings, "rollup": rollup, **tables, "model": model, "scores": scored}
+    return {
+        "readings": readings,
+        "cube": cube,
+        **tables,
+        "daily": daily,
+        "model": model,
+        "scores": scored,
+    }
