@@ -39,23 +39,24 @@ def parse_noted(text: Column, strict: bool = True) -> Column:
     return F.try_to_timestamp(text, F.lit(NOTED_FORMAT)).cast("timestamp_ntz")
 
 
-def _label(value: str, labels: dict[str, tuple[int, ...]], otherwise: str) -> Column:
-    branches = " ".join(
-        f"WHEN {value} IN ({', '.join(map(str, members))}) THEN '{label}'"
-        for label, members in labels.items()
-    )
-    return F.expr(f"CASE {branches} ELSE {otherwise} END")
+def _by_number(labels: dict[str, tuple[int, ...]]) -> list[str]:
+    """The labels in the order of the numbers they stand for."""
+    return [label for _, label in sorted((n, label) for label in labels for n in labels[label])]
 
 
 def season_of(month: str) -> Column:
-    """Season label of a month number; anything but 1-12 is an error."""
-    problem = f"raise_error(concat('no season for month ', coalesce({month}, 'NULL')))"
-    return _label(month, SEASON_MONTHS, f"CAST({problem} AS STRING)")
+    """Season label of a month number; anything but 1-12 is an error.
+
+    A constant array, so that an expensive ``month`` is evaluated once and not
+    in every branch of a case.
+    """
+    return F.expr(f"element_at({text_array(_by_number(SEASON_MONTHS))}, {month})")
 
 
 def timing_of(hour: str) -> Column:
     """Time-of-day label of an hour; anything but 0-23 is ``X``."""
-    return _label(hour, TIMING_HOURS, f"'{UNKNOWN_TIMING}'")
+    labels = text_array(_by_number(TIMING_HOURS))
+    return F.expr(f"coalesce(get({labels}, {hour}), '{UNKNOWN_TIMING}')")
 
 
 def weekday_name(day: str) -> Column:

@@ -73,10 +73,12 @@ def shares(
     """Readings per value of ``key`` and their percentage within ``within``.
 
     The denominator is a window over the counted groups, whose number is that
-    of the distinct keys, not of the readings. NULL keys are left out.
+    of the distinct keys, not of the readings. A NULL place is left out; the keys
+    derived from the date are never NULL, and a check of them would make Spark
+    parse the date once more at the scan.
     """
-    for name in (*within, key):
-        df = df.where(F.col(name).isNotNull())
+    if "place" in (*within, key):
+        df = df.where(F.col("place").isNotNull())
     counts = df.groupBy(*within, key).agg(_rows(df).alias("readings"))
     whole = F.sum("readings").over(Window.partitionBy(*within))
     return counts.withColumn("share", percent(F.col("readings"), whole, digits))
@@ -101,10 +103,8 @@ def month_share(df: DataFrame, within: tuple[str, ...] = ("source",)) -> DataFra
 def extremes(df: DataFrame, key: str, name: str) -> DataFrame:
     """Highest and lowest temperature per value of ``key``."""
     low, high = ("temp_min", "temp_max") if "temp_min" in df.columns else ("temp", "temp")
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy("source", F.col(key).alias(name))
-        .agg(F.max(high).alias("max"), F.min(low).alias("min"))
+    return df.groupBy("source", F.col(key).alias(name)).agg(
+        F.max(high).alias("max"), F.min(low).alias("min")
     )
 
 
