@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .ngram_join import ngram_jaccard
+from .suffix_dedup import removal_digest
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digest(table(spark, sf_dir, "documents"))
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +20,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_ngram_jaccard,)}
+    return {f.__name__: f for f in (op7_suffix_dedup, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
