@@ -50,11 +50,15 @@ def running(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_root(spark)}/thermoloom-llm/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lost executor costs
     the tasks of one step, not the steps before it."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/thermoloom-llm/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

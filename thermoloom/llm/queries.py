@@ -6,9 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import new_path, running, table
 from .ngram_join import ngram_jaccard
 from .suffix_dedup import removal_digest
+from .tokens import token_documents, write_tokens
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    with running(spark):
+        write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file())
+    return token_documents(spark, path)
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +34,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_suffix_dedup, op10_ngram_jaccard)}
+    return {f.__name__: f for f in (op1_token_output, op7_suffix_dedup, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
