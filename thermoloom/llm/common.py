@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 RUN_SETTINGS = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
 }
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 #: Space and the control characters 0x09-0x0D part words.
 SPACES = b" \t\n\x0b\x0c\r"
 SHINGLE = 5
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240521))
 BYTE_VALUES = _rng.integers(1, 2**64 - 1, 256, dtype=np.uint64)
@@ -54,7 +54,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(1 << max(21, (size - 1).bit_length()))
+    up, down = _powers(1 << max(20, (size - 1).bit_length()))
     return up[:size], down[:size]
 
 

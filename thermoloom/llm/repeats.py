@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import partitions
 
-FLUSH_ENTRIES = 3_000_000
+FLUSH_ENTRIES = 1_000_000
 BUCKETS_PER_PARTITION = 4
 
 SENT = "bucket int, settled boolean, low binary, high binary, docs binary, refs binary"
@@ -145,7 +145,7 @@ def repeated(df: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[Entries
                         size += len(found[-1][0])
                     bucket, waiting = r["bucket"], []
                 waiting.append(r)
-                if size > 4 * FLUSH_ENTRIES:
+                if size > FLUSH_ENTRIES:
                     yield from _by_document(found)
                     found, size = [], 0
         if waiting:
