@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import new_path, running, table
+from .mixing import mix_plan
 from .ngram_join import ngram_jaccard
 from .suffix_dedup import removal_digest
 from .tokens import token_documents, write_tokens
@@ -29,12 +30,16 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_plan(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op7_suffix_dedup, op10_ngram_jaccard)}
+    return {f.__name__: f for f in (op1_token_output, op7_suffix_dedup, op9_source_mix, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
