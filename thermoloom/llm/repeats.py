@@ -38,6 +38,11 @@ def _undelta(blob: bytes, dtype) -> np.ndarray:
     return np.cumsum(np.frombuffer(blob, dtype=dtype), dtype=np.int64)
 
 
+def places(blob: bytes) -> np.ndarray:
+    """The places in a ``refs`` value of :func:`repeated`."""
+    return _undelta(blob, np.int32)
+
+
 def _packed(batch: list[Entries], buckets: int, wide: bool) -> Iterator[pa.RecordBatch]:
     keys, docs, refs = (np.concatenate(x) for x in zip(*batch, strict=True))
     order = np.argsort(keys, kind="stable")
@@ -76,17 +81,18 @@ def _by_document(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Reco
     if not found:
         return
     docs, refs = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.argsort(docs, kind="stable")
-    docs, refs = docs[order], refs[order].astype(np.int32)
+    order = np.lexsort((refs, docs))
+    docs, refs = docs[order], refs[order]
     ids, at = np.unique(docs, return_index=True)
     at = np.append(at, len(docs))
     for a in range(0, len(ids), 5000):
         part = range(a, min(a + 5000, len(ids)))
-        yield pa.RecordBatch.from_arrays([pa.array(ids[part.start : part.stop]), pa.array([refs[at[k] : at[k + 1]].tobytes() for k in part], pa.binary())], schema=_FOUND)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[part.start : part.stop]), pa.array([_delta(refs[at[k] : at[k + 1]], np.int32) for k in part], pa.binary())], schema=_FOUND)
 
 
 def repeated(df: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[Entries]], wide: bool = True) -> DataFrame:
-    """Rows (doc_id, refs): the places, int32 each, whose key occurs elsewhere.
+    """Rows (doc_id, refs): the places whose key occurs elsewhere, as differences
+    of int32 that :func:`places` reads.
 
     ``entries`` turns an Arrow batch of ``df`` into keys. ``wide`` keeps all 64
     bits of a key; otherwise 48 and the bucket, enough where a false repeat only

@@ -1,8 +1,8 @@
 """Operator 7: exact substring removal with a difference-cover suffix sort.
 
 Every byte covered by a string of ``length`` bytes that also starts anywhere
-else is removed. The distributed difference-cover scheme with period
-``length / 2``:
+else is removed. Of equal texts one takes part in the distributed
+difference-cover scheme, with period ``length / 2``:
 
 1. *Sort sampled tuples.* Positions whose residue lies in a difference cover are
    sampled. Each gets a name for its tuple of one period of bytes; names are
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import bytes_of, columns, running, stored
 from .hashing import buffers, chunks, prefix_sums, substring_hashes
-from .repeats import repeated
+from .repeats import places, repeated
 
 LENGTH = 200
 NO_ID = -(2**63)
@@ -111,7 +111,7 @@ def _segments(length: int):
                     continue
                 again = np.zeros(n - period + 1, bool)
                 for p in parts:
-                    at = np.frombuffer(p, np.int32)
+                    at = places(p)
                     again[at[at < len(again)]] = True
                 before = np.append(0, np.cumsum(again))
                 # a string at i meets its partner's at some sample of i ... i + period - 1
@@ -141,54 +141,65 @@ def _suffix_names(length: int):
     return entries
 
 
-def _spans(length: int, size: int, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    at = np.sort(np.concatenate([np.frombuffer(p, np.int32) for p in parts])).astype(np.int64)
-    new = np.append(True, at[1:] > at[:-1] + length)
-    begins, ends = at[new], np.append(at[:-1][new[1:]], at[-1]) + length
-    return np.minimum(begins, size), np.minimum(ends, size)
-
-
-def _cut(length: int):
-    """Per document: what is left of it and the removed runs."""
-    schema = pa.schema([("doc_id", pa.int64()), ("kept", pa.binary()), ("begins", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
+def _spans(length: int):
+    """Merge the marked strings of each document to maximal runs."""
 
     def run(batches):
         for batch in batches:
-            out = []
-            for doc, text, parts in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("refs").to_pylist(), strict=True):
-                if not parts:
-                    out.append((doc, text, [], []))
-                    continue
-                a, b = _spans(length, len(text), parts)
-                left = b"".join(text[x:y] for x, y in zip(np.append(0, b), np.append(a, len(text)), strict=True))
-                out.append((doc, left, a.tolist(), b.tolist()))
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+            begins, ends = [], []
+            for parts in batch.column("refs").to_pylist():
+                at = np.sort(np.concatenate([places(p) for p in parts]))
+                new = np.append(True, at[1:] > at[:-1] + length)
+                begins.append(at[new].tolist())
+                ends.append((np.append(at[:-1][new[1:]], at[-1]) + length).tolist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(begins, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64()))], names=["doc_id", "begins", "ends"])
 
     return run
 
 
-def _digest(length: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+def _left(text: bytes, begins: list[int], ends: list[int]) -> bytes:
+    return b"".join(text[a:b] for a, b in zip([0, *ends], [*begins, len(text)], strict=True))
 
-    def run(batches):
-        for batch in _cut(length)(batches):
-            out = []
-            for doc, kept, a, b in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                gone = sum(b) - sum(a)
-                out.append((doc, len(kept) + gone, gone, len(a), hashlib.sha256(kept).hexdigest()))
+
+def _cut(batches):
+    """Per document: what is left of it and the removed runs."""
+    schema = pa.schema([("doc_id", pa.int64()), ("kept", pa.binary()), ("begins", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
+    for batch in batches:
+        out = []
+        for doc, text, begins, ends, whole in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "begins", "ends", "whole")), strict=True):
+            n = len(text)
+            begins, ends = ([0], [n]) if whole and n else ([min(a, n) for a in begins or []], [min(b, n) for b in ends or []])
+            out.append((doc, _left(text, begins, ends), begins, ends))
+        if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-    return run
+
+def _digest(batches):
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+    for batch in _cut(batches):
+        out = []
+        for doc, kept, a, b in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            gone = sum(b) - sum(a)
+            out.append((doc, len(kept) + gone, gone, len(a), hashlib.sha256(kept).hexdigest()))
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
 
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Rows (doc_id, refs): places where a string of ``length`` bytes starts that
-    also starts elsewhere; doc_id must be unique and not null, text is binary."""
-    marked = repeated(docs, _sample_names(length), wide=False).groupBy("doc_id").agg(F.collect_list("refs").alias("refs"))
-    marked = stored(marked, "names")
+    """Rows (doc_id, begins, ends, whole): the runs to remove.
+
+    Equal texts of at least ``length`` bytes go as a whole; one of them stands
+    for all in the suffix sort. doc_id must not be null; text is binary.
+    """
+    names = docs.select("doc_id", F.md5("text").alias("name")).where(F.octet_length("text") >= length)
+    classes = names.groupBy("name").agg(F.min("doc_id").alias("first"), F.count("*").alias("k")).where("k > 1")
+    twins = stored(names.join(classes, "name").groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("first")).alias("later")), "twins")
+    singles = docs.join(twins.where("later"), "doc_id", "left_anti")
+    marked = stored(repeated(singles, _sample_names(length), wide=False).groupBy("doc_id").agg(F.collect_list("refs").alias("refs")), "names")
     segments = stored(docs.join(marked, "doc_id").mapInArrow(_segments(length), "doc_id long, offset long, text binary"), "segments")
     found = repeated(segments, _suffix_names(length), wide=True).groupBy("doc_id").agg(F.collect_list("refs").alias("refs"))
-    return stored(found, "suffixes")
+    spans = stored(found.mapInArrow(_spans(length), "doc_id long, begins array<long>, ends array<long>"), "spans")
+    whole = twins.select("doc_id", F.lit(True).alias("whole"))
+    return spans.join(whole, "doc_id", "full")
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
@@ -210,14 +221,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     doc_id but not the text are cut alike, at the places found in any of them.
     ``kept`` is binary: a run may begin inside a UTF-8 character.
     """
-    schema = "doc_id long, kept binary, begins array<long>, ends array<long>"
-    out = _with_repeats(_prepared(docs), length).mapInArrow(_cut(length), schema)
+    out = _with_repeats(_prepared(docs), length).mapInArrow(_cut, "doc_id long, kept binary, begins array<long>, ends array<long>")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
 def removal_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256) of
     :func:`remove_repeats`, without the texts."""
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    out = _with_repeats(_prepared(docs), length).mapInArrow(_digest(length), schema)
+    out = _with_repeats(_prepared(docs), length).mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
