@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .additive import quality_scores
 from .common import new_path, running, table
 from .mixing import mix_plan
 from .ngram_join import ngram_jaccard
@@ -26,6 +27,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_documents(spark, path)
 
 
+def op5_quality_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digest(table(spark, sf_dir, "documents"))
 
@@ -39,7 +44,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op7_suffix_dedup, op9_source_mix, op10_ngram_jaccard)}
+    return {f.__name__: f for f in (op1_token_output, op5_quality_additive, op7_suffix_dedup, op9_source_mix, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
