@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .additive import quality_scores
 from .common import new_path, running, table
+from .decontam import leaks
 from .mixing import mix_plan
 from .ngram_join import ngram_jaccard
 from .suffix_dedup import removal_digest
@@ -27,6 +28,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_documents(spark, path)
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,7 +49,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op5_quality_additive, op7_suffix_dedup, op9_source_mix, op10_ngram_jaccard)}
+    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op5_quality_additive, op7_suffix_dedup, op9_source_mix, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
