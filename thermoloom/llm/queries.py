@@ -12,6 +12,7 @@ from .decontam import leaks
 from .mixing import mix_plan
 from .ngram_join import ngram_jaccard
 from .suffix_dedup import removal_digest
+from .surrogates import replace_entities
 from .tokens import token_documents, write_tokens
 
 
@@ -32,6 +33,10 @@ def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(table(spark, sf_dir, "documents"), key="thermoloom")
+
+
 def op5_quality_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,7 +54,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op5_quality_additive, op7_suffix_dedup, op9_source_mix, op10_ngram_jaccard)}
+    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op5_quality_additive, op7_suffix_dedup, op9_source_mix, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
