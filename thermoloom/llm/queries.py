@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .additive import quality_scores
 from .common import new_path, running, table
 from .decontam import leaks
+from .line_winnowing import drop_repeated_lines
 from .mixing import mix_plan
 from .ngram_join import ngram_jaccard
+from .secret_forest import scan_secrets
 from .suffix_dedup import removal_digest
 from .surrogates import replace_entities
 from .tokens import token_documents, write_tokens
@@ -37,6 +39,10 @@ def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_entities(table(spark, sf_dir, "documents"), key="thermoloom")
 
 
+def op4_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,6 +51,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"))
 
@@ -54,7 +64,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op5_quality_additive, op7_suffix_dedup, op9_source_mix, op10_ngram_jaccard)}
+    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op4_secret_forest, op5_quality_additive, op7_suffix_dedup, op8_line_winnowing, op9_source_mix, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
