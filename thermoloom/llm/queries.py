@@ -12,6 +12,7 @@ from .decontam import leaks
 from .line_winnowing import drop_repeated_lines
 from .mixing import mix_plan
 from .ngram_join import ngram_jaccard
+from .projection_forest import near_duplicates
 from .secret_forest import scan_secrets
 from .suffix_dedup import removal_digest
 from .surrogates import replace_entities
@@ -47,6 +48,10 @@ def op5_quality_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digest(table(spark, sf_dir, "documents"))
 
@@ -64,7 +69,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op4_secret_forest, op5_quality_additive, op7_suffix_dedup, op8_line_winnowing, op9_source_mix, op10_ngram_jaccard)}
+    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op4_secret_forest, op5_quality_additive, op6_projection_forest, op7_suffix_dedup, op8_line_winnowing, op9_source_mix, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
