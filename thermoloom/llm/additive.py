@@ -190,10 +190,9 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOL
     """
     with running(docs.sparkSession):
         _, model = _fitted(docs, labels, fit_rows)
-    import pandas as pd
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(features(pa.array(text, pa.large_string(), from_pandas=True))))
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        return pa.array(model.scores(features(text)))
 
     return docs.where(score(F.col("text")) >= threshold)
