@@ -132,6 +132,31 @@ design AS (
 )"""
 
 
+def _filled() -> str:
+    """The calendar with quintic values in its gaps: Gauss-Jordan on the moments."""
+    powers = ", ".join(f"sum(CASE WHEN temp_mean IS NOT NULL THEN t ** {k} END) AS t{k}" for k in range(11))
+    products = ", ".join(f"sum(t ** {k} * temp_mean) AS y{k}" for k in range(6))
+    cells = [f"t{i + j} AS g{i}_{j}" for i in range(6) for j in range(6)] + [f"y{i} AS g{i}_6" for i in range(6)]
+    steps = [f"g0 AS (SELECT source, place, {', '.join(cells)} FROM moments)"]
+    for k in range(6):
+        row = [f"g{k}_{j} / g{k}_{k} AS g{k}_{j}" for j in range(7)]
+        rest = [f"g{i}_{j} - g{i}_{k} * g{k}_{j} / g{k}_{k} AS g{i}_{j}" for i in range(6) if i != k for j in range(7)]
+        steps.append(f"g{k + 1} AS (SELECT source, place, {', '.join(row + rest)} FROM g{k})")
+    value = " + ".join(f"g{k}_6 * t ** {k}" for k in range(6))
+    chain = ",\n".join(steps)
+    return f"""{_DAILY},
+axis AS (
+  SELECT c.*, coalesce((daily - first_day) * 2 / nullif(last_day - first_day, 0) - 1, 0) AS t
+  FROM calendar c JOIN ranges USING (source, place)
+),
+moments AS (SELECT source, place, {powers}, {products} FROM axis GROUP BY ALL),
+{chain},
+filled AS (
+  SELECT source, place, daily, coalesce(temp_mean, {value}) AS temp_mean, temp_mean IS NULL AS filled
+  FROM axis JOIN g6 USING (source, place)
+)"""
+
+
 def _share(key: str, within: str = "source", digits: int = 0, expression: str | None = None) -> str:
     return f"""
   SELECT {within}, {key}, n AS readings,
@@ -246,6 +271,17 @@ SELECT source, place, daily, round(temp_mean, 6) AS temp_mean FROM calendar""",
         "daily_onehot": f"""WITH {_WIDE}
 SELECT * REPLACE (round("In", 6) AS "In", round("Out", 6) AS "Out") FROM onehot""",
         "quintic_moments": _moments(),
+        "daily_filled": f"""WITH {_filled()}
+SELECT source, place, daily, round(temp_mean, 4) AS temp_mean, filled FROM filled""",
+        "in_out_filled": f"""WITH {_filled()}
+SELECT source, daily, round("In", 4) AS "In", round("Out", 4) AS "Out",
+       CASE WHEN month(daily) BETWEEN 6 AND 9 THEN 1 ELSE 0 END AS "season_Monsoon",
+       CASE WHEN month(daily) IN (10, 11) THEN 1 ELSE 0 END AS "season_Post_Monsoon",
+       CASE WHEN month(daily) BETWEEN 3 AND 5 THEN 1 ELSE 0 END AS "season_Summer",
+       CASE WHEN month(daily) IN (12, 1, 2) THEN 1 ELSE 0 END AS "season_Winter"
+FROM (SELECT source, daily, i.temp_mean AS "In", o.temp_mean AS "Out"
+      FROM (SELECT * FROM filled WHERE place = 'In') i
+      LEFT JOIN (SELECT * FROM filled WHERE place = 'Out') o USING (source, daily))""",
         "train_dates": f"""WITH {_WIDE}
 SELECT source, CAST(unnest(generate_series(first_day, first_day + 133, INTERVAL 1 DAY)) AS DATE) AS ds
 FROM (SELECT source, min(daily) AS first_day FROM wide GROUP BY ALL)""",

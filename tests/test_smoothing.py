@@ -7,7 +7,8 @@ import datetime as dt
 import numpy as np
 import pytest
 
-from thermoloom.operators.smoothing import TOLERANCE, _basis, fill_gaps, smoothing_spline
+import __spark_entry__ as entry
+from thermoloom.operators.smoothing import fill_gaps
 
 DAY0 = dt.date(2018, 1, 1)
 SCHEMA = "source string, place string, daily date, temp_mean double"
@@ -53,40 +54,36 @@ def test_polynomial_is_the_least_squares_fit(spark):
     np.testing.assert_array_equal(got[seen], y[seen])
 
 
-def test_rough_series_meet_the_residual_target():
+def test_rough_series_take_the_same_polynomial(spark):
     rng = np.random.default_rng(2)
-    for days, noise in ((120, 2.0), (200, 10.0), (359, 30.0)):
-        n = np.arange(days)
-        y = 25 + 8 * np.sin(n / 30) + rng.normal(0, noise, days)
-        seen = rng.random(days) > 0.05
-        seen[[0, -1]] = True
-        u = n / (days - 1)
-        fitted = smoothing_spline(u[seen], y[seen], u)
-        rss = ((fitted[seen] - y[seen]) ** 2).sum()
-        assert abs(rss - seen.sum()) <= 2 * TOLERANCE * seen.sum()
-
-
-def test_smoothing_spline_solves_the_penalised_problem():
-    """Brute force: no coefficients with this residual are smoother."""
-    rng = np.random.default_rng(3)
-    u = np.linspace(0, 1, 50)
-    y = 5 * np.sin(9 * u) + rng.normal(0, 1.5, 50)
-    fitted = smoothing_spline(u, y, u)
-    matches = []
-    for cells in (2, 4, 8, 16, 32, 64):
-        cell, value = _basis(u, cells)
-        basis = np.zeros((50, cells + 5))
-        for k in range(6):
-            basis[np.arange(50), cell + k] += value[:, k]
-        rough = np.diff(np.eye(cells + 5), 6, axis=0)
-        for log_weight in np.linspace(-10, 4, 561):
-            stacked = np.vstack([basis, 10 ** (log_weight / 2) * rough])
-            coef = np.linalg.lstsq(stacked, np.append(y, np.zeros(len(rough))), rcond=None)[0]
-            if abs(((basis @ coef - y) ** 2).sum() - 50) < 1:
-                matches.append(np.abs(basis @ coef - fitted).max())
-        if matches:
-            break
-    assert min(matches) < 0.05
+    n = np.arange(359)
+    y = 25 + 8 * np.sin(n / 30) + rng.normal(0, 30, 359)
+    gaps = {5, 90, 91, 92, 300, 357}
+    seen = np.array([k not in gaps for k in n])
+    fit = np.polynomial.Polynomial.fit(n[seen], y[seen], 5)
+    got, _ = _filled(_calendar(spark, In=_with_gaps(y, gaps)), "In")
+    np.testing.assert_allclose(got[~seen], fit(n[~seen]), atol=1e-7)
+    assert y[seen].min() < got[~seen].min() and got[~seen].max() < y[seen].max()
+
+
+def test_infinite_values_are_unknown(spark):
+    values = [20.0 + n for n in range(12)]
+    values[4], values[7] = float("inf"), float("-inf")
+    got, filled = _filled(_calendar(spark, In=values), "In")
+    np.testing.assert_allclose(got, [20.0 + n for n in range(12)], atol=1e-6)
+    assert set(np.flatnonzero(filled)) == {4, 7}
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_filled_days_lie_within_the_observed_range(spark, sf):
+    directory = f"/root/testdata/sf{sf}"
+    rows = entry.queries()["daily_filled"](spark, directory).collect()
+    series = {}
+    for r in rows:
+        series.setdefault((r.source, r.place), ([], []))[r.filled].append(r.temp_mean)
+    assert any(filled for _, filled in series.values())
+    for seen, filled in series.values():
+        assert all(min(seen) <= v <= max(seen) for v in filled)
 
 
 def test_series_without_gaps_and_mixed_batches(spark):

@@ -25,6 +25,7 @@ UNKNOWN_TIMING = "X"
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 #: Day first; single letters accept padded and unpadded numbers alike.
 NOTED_FORMAT = "d-M-yyyy H:m"
+NOTED_PATTERN = "^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4}) ([0-9]{1,2}):([0-9]{1,2})$"
 
 
 def text_array(names: list[str] | tuple[str, ...]) -> str:
@@ -36,7 +37,9 @@ def parse_noted(text: Column, strict: bool = True) -> Column:
     """Text to a zone-free timestamp; bad or no text raises, or is NULL if not strict."""
     if strict:
         return F.to_timestamp_ntz(F.coalesce(text, F.lit("")), F.lit(NOTED_FORMAT))
-    return F.try_to_timestamp(text, F.lit(NOTED_FORMAT)).cast("timestamp_ntz")
+    # by way of the ISO form, because a zoned timestamp would skip hours of some zones
+    iso = F.regexp_replace(text, NOTED_PATTERN, "$3-$2-$1 $4:$5:00")
+    return F.when(text.rlike(NOTED_PATTERN), iso).try_cast("timestamp_ntz")
 
 
 def _by_number(labels: dict[str, tuple[int, ...]]) -> list[str]:

@@ -23,8 +23,8 @@ def id_number(identifier: Column, strict: bool = True) -> Column:
 
 
 def known(number: Column) -> Column:
-    """NaN becomes NULL, so that aggregates skip it."""
-    return F.nanvl(number, F.lit(None).cast("double"))
+    """NaN and infinite numbers become NULL, so that aggregates skip them."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

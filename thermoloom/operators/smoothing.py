@@ -1,36 +1,22 @@
 """Smooth filling of the gaps in daily series.
 
-A gap takes the value of a quintic smoothing spline whose squared residual over
-the ``m`` observed days is at most ``m``; observed days keep their value. Series
-without a gap are left alone.
-
-* The plain quintic polynomial is tried first: its normal equations are moment
-  sums, which Spark aggregates, and only a 6x6 system per series is solved.
-* Series it does not fit well enough get a spline. Its knots are equally spaced
-  and doubled until the fit is close enough, and then the roughness at the knots
-  is reduced until the squared residual is ``m`` (Dierckx 1975; Eilers and Marx
-  1996).
-
-A series reaches a worker as one value per calendar day, never as readings.
+A gap takes the value of the quintic polynomial that fits the observed days of
+its series best (least squares); observed days keep their value, and series
+without a gap are left alone. The normal equations are moment sums over the
+series and are solved by elimination in column expressions, so days never leave
+Spark.
 """
 
 from __future__ import annotations
 
-from math import comb
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from thermoloom.functions.values import known
 from thermoloom.schemas import SERIES
 
 DEGREE = 5
 MIN_DAYS = DEGREE + 1
-#: The residual target is met to this relative precision.
-TOLERANCE = 1e-3
 
 
 def _on_unit_axis(calendar: DataFrame) -> DataFrame:
@@ -38,10 +24,10 @@ def _on_unit_axis(calendar: DataFrame) -> DataFrame:
     series = Window.partitionBy(*SERIES)
     first, last = F.min("daily").over(series), F.max("daily").over(series)
     t = F.datediff("daily", first) * 2 / F.nullif(F.datediff(last, first), F.lit(0)) - 1
-    return calendar.withColumn("t", F.coalesce(t, F.lit(0.0)))
+    return calendar.withColumns({"t": F.coalesce(t, F.lit(0.0)), "temp_mean": known(F.col("temp_mean"))})
 
 
-def _moment_sums() -> list[Column]:
+def _moment_sums() -> dict[str, Column]:
     power = [" * ".join(["1D"] + ["t"] * k) for k in range(2 * DEGREE + 1)]
     sums = {
         "days": "count(1)",
@@ -50,135 +36,51 @@ def _moment_sums() -> list[Column]:
         **{f"yt{k}": f"sum(temp_mean * {p})" for k, p in enumerate(power[:MIN_DAYS])},
         "yy": "sum(temp_mean * temp_mean)",
     }
-    return [F.expr(f"{total} AS {name}") for name, total in sums.items()]
+    return {name: F.expr(total) for name, total in sums.items()}
 
 
 def quintic_moments(calendar: DataFrame) -> DataFrame:
     """Sums of t^k (k to 10), y*t^k (k to 5) and y*y over the observed days."""
-    return _on_unit_axis(calendar).groupBy(*SERIES).agg(*_moment_sums())
-
-
-def _smooth_values(
-    powers: pd.Series, products: pd.Series, yy: pd.Series, times: pd.Series, values: pd.Series
-) -> pd.Series:
-    """Smooth value of every day of a batch of series."""
-    sums, right = np.stack(powers.to_numpy()), np.stack(products.to_numpy())
-    normal = sums[:, np.add.outer(np.arange(MIN_DAYS), np.arange(MIN_DAYS))]
-    observed = sums[:, 0]
-    normal[observed < MIN_DAYS] = np.eye(MIN_DAYS)
-    coef = np.linalg.solve(normal, right[..., None])[..., 0]
-    close = yy.to_numpy() - (coef * right).sum(axis=1) <= observed * (1 + TOLERANCE)
-    out = []
-    for t, y, c, polynomial in zip(times, values, coef, close, strict=True):
-        seen = ~np.isnan(y)
-        if seen.all() or seen.sum() < MIN_DAYS:
-            out.append(y)
-        elif polynomial:
-            out.append(np.polynomial.polynomial.polyval(t, c))
-        else:
-            out.append(smoothing_spline((t[seen] + 1) / 2, y[seen], (t + 1) / 2))
-    return pd.Series(out)
+    sums = [total.alias(name) for name, total in _moment_sums().items()]
+    return _on_unit_axis(calendar).groupBy(*SERIES).agg(*sums)
+
+
+def _eliminated(moments: DataFrame) -> DataFrame:
+    """Add ``c0`` to ``c5``, the solution of the normal equations.
+
+    Plain elimination of a symmetric positive definite system: row ``k`` is
+    taken from the rows below it, and the unknowns come out last to first. Too
+    few observed days leave them NULL.
+    """
+    size = range(MIN_DAYS)
+    start = {f"a{i}{j}": F.col(f"t{i + j}") for i in size for j in size if j >= i}
+    step = moments.withColumns(start | {f"b{i}": F.col(f"yt{i}") for i in size})
+    for k in size:
+        factor = {i: F.try_divide(f"a{k}{i}", f"a{k}{k}") for i in range(k + 1, MIN_DAYS)}
+        rows = {f"a{i}{j}": F.col(f"a{i}{j}") - f * F.col(f"a{k}{j}") for i, f in factor.items() for j in range(i, MIN_DAYS)}
+        step = step.withColumns(rows | {f"b{i}": F.col(f"b{i}") - f * F.col(f"b{k}") for i, f in factor.items()})
+    for k in reversed(size):
+        rest = F.col(f"b{k}")
+        for j in range(k + 1, MIN_DAYS):
+            rest = rest - F.col(f"a{k}{j}") * F.col(f"c{j}")
+        step = step.withColumn(f"c{k}", F.when(F.col("m") >= MIN_DAYS, F.try_divide(rest, F.col(f"a{k}{k}"))))
+    return step
 
 
 def fill_gaps(calendar: DataFrame, strict: bool = True) -> DataFrame:
     """The calendar with its gaps filled, and which days those are.
 
-    Everything is keyed by series, so the calendar is shuffled at most once. A
-    series with gaps and fewer than six observed days fails the job, or keeps its
-    gaps if not strict.
+    The moments are windows over a series, so the calendar is shuffled at most
+    once and joined with nothing. A series with gaps and fewer than six observed
+    days fails the job, or keeps its gaps if not strict.
     """
     problem = "concat_ws(' ', source, place, 'has too few days to fill its gaps:', m)"
     few = f"CAST(raise_error({problem}) AS BOOLEAN)" if strict else "true"
-    smooth = F.pandas_udf(_smooth_values, T.ArrayType(T.DoubleType()))
-    point = F.struct("daily", "t", "temp_mean")
-    series = (
-        _on_unit_axis(calendar)
-        .groupBy(*SERIES)
-        .agg(*_moment_sums(), F.sort_array(F.collect_list(point)).alias("points"))
-        .where(f"CASE WHEN days = m OR m >= {MIN_DAYS} THEN true ELSE {few} END")
-    )
-    powers = F.expr(f"array({', '.join(f't{k}' for k in range(2 * DEGREE + 1))})")
-    products = F.expr(f"array({', '.join(f'yt{k}' for k in range(MIN_DAYS))})")
-    values = smooth(powers, products, "yy", "points.t", "points.temp_mean")
-    return series.select(
-        *SERIES, F.explode(F.arrays_zip("points", values.alias("smooth"))).alias("day")
-    ).select(
-        *SERIES,
-        "day.points.daily",
-        F.coalesce("day.points.temp_mean", known(F.col("day.smooth"))).alias("temp_mean"),
-        F.col("day.points.temp_mean").isNull().alias("filled"),
-    )
-
-
-def _basis(u: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cell of each point and its six uniform quintic B-splines."""
-    cell = np.minimum((u * cells).astype(int), cells - 1)
-    offset = (u * cells - cell)[:, None] + DEGREE - np.arange(MIN_DAYS)
-    value = sum(
-        (-1) ** k * comb(MIN_DAYS, k) * np.maximum(offset - k, 0.0) ** DEGREE
-        for k in range(MIN_DAYS + 1)
-    )
-    return cell, value / 120
-
-
-def _add_outer(band: np.ndarray, start: np.ndarray, rows: np.ndarray) -> None:
-    """Add every row's outer product, shifted to its start, to an upper band."""
-    width = rows.shape[1]
-    for i in range(width):
-        for j in range(i, width):
-            np.add.at(band, (start + i, j - i), rows[:, i] * rows[:, j])
-
-
-def _solve_band(band: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Solve a symmetric positive definite banded system."""
-    band, x, n = band.copy(), right.copy(), len(right)
-    for i in range(n):
-        width = min(band.shape[1], n - i)
-        factor = band[i, 1:width] / band[i, 0]
-        for k in range(1, width):
-            band[i + k, : width - k] -= factor[k - 1] * band[i, k:width]
-        x[i + 1 : i + width] -= factor * x[i]
-    for i in reversed(range(n)):
-        width = min(band.shape[1], n - i)
-        x[i] = (x[i] - band[i, 1:width] @ x[i + 1 : i + width]) / band[i, 0]
-    return x
-
-
-def smoothing_spline(u: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Quintic smoothing spline through (u, y) on [0, 1], evaluated ``at``.
-
-    With as many cells as there are days the spline can pass through all points,
-    so doubling the knots ends.
-    """
-    center, target = y.mean(), float(len(y))
-    y = y - center
-    difference = np.array([(-1) ** k * comb(MIN_DAYS, k) for k in range(MIN_DAYS + 1)], float)
-    cells = 1
-    while True:
-        cells *= 2
-        cell, value = _basis(u, cells)
-        size = cells + DEGREE
-        fit, rough, right = np.zeros((size, 7)), np.zeros((size, 7)), np.zeros(size)
-        _add_outer(fit, cell, value)
-        _add_outer(rough, np.arange(cells - 1), np.tile(difference, (cells - 1, 1)))
-        for k in range(MIN_DAYS):
-            np.add.at(right, cell + k, value[:, k] * y)
-
-        def coefficients(log_weight: float) -> tuple[np.ndarray, float]:
-            coef = _solve_band(fit + 10.0**log_weight * rough, right)
-            return coef, float(((y - (value * coef[cell[:, None] + np.arange(6)]).sum(1)) ** 2).sum())
-
-        low = -10.0
-        coef, rss = coefficients(low)
-        if rss <= target * (1 + TOLERANCE):
-            break
-    high = low
-    while abs(rss - target) > TOLERANCE * target and rss < target and high < 10:
-        low, high = high, high + 2
-        coef, rss = coefficients(high)
-    while abs(rss - target) > TOLERANCE * target and high - low > 1e-6:
-        middle = (low + high) / 2
-        coef, rss = coefficients(middle)
-        low, high = (middle, high) if rss < target else (low, middle)
-    cell, value = _basis(at, cells)
-    return center + (value * coef[cell[:, None] + np.arange(6)]).sum(1)
+    series = Window.partitionBy(*SERIES)
+    summed = _on_unit_axis(calendar).withColumns({name: total.over(series) for name, total in _moment_sums().items()})
+    solved = _eliminated(summed.where(f"CASE WHEN days = m OR m >= {MIN_DAYS} THEN true ELSE {few} END"))
+    smooth = F.col(f"c{DEGREE}")
+    for k in reversed(range(DEGREE)):
+        smooth = smooth * F.col("t") + F.col(f"c{k}")
+    missing = F.col("temp_mean").isNull()
+    return solved.select(*SERIES, "daily", F.when(missing, smooth).otherwise(F.col("temp_mean")).alias("temp_mean"), missing.alias("filled"))

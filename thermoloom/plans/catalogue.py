@@ -26,6 +26,8 @@ from thermoloom.streaming import ingest
 Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 6
+#: Of values that come from solving a system.
+SOLVED_DIGITS = 4
 RUN_DATE = dt.date(2024, 12, 31)
 
 
@@ -99,12 +101,12 @@ def pipeline_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settle(smoothing.fill_gaps(_calendar(spark, sf_dir)), "temp_mean")
+    return _settle(smoothing.fill_gaps(_calendar(spark, sf_dir)), "temp_mean", digits=SOLVED_DIGITS)
 
 
 def in_out_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = jobs.daily_series(_readings(spark, sf_dir))
-    return _settle(reshape.daily_onehot(reshape.in_out_daily(filled)), *reshape.PLACES)
+    return _settle(reshape.daily_onehot(reshape.in_out_daily(filled)), *reshape.PLACES, digits=SOLVED_DIGITS)
 
 
 def _stored_model(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
