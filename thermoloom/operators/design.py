@@ -106,7 +106,7 @@ def design(train: DataFrame) -> DataFrame:
             "end": F.max("ds").over(series),
             "largest": F.max(F.abs("y")).over(series),
             "observed": F.count(F.lit(1)).over(series),
-            "history": F.sort_array(F.collect_list("ds").over(series)),
+            "position": F.row_number().over(series.orderBy("ds")) - 1,
         }
     ).selectExpr(
         "*",
@@ -115,8 +115,14 @@ def design(train: DataFrame) -> DataFrame:
         f"floor(observed * {CHANGEPOINT_RANGE}D) - 1 AS last",
         f"least({CHANGEPOINTS}, floor(observed * {CHANGEPOINT_RANGE}D) - 1) AS changes",
     )
+    # the days at the changepoints' positions: a series holds these few, not its history
+    wanted = f"transform(sequence(1, {CHANGEPOINTS}), j -> CAST(bround(last * j / changes, 0) AS INT))"
+    scaled = scaled.withColumn("wanted", F.expr(f"IF(changes > 0, {wanted}, array())")).withColumn(
+        "few",
+        F.collect_list(F.expr("IF(array_contains(wanted, position), struct(position, ds), NULL)")).over(series),
+    )
     knots = f"""transform(sequence(1, {CHANGEPOINTS}), j ->
-        IF(j <= changes, get(history, CAST(bround(last * j / changes, 0) AS INT)), NULL))"""
+        IF(j <= changes, map_from_entries(few)[wanted[j - 1]], NULL))"""
     blocks = [
         "array(1D, datediff(ds, start) / span)",
         f"transform({hinges('ds', 'knots')}, past -> past / span)",

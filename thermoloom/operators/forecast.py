@@ -24,7 +24,8 @@ from thermoloom.schemas import MODEL, SERIES
 
 #: Fixed value: scale of the half-normal prior on the residual deviation.
 SIGMA_SCALE = 0.5
-MAX_STEPS = 500
+#: Steps after which a fit that has not settled is an error.
+MAX_STEPS = 20_000
 SMALL = 1e-8
 
 _FIT_COLUMNS = "source string, place string, term string, coef double, scale double, knot date"
@@ -56,8 +57,8 @@ def posterior_mode(
             laplace, 1 / (scales * np.maximum(np.abs(coef), SMALL)), 1 / scales**2
         )
         if np.abs(coef - last).max() < SMALL:
-            break
-    return coef
+            return coef
+    raise ArithmeticError(f"the fit has not settled after {MAX_STEPS} steps")
 
 
 def _fit_series(rows: pd.DataFrame, prior_weight: float) -> pd.DataFrame:
@@ -105,6 +106,10 @@ def stamp_model(coefficients: DataFrame, ds: dt.date) -> DataFrame:
 def score(points: DataFrame, model: DataFrame) -> DataFrame:
     """Add the model's value ``yhat`` to rows with ``source``, ``place`` and ``ds``.
 
+    Of a model table with several run dates the latest of each series counts; a
+    term that occurs twice in one run is an error. Points of a series without a
+    model are left out.
+
     The model is folded to one row per series first, so a point meets one model
     row and its 61 terms are array arithmetic within the row: no exploded terms
     and no aggregation over the points. Whether the model side is broadcast is
@@ -112,11 +117,17 @@ def score(points: DataFrame, model: DataFrame) -> DataFrame:
     """
     position = F.expr(f"array_position({text_array([term.name for term in TERMS])}, term)")
     terms = F.array_sort(F.collect_list(F.struct(position.alias("position"), "coef", "knot")))
+    run = [F.col("ds").alias("run")] if "ds" in model.columns else [F.lit(None).cast("date").alias("run")]
+    twice = "CAST(raise_error(concat_ws(' ', source, place, 'has a term twice')) AS BOOLEAN)"
     folded = (
         model.where(position > 0)
+        .select(*SERIES, *run, "term", "coef", "knot")
+        .groupBy(*SERIES, "run")
+        .agg(terms.alias("terms"), F.countDistinct("term").alias("n"))
+        .where(f"CASE WHEN size(terms) = n THEN true ELSE {twice} END")
         .groupBy(*SERIES)
-        .agg(terms.alias("terms"))
-        .selectExpr(*SERIES, "terms.coef AS coefs", "terms.knot AS knots")
+        .agg(F.max(F.struct("run", "terms")).alias("last"))
+        .selectExpr(*SERIES, "last.terms.coef AS coefs", "last.terms.knot AS knots")
     )
     blocks = [
         "array(1D, CAST(datediff(ds, knots[1]) AS DOUBLE))",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from thermoloom.functions.calendar import calendar_parts, parse_noted
 from thermoloom.functions.values import id_number, id_token, known
+from thermoloom.schemas import CORRUPT
 
 
 def parse_readings(raw: DataFrame, strict: bool = True) -> DataFrame:
@@ -18,7 +19,7 @@ def parse_readings(raw: DataFrame, strict: bool = True) -> DataFrame:
     :func:`rejected_readings` has them. A strict parse gives no NULL dates.
     """
     if not strict:
-        raw = raw.where(~_refused())
+        raw = raw.where(~_refused(raw))
     return raw.select(
         "source",
         "id",
@@ -49,16 +50,21 @@ def preprocess(raw: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def _refused() -> Column:
-    return (
+def _refused(raw: DataFrame) -> Column:
+    refused = (
         parse_noted(F.col("noted_date"), strict=False).isNull()
         | id_number(F.col("id"), strict=False).isNull()
     )
+    if CORRUPT.name not in raw.columns:
+        return refused
+    # a record is found corrupt only where its number is read too
+    record = F.col(CORRUPT.name)
+    return refused | (record.isNotNull() & F.coalesce(F.col("temp").cast("string"), record).isNotNull())
 
 
 def rejected_readings(raw: DataFrame) -> DataFrame:
-    """Raw rows whose date or identifier a strict run would refuse."""
-    return raw.where(_refused())
+    """Raw rows whose date, identifier or number a strict run would refuse."""
+    return raw.where(_refused(raw))
 
 
 def duplicate_rows(raw: DataFrame) -> DataFrame:

@@ -38,9 +38,15 @@ def daily_calendar(daily: DataFrame) -> DataFrame:
     )
 
 
+def _too_short(available: str, days: int) -> str:
+    return f"raise_error(concat_ws(' ', source, 'has', {available}, 'days,', {days}, 'are needed'))"
+
+
 def train_dates(wide: DataFrame, days: int = TRAIN_DAYS) -> DataFrame:
-    """The ``days`` consecutive dates from each source's first day."""
-    start = wide.groupBy("source").agg(F.min("daily").alias("start"))
+    """The ``days`` consecutive dates from each source's first day; a source with
+    fewer days fails the job."""
+    start = wide.groupBy("source").agg(F.min("daily").alias("start"), F.count(F.lit(1)).alias("n"))
+    start = start.where(f"CASE WHEN n >= {days} THEN true ELSE CAST({_too_short('n', days)} AS BOOLEAN) END")
     return start.select(
         "source",
         F.explode(F.sequence("start", F.date_add("start", days - 1))).alias("ds"),
@@ -50,17 +56,18 @@ def train_dates(wide: DataFrame, days: int = TRAIN_DAYS) -> DataFrame:
 def train_frame(
     onehot: DataFrame,
     places: Iterable[str] = PLACES,
-    days: int = TRAIN_DAYS,
+    days: int | None = TRAIN_DAYS,
     strict: bool = True,
 ) -> DataFrame:
-    """First ``days`` days of each chosen place with season flags.
+    """First ``days`` days of each chosen place with season flags, or all days.
 
     The daily frame has no gaps, so its n-th row is the n-th training date.
     A source with fewer days fails the job and says so, or is left out if not
-    strict, as when it would have had a job of its own.
+    strict, as when it would have had a job of its own (:func:`untrained` lists
+    those).
     """
-    problem = f"concat_ws(' ', source, 'has', available, 'days,', {days}, 'are needed')"
-    short = f"CAST(raise_error({problem}) AS BOOLEAN)" if strict else "false"
+    short = f"CAST({_too_short('available', days or 0)} AS BOOLEAN)" if strict else "false"
+    enough = f"CASE WHEN available >= {days} THEN position <= {days} ELSE {short} END" if days else "true"
     series = Window.partitionBy(*SERIES)
     seasons = ("Monsoon", "Post_Monsoon", "Winter")
     return (
@@ -72,7 +79,7 @@ def train_frame(
         )
         .withColumn("position", F.row_number().over(series.orderBy("daily")))
         .withColumn("available", F.count(F.lit(1)).over(series))
-        .where(f"CASE WHEN available >= {days} THEN position <= {days} ELSE {short} END")
+        .where(enough)
         .selectExpr(
             *SERIES,
             "daily AS ds",
@@ -80,3 +87,14 @@ def train_frame(
             *[f"season_{season} = 1 AS {season.lower()}" for season in seasons],
         )
     )
+
+
+def untrained(calendar: DataFrame, days: int | None = None) -> DataFrame:
+    """Sources that get no model, and why: no indoor reading drives their days, or
+    fewer than ``days`` days."""
+    least = max(days or 1, 1)
+    inside = F.count_if(F.col("place") == "In")
+    reason = f"CASE WHEN days = 0 THEN 'no indoor readings' WHEN days < {least} THEN 'too few days' END"
+    return (
+        calendar.groupBy("source").agg(inside.alias("days")).withColumn("reason", F.expr(reason)).where("reason IS NOT NULL")
+    )

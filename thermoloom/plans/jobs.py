@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermoloom.operators.forecast import fit, score, stamp_model
-from thermoloom.operators.quality import preprocess
+from thermoloom.functions.calendar import weekday_ordinal
+from thermoloom.operators.quality import preprocess, rejected_readings
 from thermoloom.operators.reshape import PLACES, daily_onehot, extremes_long, in_out_daily, in_out_month_long
 from thermoloom.operators.rollups import (
     daily_cube,
@@ -21,7 +22,8 @@ from thermoloom.operators.rollups import (
     value_share,
 )
 from thermoloom.operators.smoothing import fill_gaps
-from thermoloom.operators.timeseries import TRAIN_DAYS, daily_calendar, train_frame
+from thermoloom.operators.timeseries import daily_calendar, train_frame, untrained
+from thermoloom.schemas import SERIES
 from thermoloom.sources.tables import read_model, write_model, write_stage
 
 
@@ -34,15 +36,29 @@ def daily_series(readings: DataFrame, fill: bool = True, strict: bool = True) ->
 def training_data(
     readings: DataFrame,
     places: Iterable[str] = PLACES,
-    days: int = TRAIN_DAYS,
+    days: int | None = None,
     fill: bool = True,
     strict: bool = True,
 ) -> DataFrame:
-    """Training frame of every source and chosen place."""
+    """Training frame of every source and chosen place: the first ``days`` days,
+    or all of them."""
     wide = in_out_daily(daily_series(readings, fill, strict))
     return train_frame(daily_onehot(wide), places, days, strict)
 
 
+def read_report(name: str, table: DataFrame) -> DataFrame:
+    """A written report in its order, which a written table has not."""
+    orders = {
+        "month_share": ("source", "Month"),
+        "place_share": ("source", F.desc("readings"), "place"),
+        "season_share": ("source", F.desc("readings"), "season"),
+        "timing_share": ("source", F.desc("readings"), "timing"),
+        "month_share_by_place": ("source", "place", "Month"),
+        "mean_by_weekday": (*SERIES, weekday_ordinal("weekday")),
+    }
+    return table.orderBy(*orders[name]) if name in orders else table
+
+
 def reports(cube: DataFrame) -> dict[str, DataFrame]:
     """All share, extreme and mean tables from the daily cube."""
     series = cube.where("place IS NOT NULL")
@@ -67,10 +83,11 @@ def train_and_store(
     model_path: str,
     ds: dt.date,
     places: Iterable[str] = ("Out",),
-    days: int = TRAIN_DAYS,
+    days: int | None = None,
+    strict: bool = True,
 ) -> None:
     """Fit the chosen places and replace their models of the run date."""
-    write_model(stamp_model(fit(training_data(readings, places, days)), ds), model_path)
+    write_model(stamp_model(fit(training_data(readings, tuple(places), days, strict=strict)), ds), model_path)
 
 
 def run_pipeline(
@@ -78,8 +95,9 @@ def run_pipeline(
     workspace: str,
     ds: dt.date,
     places: Iterable[str] = ("Out",),
-    days: int = TRAIN_DAYS,
+    days: int | None = None,
     strict: bool = True,
+    rebalance: bool = False,
 ) -> dict[str, DataFrame]:
     """Preprocess, report and train; every result is a table under ``workspace``.
 
@@ -88,10 +106,14 @@ def run_pipeline(
     daily cube, and everything after it reads only the cube or less. Both tables
     cut lineage: losing executors later never means going back to the raw input.
 
-    If not strict, readings that cannot be parsed are left out, and a source too
-    short to train on has reports but no model.
+    If not strict, readings that cannot be parsed go to ``rejected``, and a source
+    without indoor readings or too short to train on has reports but no model and
+    stands in ``untrained``; a strict run fails instead. ``rebalance`` gathers the
+    feature table by source, which pays off with many sources.
     """
-    readings = write_stage(preprocess(raw, strict), f"{workspace}/readings")
+    places = tuple(places)
+    rejected = {} if strict else {"rejected": write_stage(rejected_readings(raw), f"{workspace}/rejected", rebalance=True)}
+    readings = write_stage(preprocess(raw, strict), f"{workspace}/readings", rebalance)
     cube = write_stage(daily_cube(timestamp_rollup(readings)), f"{workspace}/cube", rebalance=True)
     tables = {
         name: write_stage(table, f"{workspace}/reports/{name}", rebalance=True)
@@ -100,6 +122,9 @@ def run_pipeline(
     daily = write_stage(
         fill_gaps(daily_calendar(tables["mean_by_day"]), strict), f"{workspace}/daily", rebalance=True
     )
+    left = write_stage(untrained(daily, days), f"{workspace}/untrained", rebalance=True)
+    if strict and (first := left.first()):
+        raise ValueError(f"source {first.source!r} cannot be trained: {first.reason}")
     frame = train_frame(daily_onehot(in_out_daily(daily)), places, days, strict)
     write_model(stamp_model(fit(frame), ds), f"{workspace}/models")
     model = read_model(raw.sparkSession, f"{workspace}/models", ds)
@@ -108,7 +133,9 @@ def run_pipeline(
     return {
         "readings": readings,
         "cube": cube,
-        **tables,
+        **{name: read_report(name, table) for name, table in tables.items()},
+        **rejected,
+        "untrained": left,
         "daily": daily,
         "model": model,
         "scores": scored,

@@ -19,6 +19,9 @@ RAW = T.StructType(
 #: Uploads lie under ``source=<name>/``; the directory supplies the column.
 LANDED = T.StructType([*RAW.fields, T.StructField("source", T.StringType())])
 
+#: Of a scan that is not strict: the text of a record that does not fit the schema.
+CORRUPT = T.StructField("corrupt_record", T.StringType())
+
 #: Fitted model, one row per term. ``coef`` is in degrees and multiplies a term
 #: of the raw date (see ``operators.forecast``), ``scale`` is the prior scale and
 #: ``knot`` the day a trend term starts from.

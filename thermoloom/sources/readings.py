@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermoloom.schemas import LANDED, RAW
+from pyspark.sql import types as T
+
+from thermoloom.schemas import CORRUPT, LANDED, RAW
 
 
 def csv_options(strict: bool = True) -> dict[str, str]:
@@ -18,13 +20,19 @@ def csv_options(strict: bool = True) -> dict[str, str]:
         "header": "true",
         "enforceSchema": "false",
         "mode": "FAILFAST" if strict else "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT.name,
     }
 
 
+def _schema(base: T.StructType, strict: bool) -> T.StructType:
+    """If not strict, a record that does not fit is kept as text beside its row."""
+    return base if strict else T.StructType([*base.fields[: len(RAW.fields)], CORRUPT, *base.fields[len(RAW.fields) :]])
+
+
 def read_csv(spark: SparkSession, path: str, source: str, strict: bool = True) -> DataFrame:
     """One source's CSV file(s), on any file system Spark can reach."""
     return (
-        spark.read.schema(RAW)
+        spark.read.schema(_schema(RAW, strict))
         .options(**csv_options(strict))
         .csv(path)
         .withColumn("source", F.lit(source))
@@ -33,7 +41,7 @@ def read_csv(spark: SparkSession, path: str, source: str, strict: bool = True) -
 
 def read_landing(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
     """All sources under ``root/source=<name>/``."""
-    return spark.read.schema(LANDED).options(**csv_options(strict)).csv(root)
+    return spark.read.schema(_schema(LANDED, strict)).options(**csv_options(strict)).csv(root)
 
 
 def write_landing(raw: DataFrame, root: str) -> None:

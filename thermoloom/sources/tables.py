@@ -8,7 +8,14 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermoloom.schemas import MODEL
+from pyspark.sql import types as T
+
+from thermoloom.schemas import LANDED, MODEL
+
+#: Archived rows; the run is text, also where it looks like a number.
+ARCHIVED = T.StructType(
+    [*LANDED.fields, T.StructField("ts", T.TimestampNTZType()), T.StructField("run_id", T.StringType())]
+)
 
 #: Model rows are replaced per run date, source and place.
 MODEL_PARTITIONS = ("ds", "source", "place")
@@ -27,7 +34,9 @@ def write_stage(df: DataFrame, path: str, rebalance: bool = False) -> DataFrame:
     if rebalance:
         df = df.hint("rebalance", "source")
     df.write.mode("overwrite").partitionBy("source").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    # a partition of the empty name is read as NULL
+    return back.withColumn("source", F.coalesce("source", F.lit(""))).select(*df.columns)
 
 
 def archive_readings(raw: DataFrame, path: str, run_id: str, moment: dt.datetime) -> DataFrame:
@@ -50,7 +59,7 @@ def archive_readings(raw: DataFrame, path: str, run_id: str, moment: dt.datetime
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Every archived run, with its ``run_id`` and ``ts``."""
-    return spark.read.parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+    return spark.read.schema(ARCHIVED).parquet(path)
 
 
 def write_model(model: DataFrame, path: str) -> None:

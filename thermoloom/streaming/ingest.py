@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from thermoloom.operators.quality import preprocess
-from thermoloom.operators.timeseries import TRAIN_DAYS
 from thermoloom.plans.jobs import train_and_store
 from thermoloom.schemas import LANDED
 from thermoloom.sources.readings import csv_options
@@ -94,7 +93,7 @@ class TrainingJob:
     archive: str
     models: str
     places: Iterable[str] = ("Out",)
-    days: int = TRAIN_DAYS
+    days: int | None = None
     ds: dt.date | None = None
     name: str = "upload"
 
