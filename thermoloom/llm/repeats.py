@@ -4,7 +4,7 @@ Each map task deals its keys to buckets by their top bits and sends one packed
 row per bucket. A key that recurs within the batch is settled there and sent
 once, so a key held by a third of all rows costs one entry per batch instead of
 one per row. A bucket's task sorts the keys and compares neighbours; the entries
-of repeated keys go back to their documents.
+of repeated keys go back, packed by groups of documents.
 """
 
 from __future__ import annotations
@@ -14,15 +14,17 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import partitions
+from .hashing import mix
 
 FLUSH_ENTRIES = 1_000_000
 BUCKETS_PER_PARTITION = 4
 
 SENT = "bucket int, settled boolean, low binary, high binary, docs binary, refs binary"
+GROUPED = "bucket int, docs binary, refs binary"
 FOUND = "doc_id long, refs binary"
+_GROUPED = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("refs", pa.binary())])
 _SENT = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), *((n, pa.binary()) for n in ("low", "high", "docs", "refs"))])
 _FOUND = pa.schema([("doc_id", pa.int64()), ("refs", pa.binary())])
 
@@ -90,13 +92,29 @@ def _by_document(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array(ids[part.start : part.stop]), pa.array([_delta(refs[at[k] : at[k + 1]], np.int32) for k in part], pa.binary())], schema=_FOUND)
 
 
+def _by_group(found: list[tuple[np.ndarray, np.ndarray]], groups: int) -> Iterator[pa.RecordBatch]:
+    """Packed rows, one for each group of documents."""
+    if not found:
+        return
+    docs, refs = (np.concatenate(x) for x in zip(*found, strict=True))
+    if not len(docs):
+        return
+    group = (mix(docs.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+    order = np.lexsort((refs, docs, group))
+    docs, refs, group = docs[order], refs[order], group[order]
+    at = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    rows = [(int(group[a]), _delta(docs[a:b], np.int64), _delta(refs[a:b], np.int32)) for a, b in zip(at, np.append(at[1:], len(group)), strict=True)]
+    for a in range(0, len(rows), 256):
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows[a : a + 256], strict=True), _GROUPED, strict=True)], schema=_GROUPED)
+
+
 def repeated(df: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[Entries]], wide: bool = True) -> DataFrame:
     """Rows (doc_id, refs): the places whose key occurs elsewhere, as differences
     of int32 that :func:`places` reads.
 
     ``entries`` turns an Arrow batch of ``df`` into keys. ``wide`` keeps all 64
     bits of a key; otherwise 48 and the bucket, enough where a false repeat only
-    costs a later check. A document has several rows, with disjoint places.
+    costs a later check. One row per document that has any.
     """
     n = partitions(df.sparkSession)
     buckets = min(BUCKETS_PER_PARTITION * n, 1 << 16)
@@ -144,19 +162,30 @@ def repeated(df: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[Entries
                 if r["settled"]:
                     found.append((_undelta(r["docs"], np.int64), _undelta(r["refs"], np.int32)))
                     size += len(found[-1][0])
-                    continue
-                if r["bucket"] != bucket:
+                elif r["bucket"] != bucket:
                     if waiting:
                         found.append(settle())
                         size += len(found[-1][0])
                     bucket, waiting = r["bucket"], []
-                waiting.append(r)
+                if not r["settled"]:
+                    waiting.append(r)
                 if size > FLUSH_ENTRIES:
-                    yield from _by_document(found)
+                    yield from _by_group(found, buckets)
                     found, size = [], 0
         if waiting:
             found.append(settle())
-        yield from _by_document(found)
+        yield from _by_group(found, buckets)
+
+    def gather(batches):
+        bucket, parts = None, []
+        for rows in batches:
+            for r in rows.to_pylist():
+                if r["bucket"] != bucket:
+                    yield from _by_document(parts)
+                    bucket, parts = r["bucket"], []
+                parts.append((_undelta(r["docs"], np.int64), _undelta(r["refs"], np.int32)))
+        yield from _by_document(parts)
 
     sent = df.mapInArrow(deal, SENT).repartition(n, "bucket").sortWithinPartitions("settled", "bucket")
-    return sent.mapInArrow(compare, FOUND)
+    found = sent.mapInArrow(compare, GROUPED).repartition(n, "bucket").sortWithinPartitions("bucket")
+    return found.mapInArrow(gather, FOUND)

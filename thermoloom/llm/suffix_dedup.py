@@ -104,15 +104,14 @@ def _segments(length: int):
     def run(batches):
         for batch in batches:
             out = []
-            for doc, text, parts in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("refs").to_pylist(), strict=True):
+            for doc, text, marks in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("refs").to_pylist(), strict=True):
                 text = text.as_buffer()
                 n = len(text) if text is not None else 0
                 if n < length:
                     continue
                 again = np.zeros(n - period + 1, bool)
-                for p in parts:
-                    at = places(p)
-                    again[at[at < len(again)]] = True
+                at = places(marks)
+                again[at[at < len(again)]] = True
                 before = np.append(0, np.cumsum(again))
                 # a string at i meets its partner's at some sample of i ... i + period - 1
                 good = before[period : n - period + 1] > before[: n - length + 1]
@@ -147,8 +146,8 @@ def _spans(length: int):
     def run(batches):
         for batch in batches:
             begins, ends = [], []
-            for parts in batch.column("refs").to_pylist():
-                at = np.sort(np.concatenate([places(p) for p in parts]))
+            for marks in batch.column("refs").to_pylist():
+                at = places(marks)
                 new = np.append(True, at[1:] > at[:-1] + length)
                 begins.append(at[new].tolist())
                 ends.append((np.append(at[:-1][new[1:]], at[-1]) + length).tolist())
@@ -194,9 +193,9 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     classes = names.groupBy("name").agg(F.min("doc_id").alias("first"), F.count("*").alias("k")).where("k > 1")
     twins = stored(names.join(classes, "name").groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("first")).alias("later")), "twins")
     singles = docs.join(twins.where("later"), "doc_id", "left_anti")
-    marked = stored(repeated(singles, _sample_names(length), wide=False).groupBy("doc_id").agg(F.collect_list("refs").alias("refs")), "names")
+    marked = stored(repeated(singles, _sample_names(length), wide=False), "names")
     segments = stored(docs.join(marked, "doc_id").mapInArrow(_segments(length), "doc_id long, offset long, text binary"), "segments")
-    found = repeated(segments, _suffix_names(length), wide=True).groupBy("doc_id").agg(F.collect_list("refs").alias("refs"))
+    found = repeated(segments, _suffix_names(length), wide=True)
     spans = stored(found.mapInArrow(_spans(length), "doc_id long, begins array<long>, ends array<long>"), "spans")
     whole = twins.select("doc_id", F.lit(True).alias("whole"))
     return spans.join(whole, "doc_id", "full")
