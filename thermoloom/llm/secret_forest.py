@@ -50,9 +50,9 @@ def _count(value: Column, pattern: str) -> Column:
 
 
 def _pairs(value: Column) -> Column:
-    """Letters and digits of a value, as overlapping pairs."""
+    """Letters and digits of a value, as overlapping pairs (found in one pass)."""
     plain = F.regexp_replace(F.lower(value), "[^a-z0-9]", "")
-    return F.when(F.length(plain) > 1, F.transform(F.sequence(F.lit(1), F.length(plain) - 1), lambda i: F.substring(plain, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(plain, F.lit("(?=([a-z0-9]{2}))"), F.lit(1))
 
 
 def transition_weights(found: DataFrame) -> dict[str, float]:

@@ -30,7 +30,8 @@ GIVEN = {
 SYLLABLES = {"latin": "bar den fol gar hun jor kel lam mor nev pel ras sol tam vin wes".split(), "cyrillic": "бар вен гор дал кел лам мор нев пел рас сол тим ран вес зин лор".split()}
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,}"
+#: The lengths are those that mail allows; they also bound the search in long runs.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9.-]{0,250}[A-Za-z0-9])?\.[A-Za-z]{2,24}"
 IPV4 = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"
 PHONE = r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})[ .-]?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
