@@ -44,22 +44,30 @@ class Tree:
     children: np.ndarray
     spill: float
 
-    def leaves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf) pairs of unit vectors; a row near a cut has several."""
+    def leaves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, leaf, left) of unit vectors; a row near a cut has several leaves.
+
+        Bit d of ``left`` is set where the way to the leaf turns right at depth d
+        and the row went left as well.
+        """
         if not len(self.cuts):
-            return np.arange(len(x)), np.zeros(len(x), np.int64)
-        rows, leaves, todo = [], [], [(0, np.arange(len(x)))]
+            return np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+        rows, leaves, marks, todo = [], [], [], [(0, np.arange(len(x)), np.zeros(len(x), np.int64), 0)]
         while todo:
-            node, own = todo.pop()
+            node, own, left, depth = todo.pop()
             if node < 0:
                 rows.append(own)
                 leaves.append(np.full(len(own), -1 - node))
+                marks.append(left)
                 continue
             at = x[own] @ self.directions[node] - self.cuts[node]
-            for child, part in zip(self.children[node], (own[at <= self.spill], own[at >= -self.spill]), strict=True):
-                if len(part):
-                    todo.append((int(child), part))
-        return (np.concatenate(rows), np.concatenate(leaves)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            low, high = at <= self.spill, at >= -self.spill
+            for child, part, mark in zip(self.children[node], (low, high), (left, left | low.astype(np.int64) << depth), strict=True):
+                if part.any():
+                    todo.append((int(child), own[part], mark[part], depth + 1))
+        if not rows:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate(rows), np.concatenate(leaves), np.concatenate(marks)
 
 
 def _spill(dimension: int, cosine: float) -> float:
@@ -108,7 +116,7 @@ def _vectors(column: pa.Array) -> np.ndarray:
 
 
 def _route(trees: dict[int, list[Tree]]):
-    schema = pa.schema([("leaf", pa.int64()), ("node", pa.int64()), ("unit", pa.list_(pa.float64()))])
+    schema = pa.schema([("leaf", pa.int64()), ("node", pa.int64()), ("left", pa.int64()), ("unit", pa.list_(pa.float64()))])
 
     def run(batches):
         for batch in batches:
@@ -117,49 +125,56 @@ def _route(trees: dict[int, list[Tree]]):
                 own = batch.filter(pa.array(sizes == d))
                 node, x = own.column("node").to_numpy(), _unit(_vectors(own.column("embedding")))
                 for t, tree in enumerate(trees.get(int(d), [])):
-                    rows, leaf = tree.leaves(x)
+                    rows, leaf, left = tree.leaves(x)
                     for a in range(0, len(rows), 5000):
                         part = x[rows[a : a + 5000]]
                         flat = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * d), pa.array(part.ravel()))
                         key = (int(d) << 40) + (t << 32) + leaf[a : a + 5000]
-                        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[rows[a : a + 5000]]), flat], schema=schema)
+                        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[rows[a : a + 5000]]), pa.array(left[a : a + 5000]), flat], schema=schema)
 
     return run
 
 
-def near_pairs(x: np.ndarray, first: np.ndarray, cosine: float, seed: int, depth: int = 0) -> set[tuple[int, int]]:
+def near_pairs(x: np.ndarray, left: np.ndarray, first: np.ndarray, cosine: float, seed: int, depth: int = 0) -> np.ndarray:
     """Pairs of rows at ``cosine`` or nearer, one with ``first`` set and one
     without, or any two if all are set; large sets are split on by random
-    projections with spill."""
+    projections with spill.
+
+    A pair that went left together is left to that side, so that a tree names it
+    about once and not in every leaf where spill brings it together.
+    """
     both = first.all()
-    if len(x) > LEAF_ROWS and depth < 40:
+    if len(x) > LEAF_ROWS and depth < 30:
         rng = np.random.default_rng((seed, depth))
         direction = rng.standard_normal(x.shape[1])
         direction /= np.linalg.norm(direction)
         at = x @ direction
         cut, spill = np.median(at), _spill(x.shape[1], cosine)
-        parts = [np.flatnonzero(at <= cut + spill), np.flatnonzero(at >= cut - spill)]
-        if max(map(len, parts)) < 0.9 * len(x):
-            found = set()
-            for k, own in enumerate(parts):
+        low, high = at <= cut + spill, at >= cut - spill
+        if max(low.sum(), high.sum()) < 0.9 * len(x):
+            found = [np.zeros((0, 2), np.int64)]
+            for k, (part, mark) in enumerate(((low, left), (high, left | low.astype(np.int64) << (62 - depth)))):
+                own = np.flatnonzero(part)
                 if both or (first[own].any() and not first[own].all()):
-                    found |= {(int(own[a]), int(own[b])) for a, b in near_pairs(x[own], first[own], cosine, seed * 2 + k, depth + 1)}
-            return found
+                    found.append(own[near_pairs(x[own], mark[own], first[own], cosine, seed * 2 + k, depth + 1)])
+            return np.concatenate(found)
     if both:
         a, b = np.nonzero(np.triu(x @ x.T >= cosine, 1))
-        return set(zip(a.tolist(), b.tolist(), strict=True))
-    left, right = np.flatnonzero(first), np.flatnonzero(~first)
-    a, b = np.nonzero(x[left] @ x[right].T >= cosine)
-    return set(zip(left[a].tolist(), right[b].tolist(), strict=True))
+    else:
+        one, two = np.flatnonzero(first), np.flatnonzero(~first)
+        a, b = np.nonzero(x[one] @ x[two].T >= cosine)
+        a, b = one[a], two[b]
+    once = (left[a] & left[b]) == 0
+    return np.column_stack([a[once], b[once]])
 
 
 def _compare(cosine: float):
     def run(table: pa.Table) -> pa.Table:
-        node = table.column("node").to_numpy()
+        node, left = table.column("node").to_numpy(), table.column("left").to_numpy()
         x = _vectors(table.column("unit").combine_chunks())
         one, two = table.column("one")[0].as_py(), table.column("two")[0].as_py()
         first = np.ones(len(node), bool) if one == two else table.column("block").to_numpy() == one
-        pairs = np.array(sorted(near_pairs(x, first, cosine, int(table.column("leaf")[0].as_py() % 1_000_003))), np.int64).reshape(-1, 2)
+        pairs = near_pairs(x, left, first, cosine, int(table.column("leaf")[0].as_py() % 1_000_003))
         a, b = node[pairs[:, 0]], node[pairs[:, 1]]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
@@ -202,10 +217,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, fit_vectors: int
         flat = Tree(np.zeros((0, 1)), np.zeros(0), np.zeros((0, 2), np.int64), 0.0)
         others = [r.d for r in classes.select(F.size("embedding").alias("d")).distinct().where(~F.array_contains(seen, F.col("d"))).limit(100_000).collect()]
         trees |= {d: [flat] for d in others}
-        routed = stored(classes.select("node", "embedding").mapInArrow(_route(trees), "leaf long, node long, unit array<double>"), "leaves")
+        routed = stored(classes.select("node", "embedding").mapInArrow(_route(trees), "leaf long, node long, left long, unit array<double>"), "leaves")
         blocks = routed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
         dealt = routed.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        dealt = dealt.select("leaf", "node", "unit", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+        dealt = dealt.select("leaf", "node", "left", "unit", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
         pairs = stored(dealt.groupBy("leaf", "one", "two").applyInArrow(_compare(cosine), "a long, b long").distinct(), "pairs")
         sizes = classes.select("node", "k")
         ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
