@@ -43,7 +43,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if spark.conf.get("spark.master", "").split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="thermoloom-")
     return f"{root.rstrip('/')}/thermoloom/{name}-{uuid.uuid4().hex}"
