@@ -40,6 +40,21 @@ def test_slots_have_to_agree(spark):
     assert _leaks(spark, docs, [(1, item)]) == {(1, 1)}
 
 
+def test_every_occurrence_is_judged(spark):
+    """Occurrences in one document, and windows of the item elsewhere in it, must
+    not spoil each other."""
+    other = lambda place, km, name, n: f"If a train leaves {place} with {km} km per hour and {name} waits {n} hours for the {km} km train, how far does it go?"
+    torn = ITEM.replace("for the", "for all of the time for the")
+    scraps = " ".join(f"a train leaves {p} with {k} mm and {q} waits {k + 7} days for the {k + 3} h train so" for k, (p, q) in enumerate(zip(["Rome", "Paris", "Oslo"] * 9, ["Otto", "Maria", "Hugo"] * 9, strict=True)))
+    docs = [
+        (1, ITEM + " Again. " + other("Paris", 80, "Maria", 5)), (2, other("Rome", 7, "Otto", 4) + " " + other("Oslo", 90, "Paul", 6) + " " + other("Kiel", 31, "Ida", 9)),
+        (3, scraps + " " + ITEM + " " + scraps), (4, other("Rome", 7, "Otto", 4) + " " + torn), (5, other("Rome", 7, "Otto", 4)), (5, ITEM),
+    ]
+    assert _leaks(spark, docs, [(1, ITEM)]) == {(k, 1) for k in range(1, 6)}
+    sums = " ".join(f"then the pupil adds {a} to the sum" for a in (3, 14, 15, 92, 65, 35))
+    assert _leaks(spark, [(1, "So " + sums + " at last")], [(1, sums)]) == {(1, 1)}
+
+
 def test_given_passages_are_found_and_dropped(spark):
     """Brute force: documents that hold the words of an item in a row."""
     import re

@@ -4,15 +4,16 @@ A text becomes a template: numbers, units and names turn into typed
 placeholders, everything else is lower-cased, punctuation goes. Windows of five
 template words are hashed and joined with those of the benchmark items; a
 question asked again with other numbers, units or names has the same windows.
-What stood at the placeholders must also fit: within a document each value of
-the item has to become the same new value nearly everywhere.
+What stood at the placeholders must also fit: within an occurrence each value of
+the item has to become the same new value nearly everywhere. An occurrence is a
+group of hits whose place in the document less that in the item is about the same.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import columns, running, stored
@@ -114,7 +115,7 @@ def template(part: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _windows(column: pa.Array):
-    """(text, window hash, values at the placeholders) for a chunk at a time.
+    """(text, place of the window, its hash, values at the placeholders) for a chunk at a time.
 
     A text of fewer than five words is one window, its whole template.
     """
@@ -128,7 +129,8 @@ def _windows(column: pa.Array):
         size = np.minimum(count, WINDOW)
         number = np.where(count > 0, count - size + 1, 0)
         text = np.repeat(np.arange(first, last), number)
-        start = np.repeat(at[:-1], number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+        place = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+        start = np.repeat(at[:-1], number) + place
         width = np.repeat(size, number)
         total, literal = np.zeros(len(start), np.uint64), np.zeros(len(start), np.int64)
         values = np.zeros((len(start), WINDOW), np.uint64)
@@ -140,58 +142,91 @@ def _windows(column: pa.Array):
             values[there, k] = slots[where]
         total = mix(total + width.astype(np.uint64))
         good = literal >= np.minimum(width, LEAST_LITERALS)
-        yield text[good], total[good], values[good]
+        yield text[good], place[good], total[good], values[good]
 
 
 def _window_rows(id_name: str, wanted: np.ndarray | None):
     def run(batches):
         for batch in batches:
-            ids = batch.column(id_name).to_numpy(zero_copy_only=False)
-            for text, key, values in _windows(batch.column("text")):
+            ids, rows = (batch.column(c).to_numpy(zero_copy_only=False) for c in (id_name, "row"))
+            for text, place, key, values in _windows(batch.column("text")):
                 if wanted is not None:
                     hit = _isin(key, wanted)
-                    text, key, values = text[hit], key[hit], values[hit]
+                    text, place, key, values = text[hit], place[hit], key[hit], values[hit]
                 for a in range(0, len(text), 100_000):
-                    part = values[a : a + 100_000]
+                    part, of = values[a : a + 100_000], text[a : a + 100_000]
                     slots = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * WINDOW), pa.array(part.astype(np.int64).ravel()))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[text[a : a + 100_000]]), pa.array(key[a : a + 100_000].astype(np.int64)), slots], names=[id_name, "key", "slots"])
+                    arrays = [pa.array(ids[of]), pa.array(rows[of]), pa.array(place[a : a + 100_000]), pa.array(key[a : a + 100_000].astype(np.int64)), slots]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[id_name, "row", "place", "key", "slots"])
 
     return run
 
 
+def _window_table(df: DataFrame, id_name: str, wanted: np.ndarray | None) -> DataFrame:
+    """Distinct rows (id, row, place, key, slots); row stands for the text."""
+    texts = df.select(id_name, F.xxhash64("text").alias("row"), "text")
+    return texts.mapInArrow(_window_rows(id_name, wanted), f"{id_name} long, row long, place long, key long, slots array<long>").distinct()
+
+
+def _occurrences(pairs: DataFrame) -> DataFrame:
+    """Rows (doc_id, item_id, at, key, item_slots, slots): the hits of every group
+    ``at`` that may be an occurrence.
+
+    Groups are the hits with the same offset (place in the document less place in
+    the item), those with offsets in a stretch as long as the item, in two grids
+    half a stretch apart (so that some words may have been put in), and, for items
+    torn further apart, the whole document. Of several hits of one window of the
+    item a group takes that of the offset with most hits.
+    """
+    pairs = pairs.withColumn("offset", F.col("place") - F.col("item_place"))
+    pairs = pairs.withColumn("n", F.count("*").over(Window.partitionBy("doc_id", "item_id", "row", "item_row", "offset")))
+    none = F.lit(0).cast("long")
+    group = lambda kind, row, part, value: F.struct(F.lit(kind).alias("kind"), row.alias("row"), part.alias("part"), value.cast("long").alias("value"))
+    row, part, offset, length = (F.col(c) for c in ("row", "item_row", "offset", "length"))
+    groups = F.array(group(0, row, part, offset), group(1, row, none, F.floor(offset / length)), group(2, row, none, F.floor(offset / length + 0.5)), group(3, none, none, none))
+    best = F.max_by(F.struct("key", "item_slots", "slots"), F.struct("n", "row", "offset")).alias("b")
+    return pairs.withColumn("at", F.explode(groups)).groupBy("doc_id", "item_id", "at", "item_row", "item_place").agg(best).select("doc_id", "item_id", "at", "b.*")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Rows (doc_id, item_id, coverage, consistency) of documents that hold an item.
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text. ``coverage``
-    is the share of the item's distinct windows that occur in the document,
-    ``consistency`` the share of placeholder values that follow the item's most
-    frequent replacement (1 without placeholders); both reach ``similarity``. An
-    item of fewer than five words matches only a whole text. Null, empty and
-    blank texts match nothing; rows that share a doc_id count as one document,
-    items that share an item_id as one item; null ids are left out.
+    is the share of the item's distinct windows that occur together in the
+    document, ``consistency`` the share of placeholder values there that follow
+    the item's most frequent replacement (1 without placeholders). A document is
+    reported if one occurrence reaches ``similarity`` in both, with the figures of
+    the one that covers most. An item of fewer than five words matches only a
+    whole text. Null, empty and blank texts match nothing; rows that share a
+    doc_id count as one document, items that share an item_id as one item; null
+    ids are left out.
     """
     spark = docs.sparkSession
     docs = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
     items = columns(benchmark, "item_id", "text").withColumn("item_id", F.col("item_id").cast("long")).where("item_id is not null")
     with running(spark):
-        known = items.mapInArrow(_window_rows("item_id", None), "item_id long, key long, slots array<long>")
-        known = stored(known.groupBy("item_id", "key").agg(F.first("slots").alias("item_slots")), "item_windows")
+        known = _window_table(items, "item_id", None).select("item_id", F.col("row").alias("item_row"), F.col("place").alias("item_place"), "key", F.col("slots").alias("item_slots"))
+        known = stored(known, "item_windows")
         n = known.select("key").distinct().count()
         wanted = None
         if n <= MOST_SENT:
             keys = [int(r.key) for r in known.select("key").distinct().collect()]
             wanted = np.sort(np.array(keys, np.int64).astype(np.uint64))
-        found = stored(docs.mapInArrow(_window_rows("doc_id", wanted), "doc_id long, key long, slots array<long>").distinct(), "windows")
-    sizes = known.groupBy("item_id").agg(F.count("*").alias("windows"))
-    pairs = found.join(known, "key")
-    covered = pairs.groupBy("doc_id", "item_id").agg(F.countDistinct("key").alias("hits")).join(sizes, "item_id").withColumn("coverage", F.col("hits") / F.col("windows")).where(F.col("coverage") >= similarity)
+        found = stored(_window_table(docs, "doc_id", wanted), "windows")
+    sizes = known.groupBy("item_id").agg(F.countDistinct("key").alias("windows"), (F.max("item_place") + WINDOW).alias("length"))
+    # a pair whose hits do not cover the item all together holds no occurrence
+    near = found.select("doc_id", "key").distinct().join(known.select("item_id", "key").distinct(), "key").groupBy("doc_id", "item_id").agg(F.count("*").alias("hits"))
+    near = near.join(sizes, "item_id").where(F.col("hits") / F.col("windows") >= similarity).select("doc_id", "item_id", "windows", "length")
+    hits = _occurrences(found.join(known, "key").join(near, ["doc_id", "item_id"]))
+    one = ["doc_id", "item_id", "at"]
+    covered = hits.groupBy(*one).agg(F.countDistinct("key").alias("hits")).join(near, ["doc_id", "item_id"]).withColumn("coverage", F.col("hits") / F.col("windows"))
+    covered = covered.where(F.col("coverage") >= similarity).select(*one, "coverage")
     both = F.explode(F.filter(F.arrays_zip("item_slots", "slots"), lambda s: s["item_slots"] != 0))
-    values = pairs.join(covered.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi").select("doc_id", "item_id", both.alias("s"))
-    values = values.groupBy("doc_id", "item_id", F.col("s.item_slots").alias("old"), F.col("s.slots").alias("new")).agg(F.count("*").alias("k"))
-    values = values.groupBy("doc_id", "item_id", "old").agg(F.max("k").alias("top"), F.sum("k").alias("all"))
-    values = values.groupBy("doc_id", "item_id").agg((F.sum("top") / F.sum("all")).alias("share"))
-    out = covered.join(values, ["doc_id", "item_id"], "left").withColumn("consistency", F.coalesce("share", F.lit(1.0)))
-    return out.where(F.col("consistency") >= similarity).select("doc_id", "item_id", "coverage", "consistency")
+    values = hits.select(*one, both.alias("s")).groupBy(*one, F.col("s.item_slots").alias("old"), F.col("s.slots").alias("new")).agg(F.count("*").alias("k"))
+    values = values.groupBy(*one, "old").agg(F.max("k").alias("top"), F.sum("k").alias("all"))
+    values = values.groupBy(*one).agg((F.sum("top") / F.sum("all")).alias("share"))
+    out = covered.join(values, one, "left").withColumn("consistency", F.coalesce("share", F.lit(1.0))).where(F.col("consistency") >= similarity)
+    return out.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "consistency")).alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
