@@ -54,6 +54,16 @@ def test_surrogates_stay_distinct_in_small_formats(spark):
     assert not {r.surrogate for r in found} & {r.entity for r in found}
 
 
+def test_the_quick_look_passes_every_kind_of_entity(spark):
+    """Each entity alone in its text, numbers in groups of two digits among them."""
+    alone = ["a@b.cd", "1.2.3.4", "123-45-6789", "+33 1 23 45 67 89", "+49-30-12-34-56", "+1(2)34 56", "(788) 555-2942", "788-555-2942", "4111 1111 1111 1"]
+    alone += [f"{t} {n}" for t in f"{surrogates.MALE_TITLES}|{surrogates.FEMALE_TITLES}|{surrogates.OPEN_TITLES}".split("|") for n in ("Xu", "Xu Ёлкин")] + ["Mr. Xu"]
+    frame = spark.createDataFrame([(k, f"so {x} it is") for k, x in enumerate(alone)] + [(99, "with 2024 +33 1 23 45 67 89")], "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_entities) for r in replace_entities(frame, "k").collect()}
+    assert [x for k, x in enumerate(alone) if got[k][1] != 1 or x in got[k][0]] == []
+    assert got[3][0].removeprefix("so ").removesuffix(" it is") == got[99][0].removeprefix("with 2024 ")
+
+
 def test_plain_documents_stay(odd, empty):
     got = replace_entities(odd, "k")
     assert sorted((r.text or "") for r in got.collect()) == sorted((r.text or "") for r in odd.collect())

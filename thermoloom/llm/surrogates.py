@@ -38,7 +38,8 @@ SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])"
 PERSON = rf"(?<!\p{{L}})(?:{MALE_TITLES}|{FEMALE_TITLES}|{OPEN_TITLES})\.?[ ]\p{{Lu}}\p{{Ll}}+(?:[ ]\p{{Lu}}\p{{Ll}}+)?(?!\p{{L}})"
 PATTERN = "|".join((EMAIL, IPV4, SOCIAL, PHONE, CARD, PERSON))
-_MAYBE = rf"@|[0-9]{{3}}|[0-9]\.[0-9]|(?:{MALE_TITLES}|{FEMALE_TITLES}|{OPEN_TITLES})\.?[ ]\p{{Lu}}"
+#: Every alternative of PATTERN holds one of these.
+_MAYBE = rf"@|\+[0-9]|[0-9]{{3}}|[0-9]\.[0-9]|(?:{MALE_TITLES}|{FEMALE_TITLES}|{OPEN_TITLES})\.?[ ]\p{{Lu}}"
 
 
 def entity_kind(raw: Column) -> Column:
