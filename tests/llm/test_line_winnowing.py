@@ -5,7 +5,7 @@ import re
 
 import brute
 
-from thermoloom.llm.line_winnowing import drop_repeated_lines
+from thermoloom.llm.line_winnowing import WORDS, drop_repeated_lines
 
 
 def _check(spark, rows):
@@ -38,6 +38,36 @@ def test_given_documents(spark):
     _check(spark, [tuple(r) for r in docs.collect()])
 
 
+def test_short_runs_of_many_words_and_short_texts(spark):
+    """Brute force: all runs of one, two and three lines that count."""
+    long, half = " ".join(f"w{k}" for k in range(51)), [" ".join(f"{c}{k}" for k in range(26)) for c in "pqr"]
+    rows = [
+        (1, f"a\n{long}\nb"), (2, f"c\n\n  {long} \nd"), (3, "x\n" + "\n".join(half[:2]) + "\ny"), (4, "\n".join(half[:2])), (5, f"{half[0]}\n{half[2]}"),
+        (6, "two words"), (7, " two words "), (8, "two words\nmore"), (9, "one\n\ntwo"), (10, "one\ntwo"), (11, "one"), (12, long), (13, f"{long}\n{long}"),
+        (14, "文" * 51), (15, "k\n" + "文" * 51), (16, "字" * 50), (17, "k\n" + "字" * 50), (18, None), (19, ""), (20, long[:-3]), (21, "k\n" + long[:-3]),
+    ]
+    rows += [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect() if r.doc_id > 21]
+    spaceless = "\u4e00-\u9fff"
+    seen, want = set(), {}
+    for doc, text in rows:
+        lines = [x.strip(" ") for x in (text or "").split("\n")]
+        full, gone = [k for k, x in enumerate(lines) if x], set()
+        for width in (1, 2, 3):
+            for a in range(len(full) - width + 1):
+                run = tuple(lines[k] for k in full[a : a + width])
+                whole = width == len(full)
+                if width == 3 or whole or len(re.findall(rf"[{spaceless}]|[^\s{spaceless}]+", " ".join(run))) > WORDS:
+                    # a whole text of few words is compared with whole texts only
+                    gone.update(full[a : a + width] if run in seen else [])
+                    seen.add(run)
+        want[doc] = (len(gone), "\n".join(x for k, x in enumerate((text or "").split("\n")) if k not in gone))
+    got = drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), words=WORDS)
+    assert not re.search("Python|Pandas|Arrow", got._jdf.queryExecution().executedPlan().toString())
+    got = {r.doc_id: (r.n_removed, r.text or "") for r in got.collect()}
+    assert {k: (got[k], want[k]) for k in want if got[k] != want[k]} == {}
+    assert [got[k][0] for k in range(1, 18)] == [0, 1, 0, 2, 0, 0, 1, 0, 0, 2, 0, 1, 2, 0, 1, 0, 0] and got[21][0] == 0
+
+
 def test_odd_documents(odd, empty):
     got = drop_repeated_lines(odd).collect()
     assert len(got) == odd.count()

@@ -7,6 +7,9 @@ occurs once are dropped. Around the others matches are extended both ways: all
 windows that hold the fingerprint are compared as a whole with their first
 occurrence. Windows that came before, in the order of doc_id and line, are
 deleted; together they make the maximal repeated runs.
+
+Runs of fewer lines count if they have many words or are a whole text; these
+windows are fingerprints of their own.
 """
 
 from __future__ import annotations
@@ -17,50 +20,68 @@ from pyspark.sql import functions as F
 from .common import columns, running, stored
 
 RUN = 3
+#: A run of fewer lines counts if it has more words than this.
+WORDS = 50
+#: Scripts without spaces: each character counts as a word.
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_WORD = rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+"
 
 
 def _blank(line):
     return F.trim(line) == ""
 
 
-def _windows(docs: DataFrame, run: int) -> DataFrame:
-    """Rows (doc_id, row, i, at, fp, name): window i of a text, its fingerprint,
-    where that stands, and the hash of the whole window."""
-    kept = F.filter(F.split("text", "\n"), lambda x: ~_blank(x))
-    hashed = docs.where("text is not null").select("doc_id", "row", F.transform(kept, lambda x: F.xxhash64(F.trim(x))).alias("h")).where(F.size("h") >= run)
+def _windows(docs: DataFrame, run: int, words: int | None) -> DataFrame:
+    """Rows (doc_id, row, i, at, fp, name, width): window i of a text, its
+    fingerprint, where that stands, the hash of the whole window, its lines."""
+    lines = F.filter(F.split("text", "\n"), lambda x: ~_blank(x))
+    hashed = docs.where("text is not null").select("doc_id", "row", lines.alias("lines"))
+    count = F.transform("lines", lambda x: F.regexp_count(x, F.lit(_WORD)) if words is not None else F.lit(0))
+    hashed = hashed.select("doc_id", "row", F.transform("lines", lambda x: F.xxhash64(F.trim(x))).alias("h"), count.alias("n"))
 
     def window(i):
         part = F.slice(F.col("h"), i, F.lit(run))
         last = run - F.array_position(F.reverse(part), F.array_min(part))
-        return F.struct(i.alias("i"), (i + last).alias("at"), F.array_min(part).alias("fp"), F.xxhash64(part).alias("name"))
+        return F.struct(i.alias("i"), (i + last).alias("at"), F.array_min(part).alias("fp"), F.xxhash64(part).alias("name"), F.lit(run).alias("width"))
+
+    def short(width):
+        name = lambda i: F.xxhash64(F.slice(F.col("h"), i, F.lit(width)))
+        many = lambda i: (F.size("h") == width) | (F.aggregate(F.slice(F.col("n"), i, F.lit(width)), F.lit(0), lambda a, x: a + x) > words)
+        one = lambda i: F.struct(i.alias("i"), i.cast("long").alias("at"), name(i).alias("fp"), name(i).alias("name"), F.lit(width).alias("width"))
+        return F.transform(F.filter(starts(width), many), one)
+
+    def starts(width):
+        return F.when(F.size("h") >= width, F.sequence(F.lit(1), F.size("h") - width + 1)).otherwise(F.array().cast("array<int>"))
 
-    each = F.transform(F.sequence(F.lit(1), F.size("h") - run + 1), window)
+    each = F.concat(F.transform(starts(run), window), *([short(w) for w in range(1, run)] if words is not None else []))
     return hashed.select("doc_id", "row", F.explode(each).alias("w")).select("doc_id", "row", "w.*")
 
 
-def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+def repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
     """Rows (row, gone): per text the places, from 1, of its lines to delete,
     counted without blank lines. ``docs`` has doc_id, row and text."""
-    windows = stored(_windows(docs, run), "line_windows")
+    windows = stored(_windows(docs, run, words), "line_windows")
     positions = windows.select("doc_id", "row", "at", "fp").distinct()
     again = positions.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
     found = windows.join(again, "fp", "left_semi")
     first = found.groupBy("name").agg(F.min(F.struct("doc_id", "row", "i")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = found.join(first, "name").where(~F.struct("doc_id", "row", "i").eqNullSafe(F.col("first")))
-    return stored(later.select("row", F.explode(F.sequence(F.col("i"), F.col("i") + run - 1)).alias("line")).distinct().groupBy("row").agg(F.collect_list("line").alias("gone")), "lines")
+    return stored(later.select("row", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("width") - 1)).alias("line")).distinct().groupBy("row").agg(F.collect_list("line").alias("gone")), "lines")
 
 
-def drop_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
     """Rows (doc_id, text, n_lines, n_removed), one per row of ``docs``.
 
     ``docs`` needs doc_id and text. Runs of at least ``run`` lines that occur
-    earlier, in any text or the same one, go; blank lines stay. A null text stays
-    null with no lines, a shorter text stays as it is. Rows that agree in doc_id
-    and text count as one text and are cut alike; a null doc_id comes first.
+    earlier, in any text or the same one, go; blank lines stay. With ``words``
+    (:data:`WORDS` in the query) so do shorter runs of more words than that, and
+    shorter texts that are an earlier text as a whole; without it shorter texts
+    stay as they are. A null text stays null with no lines. Rows that agree in
+    doc_id and text count as one text and are cut alike; a null doc_id comes first.
     """
     docs = columns(docs, "doc_id", "text").withColumn("row", F.xxhash64("doc_id", "text"))
     with running(docs.sparkSession):
-        gone = repeated_lines(docs, run)
+        gone = repeated_lines(docs, run, words)
     lines = F.split("text", "\n")
     # the running number of a line without blank ones, found for changed texts only
     numbered = F.aggregate(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .additive import quality_scores
 from .common import new_path, running, table
 from .decontam import leaks
-from .line_winnowing import drop_repeated_lines
+from .line_winnowing import WORDS, drop_repeated_lines
 from .mixing import mix_plan
 from .ngram_join import ngram_jaccard
 from .projection_forest import near_duplicates
@@ -57,7 +57,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return drop_repeated_lines(table(spark, sf_dir, "documents"), words=WORDS)
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
