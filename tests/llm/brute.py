@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter, defaultdict
 
 
@@ -90,3 +91,54 @@ def targets(sizes, weights=(1, 2, 3), most=3):
         if not above:
             return {s: float(most * sizes[s]) if s in cut else share[s] for s in order}
         cut |= above
+
+
+def _lower(text):
+    return [bytes(c + 32 if 65 <= c < 91 else c for c in w) for w in (text or "").encode().split()]
+
+
+def _discount(counts):
+    """Modified Kneser-Ney discounts by count, from a list of all counts."""
+    n1, n2, n3, n4 = (sum(1 for c in counts if c == k) for k in (1, 2, 3, 4))
+    found = {0: 0.0, 1: 0.5, 2: 1.0, 3: 1.5}
+    if n1 and n2 and n3:
+        y = n1 / (n1 + 2 * n2)
+        for k, d in ((1, 1 - 2 * y * n2 / n1), (2, 2 - 3 * y * n3 / n2), (3, 3 - 4 * y * n4 / n3)):
+            if 0 <= d <= k:
+                found[k] = d
+    return lambda c: found[min(c, 3)]
+
+
+class KneserNey:
+    """An interpolated modified Kneser-Ney trigram model in dictionaries."""
+
+    def __init__(self, texts):
+        lines = [["<s>", *_lower(t), "</s>"] for t in texts]
+        self.tokens = Counter(w for line in lines for w in line[1:])
+        c3 = Counter(x for line in lines for x in zip(line, line[1:], line[2:], strict=False))
+        a2 = Counter(x[1:] for x in c3) + Counter((line[0], line[1]) for line in lines)
+        a1 = Counter(w for _, w in a2)
+        self.levels = []
+        for table in ({(w,): n for w, n in a1.items()}, a2, c3):
+            d, totals, spare = _discount(list(table.values())), Counter(), Counter()
+            for gram, n in table.items():
+                totals[gram[:-1]] += n
+                spare[gram[:-1]] += d(n)
+            self.levels.append((table, d, totals, spare))
+
+    def p(self, context, word):
+        out = 1 / (len(self.tokens) + 1)
+        for k, (table, d, totals, spare) in enumerate(self.levels):
+            own = tuple(context[len(context) - k :])
+            if k > len(context) or not totals[own]:
+                continue
+            n = table.get((*own, word), 0)
+            out = (n - d(n)) / totals[own] + spare[own] / totals[own] * out
+        return out
+
+    def row(self, text):
+        """(n_tokens, n_known, train_tokens, base_score, score)"""
+        line, n, v = ["<s>", *_lower(text), "</s>"], sum(self.tokens.values()), len(self.tokens)
+        base = sum(math.log10((self.tokens[w] + 0.1) / (n + 0.1 * (v + 1))) for w in line[1:])
+        score = sum(math.log10(self.p(line[max(0, k - 2) : k], line[k])) for k in range(1, len(line)))
+        return len(line) - 1, sum(1 for w in line[1:] if self.tokens[w]), n, base, score

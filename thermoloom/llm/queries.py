@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .additive import quality_scores
 from .common import new_path, running, table
 from .decontam import leaks
+from .kneser_ney import model_scores
 from .line_winnowing import WORDS, drop_repeated_lines
 from .mixing import mix_plan
 from .ngram_join import ngram_jaccard
@@ -68,8 +69,12 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard(table(spark, sf_dir, "documents"))
 
 
+def op11_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op4_secret_forest, op5_quality_additive, op6_projection_forest, op7_suffix_dedup, op8_line_winnowing, op9_source_mix, op10_ngram_jaccard)}
+    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op4_secret_forest, op5_quality_additive, op6_projection_forest, op7_suffix_dedup, op8_line_winnowing, op9_source_mix, op10_ngram_jaccard, op11_kneser_ney)}
 
 
 def oracle_sql() -> dict[str, str]:
