@@ -9,12 +9,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from thermoloom.session import build_session  # noqa: E402
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages "
-    "benchmark labels conversations"
-).split()
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from conftest import TABLES
+from tables import TABLES
 
 import __spark_entry__ as entry
 import oracle
