@@ -186,3 +186,65 @@ def spelling_words(rows, least=5):
                 run = run[:k] + run[k + 1 :]
             total[run] += 1
     return {w: n for w, n in total.items() if len(w) >= 6 and n >= least}
+
+
+def alignments(texts, path_a, path_b):
+    """Rows (n_a, n_b, n_groups, n_links, n_best, count_sum, sha256) of whole texts."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+    a.encode_special_tokens = True
+    letters = {c: bytes([k]) for k, c in _byte_letters().items()}
+    docs, linked = [], Counter()
+    for text in texts:
+        docs.append(None)
+        if not text:
+            continue
+        raw = b" " + text.encode()
+        ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        own_a = [b"".join(letters[c] for c in a.id_to_token(i)) for i in ids_a]
+        own_b = []
+        for i in ids_b:
+            p = b.id_to_piece(i)
+            own_b.append(bytes([int(p[3:5], 16)]) if re.fullmatch("<0x..>", p) else p.replace("▁", " ").encode())
+        if b"".join(own_a) != raw or b"".join(own_b) != raw:
+            continue
+        spans = []
+        for own in (own_a, own_b):
+            at, found = 0, []
+            for x in own:
+                found.append((at, at + len(x)))
+                at += len(x)
+            spans.append(found)
+        links = [(i, j) for x, i in zip(spans[0], ids_a, strict=True) for y, j in zip(spans[1], ids_b, strict=True) if x[0] < y[1] and y[0] < x[1]]
+        common = sorted({e for _, e in spans[0]} & {e for _, e in spans[1]})
+        groups, start = [], 0
+        for end in common:
+            side = [",".join(str(i) for s, i in zip(span, ids, strict=True) if start < s[1] <= end) for span, ids in zip(spans, (ids_a, ids_b), strict=True)]
+            groups.append("|".join(side))
+            start = end
+        docs[-1] = (len(ids_a), len(ids_b), len(groups), links, ";".join(groups))
+        linked.update(set(links))
+    top = defaultdict(int)
+    for (i, _), n in linked.items():
+        top[i] = max(top[i], n)
+    out = []
+    for d in docs:
+        if d is None:
+            out.append((0, 0, 0, 0, 0, 0, ""))
+            continue
+        n_a, n_b, groups, links, text = d
+        out.append((n_a, n_b, groups, len(links), sum(linked[x] == top[x[0]] for x in links), sum(linked[x] for x in links), hashlib.sha256(text.encode()).hexdigest()))
+    return out
+
+
+def _byte_letters():
+    """The letter that byte-level tokens write for each byte."""
+    out, more = {}, 256
+    for k in range(256):
+        if 33 <= k <= 126 or 161 <= k <= 172 or k >= 174:
+            out[k] = chr(k)
+        else:
+            out[k], more = chr(more), more + 1
+    return out

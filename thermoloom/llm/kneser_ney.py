@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
 from functools import lru_cache
 
@@ -36,8 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import columns, new_path, partitions, running, stored
-from .hash_arrays import look_up, mounted, packed, slots, unpacked, write_array, write_file
+from .hash_arrays import look_up, mounted, slots, write_array, write_file
 from .hashing import mix
+from .packed_rows import SENT, Row, dealt, gathered, halves, joined, merged, sent, summed
 from .word_runs import BEGIN, END, Run, runs
 
 COUNT_WORDS = 2_000_000
@@ -46,8 +46,6 @@ HELD_OUT = 10
 #: Discounts where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
 
-_SENT = pa.schema([("kind", pa.string()), ("dest", pa.int32()), ("data", pa.binary())])
-SENT = "kind string, dest int, data binary"
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -71,10 +69,6 @@ class Model:
         return self.bases[-1]
 
 
-def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
-
-
 def _key2(pair: np.ndarray) -> np.ndarray:
     return mix(pair)
 
@@ -83,54 +77,6 @@ def _key3(pair: np.ndarray, last: np.ndarray) -> np.ndarray:
     return mix(mix(pair) + (last.astype(np.uint64) + np.uint64(1)) * _ODD)
 
 
-def _sent(rows: list[tuple[str, int, bytes]]) -> Iterator[pa.RecordBatch]:
-    for a in range(0, len(rows), 256):
-        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows[a : a + 256], strict=True), _SENT, strict=True)], schema=_SENT)
-
-
-def _dealt(kind: str, dest: np.ndarray, *cols: np.ndarray) -> list[tuple[str, int, bytes]]:
-    """One packed row per destination; rows keep their order within it."""
-    order = np.argsort(dest, kind="stable")
-    cuts = np.flatnonzero(np.diff(dest[order], prepend=-1))
-    return [(kind, int(dest[own[0]]), packed(*(c[own] for c in cols))) for own in np.split(order, cuts[1:])] if len(order) else []
-
-
-def _summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-    """Distinct keys, ascending, with the sums of the values of each."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool))
-    return [keys[first], *(np.add.reduceat(v[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for v in values)]
-
-
-def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (x >> np.uint64(32)).astype(np.uint32), x.astype(np.uint32)
-
-
-def _by_dest(batches, merge: Callable[[int, dict[str, list[list[np.ndarray]]]], list[tuple[str, int, bytes]]]) -> Iterator[pa.RecordBatch]:
-    """Call ``merge`` for each destination of rows that are sorted by it."""
-    now, got = None, {}
-    for batch in batches:
-        for kind, dest, data in zip(batch.column("kind").to_pylist(), batch.column("dest").to_pylist(), batch.column("data"), strict=True):
-            if dest != now and got:
-                yield from _sent(merge(now, got))
-                got = {}
-            now = dest
-            got.setdefault(kind, []).append(unpacked(data.as_py()))
-    if got:
-        yield from _sent(merge(now, got))
-
-
-def _merged(rows: DataFrame, shards: int, merge, name: str) -> DataFrame:
-    dealt = rows.repartition(shards, "dest").sortWithinPartitions("dest")
-    return stored(dealt.mapInArrow(lambda batches: _by_dest(batches, merge), SENT), name)
-
-
-def _columns(got: dict, kind: str, n: int) -> list[np.ndarray]:
-    found = got.get(kind)
-    return [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.uint32)] * n
-
-
 # ---------------------------------------------------------------- vocabulary
 
 
@@ -138,15 +84,15 @@ def _send_words(shards: int):
     def run(batches):
         for r in runs((b.column("text") for b in batches), COUNT_WORDS):
             words, n = np.unique(r.hashes[r.carried :], return_counts=True)
-            yield from _sent(_dealt("word", slots(words, shards), *_halves(words), n))
+            yield from sent(dealt("word", slots(words, shards), *halves(words), n))
 
     return run
 
 
 def _write_words(folder: str):
     def merge(dest, got):
-        high, low, n = _columns(got, "word", 3)
-        words, n = _summed(_pair(high, low), n)
+        high, low, n = gathered(got, "word", 3)
+        words, n = summed(joined(high, low), n)
         write_file(f"{folder}/hash-{dest:06d}", words)
         write_file(f"{folder}/count-{dest:06d}", n)
         begun = int(n[words == BEGIN].sum())
@@ -207,7 +153,7 @@ def _places(run: Run) -> np.ndarray:
 
 def _distinct(a, b, c) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (pair, third) rows in order, and how often each occurs."""
-    pair = _pair(a, b)
+    pair = joined(a, b)
     order = np.lexsort((c, pair))
     pair, c = pair[order], c[order]
     first = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (c[1:] != c[:-1]))) if len(c) else np.zeros(0, np.int64)
@@ -230,12 +176,12 @@ def _send_trigrams(model: Model, left: bool):
             for kind, own in (("warm", ~heated), ("hot", heated)):
                 dest = slots(_key3(pair[own], third[own]) if kind == "hot" else _key2(pair[own]), model.shards)
                 more = () if left else (n[own],)
-                yield from _sent(_dealt(kind, dest, *_halves(pair[own]), third[own], *more))
+                yield from sent(dealt(kind, dest, *halves(pair[own]), third[own], *more))
             if left:  # a pair at the begin of a text has no left neighbour: it counts as often as it occurs
                 first = np.arange(max(r.carried, 1), len(x))
                 first = first[r.hashes[first - 1] == BEGIN]
-                pair, n = np.unique(_pair(x[first - 1], x[first]), return_counts=True)
-                yield from _sent(_dealt("first", slots(_key2(pair), model.shards), *_halves(pair), n))
+                pair, n = np.unique(joined(x[first - 1], x[first]), return_counts=True)
+                yield from sent(dealt("first", slots(_key2(pair), model.shards), *halves(pair), n))
 
     return run
 
@@ -246,24 +192,24 @@ def _of_counts(n: np.ndarray) -> bytes:
 
 
 def _context_sums(pair: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
-    return _summed(pair, n, n == 1, n == 2, n > 2)
+    return summed(pair, n, n == 1, n == 2, n > 2)
 
 
-def _of_words(model: Model, pair: np.ndarray, n: np.ndarray) -> list[tuple[str, int, bytes]]:
+def _of_words(model: Model, pair: np.ndarray, n: np.ndarray) -> list[Row]:
     """What pairs with adjusted counts say of their first and their last word."""
     bases = np.array(model.bases, np.int64)
     home = lambda ids: np.searchsorted(bases, ids.astype(np.int64), "right") - 1
     context, *sums = _context_sums(pair >> np.uint64(32), n)
-    last, left = _summed(pair & np.uint64(0xFFFFFFFF), np.ones(len(pair)))
-    return [*_dealt("context", home(context), context, *_wide(sums)), *_dealt("left", home(last), last, *_wide([left]))]
+    last, left = summed(pair & np.uint64(0xFFFFFFFF), np.ones(len(pair)))
+    return [*dealt("context", home(context), context, *_wide(sums)), *dealt("left", home(last), last, *_wide([left]))]
 
 
 def _wide(sums: list[np.ndarray]) -> list[np.ndarray]:
-    return [h for s in sums for h in _halves(s.astype(np.uint64))]
+    return [h for s in sums for h in halves(s.astype(np.uint64))]
 
 
 def _narrow(cols: list[np.ndarray]) -> list[np.ndarray]:
-    return [_pair(cols[k], cols[k + 1]).astype(np.int64) for k in range(0, len(cols), 2)]
+    return [joined(cols[k], cols[k + 1]).astype(np.int64) for k in range(0, len(cols), 2)]
 
 
 def _write_pairs(model: Model):
@@ -271,26 +217,26 @@ def _write_pairs(model: Model):
 
     def merge(dest, got):
         rows = []
-        a, b, third = _columns(got, "warm", 3)
+        a, b, third = gathered(got, "warm", 3)
         pair, _, _ = _distinct(a, b, third)
-        pair, n = _summed(pair, np.ones(len(pair)))
-        a, b, times = _columns(got, "first", 3)
-        begun, times = _summed(_pair(a, b), times)
+        pair, n = summed(pair, np.ones(len(pair)))
+        a, b, times = gathered(got, "first", 3)
+        begun, times = summed(joined(a, b), times)
         pair, n = np.append(pair, begun), np.append(n, times)
         if len(pair):
             write_array(f"{model.folder}/e2-{dest:06d}", _key2(pair), n)
             rows += [("e2", dest, b""), ("counts", 0, _of_counts(n)), *_of_words(model, pair, n)]
-        pair, _, _ = _distinct(*_columns(got, "hot", 3))
-        pair, n = _summed(pair, np.ones(len(pair)))
-        return rows + _dealt("part", slots(_key2(pair), model.shards), *_halves(pair), n)
+        pair, _, _ = _distinct(*gathered(got, "hot", 3))
+        pair, n = summed(pair, np.ones(len(pair)))
+        return rows + dealt("part", slots(_key2(pair), model.shards), *halves(pair), n)
 
     return merge
 
 
 def _write_hot_pairs(model: Model):
     def merge(dest, got):
-        a, b, n = _columns(got, "part", 3)
-        pair, n = _summed(_pair(a, b), n)
+        a, b, n = gathered(got, "part", 3)
+        pair, n = summed(joined(a, b), n)
         write_array(f"{model.folder}/h2-{dest:06d}", _key2(pair), n)
         return [("h2", dest, b""), ("counts", 0, _of_counts(n)), *_of_words(model, pair, n)]
 
@@ -307,9 +253,9 @@ def _write_word_sums(model: Model):
     def merge(dest, got):
         n = model.bases[dest + 1] - model.bases[dest]
         left, sums = np.zeros(n, np.int64), np.zeros((n, 4), np.int64)
-        cols = _columns(got, "left", 3)
+        cols = gathered(got, "left", 3)
         np.add.at(left, cols[0].astype(np.int64) - model.bases[dest], _narrow(cols[1:])[0])
-        cols = _columns(got, "context", 9)
+        cols = gathered(got, "context", 9)
         at = cols[0].astype(np.int64) - model.bases[dest]
         for k, s in enumerate(_narrow(cols[1:])):
             np.add.at(sums[:, k], at, s)
@@ -325,8 +271,8 @@ def _write_trigrams(model: Model):
     def merge(dest, got):
         rows, keys, counts = [], [], []
         for kind in ("warm", "hot"):
-            a, b, third, n = _columns(got, kind, 4)
-            pair = _pair(a, b)
+            a, b, third, n = gathered(got, kind, 4)
+            pair = joined(a, b)
             order = np.lexsort((third, pair))
             pair, third, n = pair[order], third[order], n[order]
             if not len(pair):
@@ -341,7 +287,7 @@ def _write_trigrams(model: Model):
                 write_array(f"{model.folder}/c2-{dest:06d}", _key2(context), np.column_stack(sums))
                 rows.append(("c2", dest, b""))
             else:
-                rows += _dealt("part", slots(_key2(context), model.shards), *_halves(context), *_wide(sums))
+                rows += dealt("part", slots(_key2(context), model.shards), *halves(context), *_wide(sums))
         counts = np.concatenate(counts)
         write_array(f"{model.folder}/e3-{dest:06d}", np.concatenate(keys), counts)
         return [*rows, ("e3", dest, b""), ("counts", 0, _of_counts(counts))]
@@ -351,8 +297,8 @@ def _write_trigrams(model: Model):
 
 def _write_hot_contexts(model: Model):
     def merge(dest, got):
-        cols = _columns(got, "part", 10)
-        context, *sums = _summed(_pair(cols[0], cols[1]), *_narrow(cols[2:]))
+        cols = gathered(got, "part", 10)
+        context, *sums = summed(joined(cols[0], cols[1]), *_narrow(cols[2:]))
         write_array(f"{model.folder}/d2-{dest:06d}", _key2(context), np.column_stack(sums))
         return [("d2", dest, b"")]
 
@@ -393,7 +339,7 @@ def train(docs: DataFrame, path: str) -> Model:
     model = Model(mounted(path), partitions(spark))
     n = model.shards
     os.makedirs(model.folder, exist_ok=True)
-    sizes = _merged(texts.mapInArrow(_send_words(n), SENT), n, _write_words(model.folder), "lm-words")
+    sizes = merged(texts.mapInArrow(_send_words(n), SENT), n, _write_words(model.folder), "lm-words")
     held = np.zeros(n, np.int64)
     for dest, data in sizes.select("dest", "data").collect():
         known, tokens, size = np.frombuffer(data, np.int64)
@@ -402,15 +348,15 @@ def train(docs: DataFrame, path: str) -> Model:
     if model.unknown >= 1 << 32:
         raise ValueError("more than 2**32 different words")
     model.hot = max(1, model.tokens // n)
-    pairs = _merged(texts.mapInArrow(_send_trigrams(model, True), SENT), n, _write_pairs(model), "lm-pairs")
-    hot = _merged(pairs.where("kind = 'part'"), n, _write_hot_pairs(model), "lm-hot-pairs")
+    pairs = merged(texts.mapInArrow(_send_trigrams(model, True), SENT), n, _write_pairs(model), "lm-pairs")
+    hot = merged(pairs.where("kind = 'part'"), n, _write_hot_pairs(model), "lm-hot-pairs")
     model.discounts[1] = _discounts(_noted(model, pairs, hot))
-    sums = _merged(pairs.unionByName(hot).where("kind in ('context', 'left')"), n, _write_word_sums(model), "lm-sums")
+    sums = merged(pairs.unionByName(hot).where("kind in ('context', 'left')"), n, _write_word_sums(model), "lm-sums")
     counts = _noted(model, sums)
     model.discounts[0], model.pairs = _discounts(counts), int(counts[4])
     model.spare = float(np.dot(model.discounts[0][1:], counts[[0, 1, 5]]) / max(model.pairs, 1))
-    trigrams = _merged(texts.mapInArrow(_send_trigrams(model, False), SENT), n, _write_trigrams(model), "lm-trigrams")
-    hot = _merged(trigrams.where("kind = 'part'"), n, _write_hot_contexts(model), "lm-hot-contexts")
+    trigrams = merged(texts.mapInArrow(_send_trigrams(model, False), SENT), n, _write_trigrams(model), "lm-trigrams")
+    hot = merged(trigrams.where("kind = 'part'"), n, _write_hot_contexts(model), "lm-hot-contexts")
     model.discounts[2] = _discounts(_noted(model, trigrams, hot))
     with open(f"{model.folder}/model.json", "w") as out:
         json.dump(asdict(model), out)
@@ -459,7 +405,7 @@ class Scorer:
         left, total, weight = (self.words.values(k, t, ids) for k, t in (("left", "<i8"), ("total", "<i8"), ("weight", "<f8")))
         p1 = self._share(left, 1) / m.pairs + m.spare / (m.words + 1)
         x = ids[place]
-        pair, q = np.unique(_pair(x[:-1], x[1:]), return_inverse=True)  # q[i]: of places i and i + 1
+        pair, q = np.unique(joined(x[:-1], x[1:]), return_inverse=True)  # q[i]: of places i and i + 1
         high = count > m.hot
         heat = high[place[:-1]] & high[place[1:]]
         heated = np.zeros(len(pair), bool)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .additive import quality_scores
+from .alignment import align_tokenizers
 from .common import new_path, running, table
 from .decontam import leaks
 from .kneser_ney import model_scores
@@ -21,10 +22,10 @@ from .surrogates import replace_entities
 from .tokens import token_documents, write_tokens
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,12 +75,16 @@ def op11_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model_scores(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op4_secret_forest, op5_quality_additive, op6_projection_forest, op7_suffix_dedup, op8_line_winnowing, op9_source_mix, op10_ngram_jaccard, op11_kneser_ney, op13_spelling_variants)}
+    return {f.__name__: f for f in (op1_token_output, op2_template_decontamination, op3_surrogates, op4_secret_forest, op5_quality_additive, op6_projection_forest, op7_suffix_dedup, op8_line_winnowing, op9_source_mix, op10_ngram_jaccard, op11_kneser_ney, op12_alignment, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
