@@ -64,6 +64,15 @@ def stored(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*frames: DataFrame) -> None:
+    """Delete tables of :func:`stored` that nothing will read any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

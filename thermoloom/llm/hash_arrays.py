@@ -45,17 +45,25 @@ def write_file(path: str, *arrays: np.ndarray) -> None:
     os.replace(part, path)
 
 
+def _distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows and the number of each row among them."""
+    code = np.zeros(len(rows), np.int64)
+    for column in rows.T:  # number the rows by one column after the other
+        if len(column) and (column != column[0]).any():
+            known, which = np.unique(column, return_inverse=True)
+            code = code * len(known) + which
+            code = np.unique(code, return_inverse=True)[1] if code.any() else code
+    _, first, code = np.unique(code, return_index=True, return_inverse=True)
+    return rows[first], code
+
+
 def write_array(path: str, keys: np.ndarray, rows: np.ndarray) -> None:
     """Distinct ``keys`` (uint64) and their ``rows`` (int64, one or two dimensions)."""
     rows = rows.reshape(len(keys), -1).astype(np.int64)
     spread = keys * _SPREAD
     order = np.argsort(spread)
     spread, rows = spread[order], rows[order]
-    if rows.shape[1] == 1:
-        table, code = np.unique(rows[:, 0], return_inverse=True)
-        table = table[:, None]
-    else:
-        table, code = np.unique(rows, axis=0, return_inverse=True)
+    table, code = _distinct_rows(rows)
     width = 1 if len(table) <= 1 << 8 else 2 if len(table) <= 1 << 16 else 4
     bits = max(1, min(32, (len(keys) // 2).bit_length()))
     starts = np.searchsorted(spread, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
@@ -69,7 +77,7 @@ class HashArray:
     """A memory-mapped file of :func:`write_array`."""
 
     def __init__(self, path: str):
-        raw = np.memmap(path, np.uint8, "r")
+        raw = np.asarray(np.memmap(path, np.uint8, "r"))
         n, bits, width, most, wide = (int(x) for x in raw[:40].view(np.int64))
         at = 40
         self.shift, self.bits = np.uint64(64 - bits), np.uint64(32 - bits)
@@ -78,20 +86,17 @@ class HashArray:
         self.rest, at = raw[at : at + 4 * n].view(np.uint32), at + 4 * n
         self.code = raw[at : at + width * n].view(f"<u{width}")
 
-    def rows(self, keys: np.ndarray) -> np.ndarray:
-        """The row of each key; zeros for keys that are not stored."""
-        spread = keys * _SPREAD
-        order = np.argsort(spread)  # touch the pages in turn
-        spread = spread[order]
+    def rows(self, spread: np.ndarray) -> np.ndarray:
+        """The row of each of ascending spread keys; zeros for keys not stored."""
         bucket = (spread >> self.shift).astype(np.int64)
         want = (spread >> self.bits).astype(np.uint32)
         at, end = self.starts[bucket].astype(np.int64), self.starts[bucket + 1].astype(np.int64)
-        out = np.zeros((len(keys), self.table.shape[1]), np.int64)
+        out = np.zeros((len(spread), self.table.shape[1]), np.int64)
         left = np.flatnonzero(at < end)
         while len(left):
-            hit = self.rest[at[left]] == want[left]
-            found = left[hit]
-            out[order[found]] = self.table[self.code[at[found]]]
+            place = at[left]
+            hit = self.rest[place] == want[left]
+            out[left[hit]] = self.table[self.code[place[hit]]]
             left = left[~hit]
             at[left] += 1
             left = left[at[left] < end[left]]
@@ -104,13 +109,21 @@ def opened(path: str) -> HashArray:
 
 
 def look_up(folder: str, kind: str, keys: np.ndarray, shard: np.ndarray, stored: set[int], wide: int) -> np.ndarray:
-    """Rows of ``keys`` in the arrays ``kind`` of a folder, shard by shard."""
+    """Rows of ``keys`` in the arrays ``kind`` of a folder, shard by shard and in
+    the order in which they are stored, so that pages are touched in turn."""
     out = np.zeros((len(keys), wide), np.int64)
-    order = np.argsort(shard, kind="stable")
-    cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
-    for own in np.split(order, cuts[1:]) if len(order) else ():
+    if not len(keys):
+        return out
+    spread = keys * _SPREAD
+    order = np.argsort(spread)
+    if shard.max() < 1 << 16:
+        shard = shard.astype(np.uint16)  # sorted in linear time
+    order = order[np.argsort(shard[order], kind="stable")]
+    cuts = np.flatnonzero(np.diff(shard[order].astype(np.int64), prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+        own = order[a:b]
         if (s := int(shard[own[0]])) in stored:
-            out[own] = opened(f"{folder}/{kind}-{s:06d}").rows(keys[own])
+            out[own] = opened(f"{folder}/{kind}-{s:06d}").rows(spread[own])
     return out
 
 

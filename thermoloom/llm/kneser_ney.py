@@ -1,25 +1,28 @@
 """Operator 11: an interpolated modified Kneser-Ney trigram model.
 
 Spark counts: map tasks name words by their place in the sorted vocabulary and
-send the distinct n-grams of about two million words at a time, packed, one row
-per shard; a shard's task merges and writes its sorted hash arrays
+send the distinct trigrams of about 1.5 million words at a time, packed, one row
+per shard: once by their first two words, with counts, and once by their last
+two. A shard's task merges them and writes its sorted hash arrays
 (:mod:`hash_arrays`) into the shared folder:
 
-* words: occurrences, distinct left neighbours, and the interpolation weight of
-  every word as context;
-* ``e2``/``h2``: distinct left neighbours of a word pair (its adjusted count);
-* ``e3``: occurrences of a trigram;
-* ``c2``/``d2``: for a pair as context the sum of what follows, and how many
-  words follow once, twice, more often.
+* words: occurrences, distinct left neighbours, and what follows;
+* ``pair``: distinct left neighbours of a word pair (its adjusted count), and of
+  the pair as context the sum of what follows it and how many words follow once,
+  twice, more often;
+* ``three``: occurrences of a trigram.
+
+The shards are built in a few rounds, each reading the texts again, so that only
+a part of the trigrams is on its way at a time.
 
 A pair of which both words have more occurrences than a shard has on average is
 hot: its trigrams are dealt by all three words, and the partial sums of the pair
-are added up in a further step (``h2``, ``d2``). Other pairs have no more than
-one shard's worth.
+are added up in a further step (``hotpair``). Other pairs have no more than one
+shard's worth.
 
 Scoring is map-only: a worker maps the arrays into memory and looks up the
-distinct pairs and trigrams of about a million words in the order in which they
-are stored.
+distinct pairs and the trigrams of many words in the order in which they are
+stored.
 """
 
 from __future__ import annotations
@@ -27,21 +30,22 @@ from __future__ import annotations
 import json
 import os
 from dataclasses import asdict, dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, new_path, partitions, running, stored
+from .common import columns, dropped, new_path, partitions, running, stored
 from .hash_arrays import look_up, mounted, slots, write_array, write_file
 from .hashing import mix
 from .packed_rows import SENT, Row, dealt, gathered, halves, joined, merged, sent, summed
 from .word_runs import BEGIN, END, Run, runs
 
-COUNT_WORDS = 2_000_000
+COUNT_WORDS = 1_500_000
 SCORE_WORDS = 1_000_000
+ROUNDS = 2
 HELD_OUT = 10
 #: Discounts where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
@@ -103,7 +107,7 @@ def _write_words(folder: str):
 
 @lru_cache(maxsize=4096)
 def _mapped(path: str, dtype: str) -> np.ndarray:
-    return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
+    return np.asarray(np.memmap(path, dtype, "r")) if os.path.getsize(path) else np.zeros(0, dtype)
 
 
 class Words:
@@ -151,37 +155,52 @@ def _places(run: Run) -> np.ndarray:
     return at[run.owner[at] == run.owner[at - 2]]
 
 
-def _distinct(a, b, c) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _distinct(pair: np.ndarray, third: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (pair, third) rows in order, and how often each occurs."""
-    pair = joined(a, b)
-    order = np.lexsort((c, pair))
-    pair, c = pair[order], c[order]
-    first = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (c[1:] != c[:-1]))) if len(c) else np.zeros(0, np.int64)
-    return pair[first], c[first], np.diff(np.append(first, len(c)))
+    known, place = np.unique(pair, return_inverse=True)
+    key = np.sort(joined(place, third))
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    place, third = halves(key[first])
+    return known[place], third, np.diff(np.append(first, len(key)))
+
+
+def _grouped(pair: np.ndarray, third: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of distinct trigrams, the pair of each, and the sum of ``n``."""
+    key = _key3(pair, third)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[first], pair[order[first]], np.add.reduceat(n[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
 
 
-def _send_trigrams(model: Model, left: bool):
-    """Distinct trigrams by their last two words, or with counts by their first two."""
+def _send_trigrams(model: Model, turn: int):
+    """Distinct trigrams for the shards of one round: by their last two words, and
+    with counts by their first two."""
 
     def run(batches):
         words = Words(model)
         for r in runs((b.column("text") for b in batches), COUNT_WORDS):
             x, hot = _numbered(r, words)
+            heat = np.unique(x[hot]).astype(np.uint64)
             at = _places(r)
-            u, v, w = (x[at - k].astype(np.uint32) for k in (2, 1, 0))
-            pair, third, n = _distinct(v, w, u) if left else _distinct(u, v, w)
-            # a pair is hot if both words are, which is the same at all its places
-            heat = {int(i) for i in np.unique(x[hot])}
-            heated = np.isin(pair >> np.uint64(32), list(heat)) & np.isin(pair & np.uint64(0xFFFFFFFF), list(heat)) if heat else np.zeros(len(pair), bool)
-            for kind, own in (("warm", ~heated), ("hot", heated)):
-                dest = slots(_key3(pair[own], third[own]) if kind == "hot" else _key2(pair[own]), model.shards)
-                more = () if left else (n[own],)
-                yield from sent(dealt(kind, dest, *halves(pair[own]), third[own], *more))
-            if left:  # a pair at the begin of a text has no left neighbour: it counts as often as it occurs
-                first = np.arange(max(r.carried, 1), len(x))
-                first = first[r.hashes[first - 1] == BEGIN]
-                pair, n = np.unique(joined(x[first - 1], x[first]), return_counts=True)
-                yield from sent(dealt("first", slots(_key2(pair), model.shards), *halves(pair), n))
+            for kind, first, last, other in (("left", at - 1, at, at - 2), ("right", at - 2, at - 1, at)):
+                pair = joined(x[first], x[last])
+                mine = (slots(_key2(pair), model.shards) % ROUNDS == turn) | (hot[first] & hot[last])
+                pair, third, n = _distinct(pair[mine], x[other][mine])
+                # a pair is hot if both words are, which is the same at all its places
+                heated = np.isin(pair >> np.uint64(32), heat) & np.isin(pair & np.uint64(0xFFFFFFFF), heat)
+                for name, own in ((kind, ~heated), (f"hot-{kind}", heated)):
+                    dest = slots(_key2(pair[own]) if name == kind else _key3(pair[own], third[own]), model.shards)
+                    cols = (*halves(pair[own]), third[own], n[own])[: 4 if kind == "right" else 3]
+                    now = dest % ROUNDS == turn
+                    yield from sent(dealt(name, dest[now], *(c[now] for c in cols)))
+            # a pair at the begin of a text has no left neighbour: it counts as often as it occurs
+            first = np.arange(max(r.carried, 1), len(x))
+            first = first[r.hashes[first - 1] == BEGIN]
+            pair, n = np.unique(joined(x[first - 1], x[first]), return_counts=True)
+            dest = slots(_key2(pair), model.shards)
+            now = dest % ROUNDS == turn
+            yield from sent(dealt("first", dest[now], *halves(pair[now]), n[now]))
 
     return run
 
@@ -212,33 +231,51 @@ def _narrow(cols: list[np.ndarray]) -> list[np.ndarray]:
     return [joined(cols[k], cols[k + 1]).astype(np.int64) for k in range(0, len(cols), 2)]
 
 
-def _write_pairs(model: Model):
-    """Adjusted counts of the pairs of a shard."""
+def _rows(pair: np.ndarray, n: np.ndarray, context: np.ndarray, sums: list[np.ndarray]) -> list[np.ndarray]:
+    """Pairs with their adjusted counts and their sums as contexts, zero where one lacks."""
+    none = np.zeros(len(context), np.int64)
+    return summed(np.append(pair, context), np.append(n, none), *(np.append(np.zeros(len(pair), np.int64), c) for c in sums))
+
+
+def _write_shard(model: Model):
+    """Pairs and trigrams of a shard; partial sums of hot pairs go on."""
 
     def merge(dest, got):
-        rows = []
-        a, b, third = gathered(got, "warm", 3)
-        pair, _, _ = _distinct(a, b, third)
-        pair, n = summed(pair, np.ones(len(pair)))
-        a, b, times = gathered(got, "first", 3)
-        begun, times = summed(joined(a, b), times)
-        pair, n = np.append(pair, begun), np.append(n, times)
+        out: list[Row] = []
+        keys, counts, parts = [], [], {}
+        for kind in ("", "hot-"):
+            a, b, third = gathered(got, f"{kind}left", 3)
+            _, pair, _ = _grouped(joined(a, b), third, np.ones(len(a)))
+            pair, n = summed(pair, np.ones(len(pair)))
+            if not kind:
+                a, b, times = gathered(got, "first", 3)
+                pair, n = summed(np.append(pair, joined(a, b)), np.append(n, times))
+            a, b, third, times = gathered(got, f"{kind}right", 4)
+            key, context, times = _grouped(joined(a, b), third, times)
+            keys.append(key)
+            counts.append(times)
+            parts[kind] = _rows(pair, n, *(lambda c, *sums: (c, sums))(*_context_sums(context, times)))
+        pair, *sums = parts[""]
         if len(pair):
-            write_array(f"{model.folder}/e2-{dest:06d}", _key2(pair), n)
-            rows += [("e2", dest, b""), ("counts", 0, _of_counts(n)), *_of_words(model, pair, n)]
-        pair, _, _ = _distinct(*gathered(got, "hot", 3))
-        pair, n = summed(pair, np.ones(len(pair)))
-        return rows + dealt("part", slots(_key2(pair), model.shards), *halves(pair), n)
+            write_array(f"{model.folder}/pair-{dest:06d}", _key2(pair), np.column_stack(sums))
+            out += [("pair", dest, b""), ("counts2", 0, _of_counts(sums[0])), *_of_words(model, pair[sums[0] > 0], sums[0][sums[0] > 0])]
+        key, times = np.concatenate(keys), np.concatenate(counts)
+        if len(key):
+            write_array(f"{model.folder}/three-{dest:06d}", key, times)
+            out += [("three", dest, b""), ("counts3", 0, _of_counts(times))]
+        pair, *sums = parts["hot-"]
+        return out + dealt("part", slots(_key2(pair), model.shards), *halves(pair), *_wide(sums))
 
     return merge
 
 
 def _write_hot_pairs(model: Model):
     def merge(dest, got):
-        a, b, n = gathered(got, "part", 3)
-        pair, n = summed(joined(a, b), n)
-        write_array(f"{model.folder}/h2-{dest:06d}", _key2(pair), n)
-        return [("h2", dest, b""), ("counts", 0, _of_counts(n)), *_of_words(model, pair, n)]
+        cols = gathered(got, "part", 12)
+        pair, *sums = summed(joined(cols[0], cols[1]), *_narrow(cols[2:]))
+        write_array(f"{model.folder}/hotpair-{dest:06d}", _key2(pair), np.column_stack(sums))
+        some = sums[0] > 0
+        return [("hotpair", dest, b""), ("counts2", 0, _of_counts(sums[0])), *_of_words(model, pair[some], sums[0][some])]
 
     return merge
 
@@ -262,45 +299,7 @@ def _write_word_sums(model: Model):
         write_file(f"{model.folder}/left-{dest:06d}", left)
         write_file(f"{model.folder}/total-{dest:06d}", sums[:, 0])
         write_file(f"{model.folder}/weight-{dest:06d}", _weight(sums, model.discounts[1]))
-        return [("left", dest, b""), ("counts", 0, _of_counts(left))]
-
-    return merge
-
-
-def _write_trigrams(model: Model):
-    def merge(dest, got):
-        rows, keys, counts = [], [], []
-        for kind in ("warm", "hot"):
-            a, b, third, n = gathered(got, kind, 4)
-            pair = joined(a, b)
-            order = np.lexsort((third, pair))
-            pair, third, n = pair[order], third[order], n[order]
-            if not len(pair):
-                continue
-            first = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (third[1:] != third[:-1])))
-            n = np.add.reduceat(n.astype(np.int64), first)
-            pair, third = pair[first], third[first]
-            keys.append(_key3(pair, third))
-            counts.append(n)
-            context, *sums = _context_sums(pair, n)
-            if kind == "warm":
-                write_array(f"{model.folder}/c2-{dest:06d}", _key2(context), np.column_stack(sums))
-                rows.append(("c2", dest, b""))
-            else:
-                rows += dealt("part", slots(_key2(context), model.shards), *halves(context), *_wide(sums))
-        counts = np.concatenate(counts)
-        write_array(f"{model.folder}/e3-{dest:06d}", np.concatenate(keys), counts)
-        return [*rows, ("e3", dest, b""), ("counts", 0, _of_counts(counts))]
-
-    return merge
-
-
-def _write_hot_contexts(model: Model):
-    def merge(dest, got):
-        cols = gathered(got, "part", 10)
-        context, *sums = summed(joined(cols[0], cols[1]), *_narrow(cols[2:]))
-        write_array(f"{model.folder}/d2-{dest:06d}", _key2(context), np.column_stack(sums))
-        return [("d2", dest, b"")]
+        return [("left", dest, b""), ("counts1", 0, _of_counts(left))]
 
     return merge
 
@@ -316,17 +315,21 @@ def _discounts(counts: np.ndarray) -> list[float]:
     return [0.0, *(d if 0 <= d <= k else f for k, (d, f) in enumerate(zip(found, FALLBACK, strict=True), 1))]
 
 
-def _noted(model: Model, *tables: DataFrame) -> np.ndarray:
-    """Note which files were written (a row per file); returns the counts of counts."""
+def _counts(order: int, *tables: DataFrame) -> np.ndarray:
+    """Counts of counts, summed over the shards (one short row for each)."""
     total = np.zeros(6, np.int64)
     for rows in tables:
-        for kind, n in rows.where("kind in ('e2', 'h2', 'c2', 'd2', 'e3', 'left') and data = X''").groupBy("kind").agg(F.sort_array(F.collect_set("dest"))).collect():
-            model.stored[kind] = n
-        for (data,) in rows.where("kind = 'counts'").select("data").collect():
+        for (data,) in rows.where(F.col("kind") == f"counts{order}").select("data").collect():
             total += np.frombuffer(data, np.int64)
     return total
 
 
+def _noted(model: Model, rows: DataFrame) -> None:
+    """Note which files were written, a row for each."""
+    for kind, dest in rows.where("kind in ('pair', 'hotpair', 'three') and data = X''").select("kind", "dest").collect():
+        model.stored[kind] = sorted([*model.stored.get(kind, []), dest])
+
+
 def train(docs: DataFrame, path: str) -> Model:
     """Count the n-grams of all rows of ``docs`` (column text) and write the model
     to the folder ``path``, which driver and executors must see as a mounted one.
@@ -348,16 +351,19 @@ def train(docs: DataFrame, path: str) -> Model:
     if model.unknown >= 1 << 32:
         raise ValueError("more than 2**32 different words")
     model.hot = max(1, model.tokens // n)
-    pairs = merged(texts.mapInArrow(_send_trigrams(model, True), SENT), n, _write_pairs(model), "lm-pairs")
-    hot = merged(pairs.where("kind = 'part'"), n, _write_hot_pairs(model), "lm-hot-pairs")
-    model.discounts[1] = _discounts(_noted(model, pairs, hot))
-    sums = merged(pairs.unionByName(hot).where("kind in ('context', 'left')"), n, _write_word_sums(model), "lm-sums")
-    counts = _noted(model, sums)
+    parts = []
+    for turn in range(ROUNDS):
+        parts.append(merged(texts.mapInArrow(_send_trigrams(model, turn), SENT), n, _write_shard(model), "lm-shards"))
+    both = reduce(DataFrame.unionByName, parts)
+    hot = merged(both.where("kind = 'part'"), n, _write_hot_pairs(model), "lm-hot-pairs")
+    both = both.unionByName(hot)
+    model.discounts[1:] = _discounts(_counts(2, both)), _discounts(_counts(3, both))
+    _noted(model, both)
+    sums = merged(both.where("kind in ('context', 'left')"), n, _write_word_sums(model), "lm-sums")
+    counts = _counts(1, sums)
     model.discounts[0], model.pairs = _discounts(counts), int(counts[4])
     model.spare = float(np.dot(model.discounts[0][1:], counts[[0, 1, 5]]) / max(model.pairs, 1))
-    trigrams = merged(texts.mapInArrow(_send_trigrams(model, False), SENT), n, _write_trigrams(model), "lm-trigrams")
-    hot = merged(trigrams.where("kind = 'part'"), n, _write_hot_contexts(model), "lm-hot-contexts")
-    model.discounts[2] = _discounts(_noted(model, trigrams, hot))
+    dropped(sizes, *parts, hot, sums)
     with open(f"{model.folder}/model.json", "w") as out:
         json.dump(asdict(model), out)
     return model
@@ -383,12 +389,13 @@ class Scorer:
         """Counts less their discounts."""
         return n - np.array(self.model.discounts[order - 1])[np.minimum(n, 3)]
 
-    def _find(self, warm: str, hot: str, pair: np.ndarray, heated: np.ndarray, wide: int) -> np.ndarray:
+    def _pairs(self, pair: np.ndarray, heated: np.ndarray) -> np.ndarray:
+        """Rows of pairs: adjusted count, then the sums as context."""
         keys = _key2(pair)
-        shard, out = slots(keys, self.model.shards), np.zeros((len(pair), wide), np.int64)
-        for kind, own in ((warm, ~heated), (hot, heated)):
+        shard, out = slots(keys, self.model.shards), np.zeros((len(pair), 5), np.int64)
+        for kind, own in (("pair", ~heated), ("hotpair", heated)):
             if own.any():
-                out[own] = look_up(self.model.folder, kind, keys[own], shard[own], self.stored.get(kind, set()), wide)
+                out[own] = look_up(self.model.folder, kind, keys[own], shard[own], self.stored.get(kind, set()), 5)
         return out
 
     def score(self, run: Run) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -410,22 +417,19 @@ class Scorer:
         heat = high[place[:-1]] & high[place[1:]]
         heated = np.zeros(len(pair), bool)
         heated[q] = heat
-        n2 = self._find("e2", "h2", pair, heated, 1)[:, 0]
+        found = self._pairs(pair, heated)
+        n2, sums = found[:, 0], found[:, 1:]
         before = place[at - 1]
         p = p1[place[at]]
         some = total[before] > 0
         p = np.where(some, self._share(n2[q[at - 1]], 2) / np.maximum(total[before], 1) + weight[before] * p, p)
-        sums = self._find("c2", "d2", pair, heated, 4)
         by = _weight(sums, m.discounts[2])
         deep = np.flatnonzero((at >= 2) & (run.owner[np.maximum(at - 2, 0)] == run.owner[at]))
         deep = deep[sums[q[at[deep] - 2], 0] > 0]
         context = q[at[deep] - 2]
         keys = _key3(pair[context], x[at[deep]])
-        keys, back = np.unique(keys, return_inverse=True)
-        one = np.zeros(len(keys), np.int64)
-        one[back] = context
-        shard = np.where(heated[one], slots(keys, m.shards), slots(_key2(pair[one]), m.shards))
-        n3 = look_up(m.folder, "e3", keys, shard, self.stored.get("e3", set()), 1)[:, 0][back]
+        shard = slots(np.where(heated[context], keys, _key2(pair[context])), m.shards)
+        n3 = look_up(m.folder, "three", keys, shard, self.stored.get("three", set()), 1)[:, 0]
         p[deep] = self._share(n3, 3) / sums[context, 0] + by[context] * p[deep]
         return at, np.log10(p), count[place[at]]
 

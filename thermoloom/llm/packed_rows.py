@@ -27,7 +27,10 @@ def sent(rows: list[Row]) -> Iterator[pa.RecordBatch]:
 
 def dealt(kind: str, dest: np.ndarray, *cols: np.ndarray) -> list[Row]:
     """One packed row per destination; entries keep their order within it."""
+    if not len(dest) or dest.max() < 1 << 16:
+        dest = dest.astype(np.uint16)  # sorted in linear time
     order = np.argsort(dest, kind="stable")
+    dest = dest.astype(np.int64)
     cuts = np.flatnonzero(np.diff(dest[order], prepend=-1))
     return [(kind, int(dest[own[0]]), packed(*(c[own] for c in cols))) for own in np.split(order, cuts[1:])] if len(order) else []
 
@@ -59,7 +62,7 @@ def merged(rows: DataFrame, shards: int, merge: Callable[[int, Got], list[Row]],
 
 def summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     """Distinct keys, ascending, with the sums of the values of each."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     return [keys[first], *(np.add.reduceat(v[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for v in values)]
