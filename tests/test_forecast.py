@@ -10,7 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from thermoloom.operators.design import SEASONS, TERMS, design, gram
-from thermoloom.operators.forecast import fit, posterior_mode, score, stamp_model
+from thermoloom.operators.forecast import coefficients, fit, fit_all, fit_optimality, score, stamp_model
+from thermoloom.operators import posterior
+from thermoloom.operators.posterior import LEAST_SIGMA, posterior_modes
 from thermoloom.operators.reshape import daily_onehot
 from thermoloom.operators.timeseries import TRAIN_DAYS, train_dates, train_frame
 from thermoloom.sources.tables import read_model, write_model
@@ -109,7 +111,7 @@ def test_coefficients_maximise_the_posterior():
     scales = np.array([5, 5, 0.1, 0.1, 0.1, 0.1, 10, 0.1])
     laplace = np.array([0, 0, 1, 1, 1, 1, 0, 0], bool)
     full = np.column_stack([x, y])
-    coef = posterior_mode(full.T @ full, 134, scales, laplace)
+    coef = posterior_modes((full.T @ full)[None], np.array([134]), scales, laplace)[0]
 
     def cost(c, s):
         prior = np.where(laplace, np.abs(c) / scales, c**2 / (2 * scales**2)).sum()
@@ -165,3 +167,68 @@ def test_scoring_beyond_the_training_days(spark):
         want = sum(coefs[t.name].coef * x for t, x in zip(TERMS, terms, strict=True))
         assert row.yhat == pytest.approx(want, abs=1e-9)
     assert len(rows) == 16
+
+
+def _products(days, value):
+    x = np.array([_terms(d, days[0], max((days[-1] - days[0]).days, 1), _knots(days)) for d in days])
+    y = np.array([value(n) for n in range(len(days))], float)
+    full = np.column_stack([x, y / np.abs(y).max()])
+    return full.T @ full
+
+
+def _violations(products, observed, coef):
+    """Distance from the optimality conditions of the posterior, per series."""
+    scales = np.array([t.scale for t in TERMS])
+    laplace = np.array([t.laplace for t in TERMS])
+    normal, right = products[:, :-1, :-1], products[:, :-1, -1]
+    rss = np.array([p[-1, -1] - 2 * c @ p[:-1, -1] + c @ p[:-1, :-1] @ c for p, c in zip(products, coef, strict=True)]).clip(0)
+    variance = np.maximum((np.sqrt(observed**2 + 16 * rss) - observed) / 8, LEAST_SIGMA**2)[:, None]
+    slope = (normal @ coef[:, :, None])[:, :, 0] - right
+    pulled = np.where(coef == 0, np.maximum(np.abs(slope) - variance / scales, 0), np.abs(slope + variance * np.sign(coef) / scales))
+    return np.where(laplace, pulled, np.abs(slope + variance * coef / scales**2)).max(1)
+
+
+@pytest.mark.parametrize(
+    "value",
+    [lambda n: 10 + 0.05 * n, lambda n: 21, lambda n: 10 + n % 3, lambda n: 20 + 5 * math.sin(n / 20), lambda n: 30 if n < 50 else 10, lambda n: abs(n - 60) / 2 + 1e-3],
+    ids=["linear", "constant", "steps", "sine", "jump", "bend"],
+)
+@pytest.mark.parametrize("guesses", [40, 0])
+def test_every_series_settles_at_a_maximum(monkeypatch, value, guesses):
+    """75 first days, short and long histories, with or without the guessing solver."""
+    monkeypatch.setattr(posterior, "GUESSES", guesses)
+    lengths = (2, 10, 134) if guesses else (134,)
+    starts = [dt.date(2021, 1, 1) + dt.timedelta(7 * k) for k in range(75 if guesses else 6)]
+    series = [[s + dt.timedelta(n) for n in range(m)] for s in starts for m in lengths]
+    products = np.array([_products(days, value) for days in series])
+    observed = np.array([len(days) for days in series])
+    coef = posterior_modes(products, observed, np.array([t.scale for t in TERMS]), np.array([t.laplace for t in TERMS]))
+    assert _violations(products, observed, coef).max() < 1e-8
+
+
+def test_bad_series_do_not_stop_others(spark):
+    """One series without values, one whose cross products overflow, one sound."""
+    good = _wide(spark, 140, lambda n: 10.0 + n % 3, lambda n: 1e200 * (1 + n % 2))
+    none = _wide(spark, 140, lambda n: 20.0, lambda n: None, source="t")
+    frame = train_frame(daily_onehot(good.unionByName(none)), days=None)
+    fitted = fit_all(frame)
+    reasons = {(r.source, r.place): r.reason for r in fitted.collect()}
+    assert reasons[("t", "Out")] == "no day has a value"
+    assert reasons[("s", "In")] is None and reasons[("t", "In")] is None
+    assert {(r.source, r.place) for r in coefficients(fitted).collect()} >= {("s", "In"), ("t", "In")}
+    worst = fit_optimality(frame, fitted).where("place = 'In'").agg(F.max(F.abs("gradient")), F.count(F.lit(1))).first()
+    assert worst[0] < 1e-8 and worst[1] == 2 * 61
+
+
+def test_optimality_sees_a_wrong_coefficient(spark):
+    frame = train_frame(daily_onehot(_wide(spark, 134, lambda n: 10.0 + n % 3)), ["In"])
+    moved = fit_all(frame).withColumn("coefs", F.expr("transform(coefs, (c, k) -> IF(k = 40, c + 0.01, c))"))
+    assert fit_optimality(frame, moved).agg(F.max(F.abs("gradient"))).first()[0] > 1e-3
+
+
+def test_many_series_in_one_job(spark):
+    days = spark.range(2000).selectExpr("concat('s', id) AS source", "id").crossJoin(spark.range(30).withColumnRenamed("id", "n"))
+    wide = days.selectExpr("source", "date_add(DATE '2021-01-01', CAST(n AS INT)) AS daily", "20 + (id * 7 + n * n) % 13 AS `In`", "IF(id % 100 = 0, NULL, 10 + n * (id % 5)) AS `Out`")
+    wide = wide.withColumns({p: F.col(p).cast("double") for p in ("In", "Out")})
+    fitted = fit_all(train_frame(daily_onehot(wide), days=None))
+    assert {(r.reason, r["count"]) for r in fitted.groupBy("reason").count().collect()} == {(None, 3980), ("no day has a value", 20)}

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,81 +21,145 @@ from thermoloom.operators.design import (
     hinges,
     limited_to,
 )
+from thermoloom.operators.posterior import posterior_modes, variance_of
 from thermoloom.schemas import MODEL, SERIES
 
-#: Fixed value: scale of the half-normal prior on the residual deviation.
-SIGMA_SCALE = 0.5
-#: Steps after which a fit that has not settled is an error.
-MAX_STEPS = 20_000
-SMALL = 1e-8
+#: Series solved together: their cross products take 31 kB each.
+BATCH_SERIES = 256
+
+SCALES = np.array([term.scale for term in TERMS])
+LAPLACE = np.array([term.laplace for term in TERMS])
+#: Terms whose unit is degrees per day and not degrees.
+_PER_DAY = (np.arange(len(TERMS)) > 0) & (np.arange(len(TERMS)) < 2 + CHANGEPOINTS)
+
+_NAMES = text_array([term.name for term in TERMS])
+_SCALE_ARRAY = "array(" + ", ".join(f"{s!r}D" for s in SCALES.tolist()) + ")"
+_PER_DAY_ARRAY = "array(" + ", ".join("true" if d else "false" for d in _PER_DAY) + ")"
+_LAPLACE_ARRAY = "array(" + ", ".join("true" if x else "false" for x in LAPLACE) + ")"
+
+_FITTED = pa.schema(
+    [
+        ("source", pa.string()),
+        ("place", pa.string()),
+        ("reason", pa.string()),
+        ("coefs", pa.list_(pa.float64())),
+        ("knots", pa.list_(pa.date32())),
+    ]
+)
+
+
+def _solved(batch: pa.RecordBatch, prior_weight: float) -> pa.RecordBatch:
+    """Coefficients in degrees and raw days, or the reason why there are none."""
+    n, k = batch.num_rows, len(TERMS) + 1
+    flat = batch.column("products").flatten().flatten().to_numpy(zero_copy_only=False)
+    products = flat.reshape(n, k, k) if len(flat) == n * k * k else np.full((n, k, k), np.nan)
+    observed = batch.column("observed").to_numpy()
+    sound = np.isfinite(products).all(axis=(1, 2))
+    coefs = np.zeros((n, k - 1))
+    if sound.any():
+        coefs[sound] = posterior_modes(products[sound], observed[sound], SCALES / np.sqrt(prior_weight), LAPLACE)
+    span = np.maximum(batch.column("span").to_numpy(), 1)
+    coefs *= batch.column("y_scale").to_numpy()[:, None] / np.where(_PER_DAY, span[:, None], 1)
+    good = sound & np.isfinite(coefs).all(axis=1)
+    reason = [None if g else "its values have no finite cross products" if not s else "its fit is not finite" for g, s in zip(good, sound, strict=True)]
+    values = pa.array([c if g else None for c, g in zip(coefs.tolist(), good, strict=True)], _FITTED.field("coefs").type)
+    own = [batch.column("source"), batch.column("place"), pa.array(reason, pa.string()), values, batch.column("knots")]
+    return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(own, _FITTED, strict=True)], schema=_FITTED)
+
+
+def _solve(prior_weight: float):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, BATCH_SERIES):
+                yield _solved(batch.slice(start, BATCH_SERIES), prior_weight)
 
-_FIT_COLUMNS = "source string, place string, term string, coef double, scale double, knot date"
+    return run
 
 
-def posterior_mode(
-    products: np.ndarray, observed: int, scales: np.ndarray, laplace: np.ndarray
-) -> np.ndarray:
-    """Most probable coefficients given the cross products of terms and value.
+def fit_all(train: DataFrame, prior_weight: float = 1.0) -> DataFrame:
+    """One row per series: its 61 coefficients, or why it has none.
 
-    Priors are normal, or Laplace for the changes of slope, and half-normal for
-    the residual deviation. The Laplace prior is majorised by a normal one, so
-    every step is a ridge solve followed by the exact update of the deviation.
-    The first term is the intercept; a series of equal values needs no other.
+    All series are trained by this one job. Spark forms the design and sums its
+    cross products; a series reaches a worker as one row of 62 x 62 sums, and a
+    worker solves many series at a time by stacked systems. A series without any
+    value has a row with that reason, as has one whose sums are not finite, and
+    neither stops the others. ``prior_weight`` near zero turns the priors off.
     """
-    normal, right, total = products[:-1, :-1], products[:-1, -1], products[-1, -1]
-    if right[0] ** 2 == observed * total:  # all values are equal
-        return np.append(right[0] / observed, np.zeros(len(right) - 1))
-    coef, variance = np.zeros(len(right)), SIGMA_SCALE**2
-    precision = np.where(laplace, 1 / scales, 1 / scales**2)
-    for _ in range(MAX_STEPS):
-        last = coef
-        coef = np.linalg.solve(normal + np.diag(variance * precision), right)
-        rss = max(total - 2 * coef @ right + coef @ normal @ coef, 0.0)
-        # minimises observed*log(s) + rss/(2 s^2) + s^2/(2 SIGMA_SCALE^2)
-        ratio = 4 * rss / SIGMA_SCALE**2
-        variance = max((np.sqrt(observed**2 + ratio) - observed) * SIGMA_SCALE**2 / 2, 1e-12)
-        precision = np.where(
-            laplace, 1 / (scales * np.maximum(np.abs(coef), SMALL)), 1 / scales**2
-        )
-        if np.abs(coef - last).max() < SMALL:
-            return coef
-    raise ArithmeticError(f"the fit has not settled after {MAX_STEPS} steps")
-
-
-def _fit_series(rows: pd.DataFrame, prior_weight: float) -> pd.DataFrame:
-    rows = rows.sort_values("i")
-    scales = np.array([term.scale for term in TERMS])
-    coef = posterior_mode(
-        np.stack(rows["products"].to_numpy()),
-        int(rows["observed"].iloc[0]),
-        scales / np.sqrt(prior_weight),
-        np.array([term.laplace for term in TERMS]),
+    rows = F.array_sort(F.collect_list(F.struct("i", "products", "knot")))
+    per_series = (
+        gram(design(train))
+        .groupBy(*SERIES)
+        .agg(rows.alias("rows"), *[F.max(c).alias(c) for c in ("span", "y_scale", "observed")])
+        .selectExpr(*SERIES, "span", "y_scale", "observed", "rows.products AS products", f"slice(rows.knot, 1, {len(TERMS)}) AS knots")
     )
-    trend = np.arange(len(TERMS)) < 2 + CHANGEPOINTS
-    trend[0] = False
-    unit = rows["y_scale"].iloc[0] / np.where(trend, rows["span"].iloc[0], 1)
-    terms = rows.iloc[:-1]
-    return pd.DataFrame(
-        {
-            "source": terms["source"].to_numpy(),
-            "place": terms["place"].to_numpy(),
-            "term": [term.name for term in TERMS],
-            "coef": coef * unit,
-            "scale": scales,
-            "knot": terms["knot"].to_numpy(),
-        }
+    solved = per_series.mapInArrow(_solve(prior_weight), "source string, place string, reason string, coefs array<double>, knots array<date>")
+    without = train.groupBy(*SERIES).agg(F.count("y").alias("known")).where("known = 0")
+    none = without.selectExpr(*SERIES, "'no day has a value' AS reason", "CAST(NULL AS array<double>) AS coefs", "CAST(NULL AS array<date>) AS knots")
+    return solved.unionByName(none)
+
+
+def coefficients(fitted: DataFrame) -> DataFrame:
+    """One row per term of the series that have been fitted."""
+    return fitted.where("reason IS NULL").selectExpr(*SERIES, "posexplode(arrays_zip(coefs, knots)) AS (at, term_of)").selectExpr(
+        *SERIES, f"{_NAMES}[at] AS term", "term_of.coefs AS coef", f"{_SCALE_ARRAY}[at] AS scale", "term_of.knots AS knot"
     )
 
 
 def fit(train: DataFrame, prior_weight: float = 1.0) -> DataFrame:
-    """One coefficient per series and term, in degrees and raw days.
+    """One coefficient per series and term, in degrees and raw days; series that
+    cannot be fitted are left out (:func:`fit_all` names them)."""
+    return coefficients(fit_all(train, prior_weight))
 
-    All series are trained by this one job. Spark forms the design and sums its
-    cross products; a worker receives 62 short rows per series for the solve.
-    ``prior_weight`` near zero turns the priors off.
+
+def fit_optimality(train: DataFrame, fitted: DataFrame) -> DataFrame:
+    """How far each coefficient is from a maximum of the posterior.
+
+    Per series and term the derivative of the negative log posterior, on the
+    scaled axes and times the residual variance: zero at the maximum, and for a
+    change of slope of zero whatever exceeds the pull of its prior. It is computed
+    from the cross products and the coefficients alone, by joins and sums in
+    Spark, and knows nothing of how they were found.
+    """
+    sums = gram(design(train)).select(*SERIES, "i", "products", "span", "y_scale", "observed")
+    n = len(TERMS)
+    scaled = sums.join(fitted.where("reason IS NULL").select(*SERIES, "coefs"), list(SERIES)).withColumn(
+        "b", F.expr(f"transform(coefs, (c, k) -> c / y_scale * IF({_PER_DAY_ARRAY}[k], span, 1))")
+    )
+    # the row of the value itself gives the residual sum of squares with the others
+    product = f"aggregate(zip_with(slice(products, 1, {n}), b, (x, c) -> x * c), 0D, (t, x) -> t + x)"
+    rows = scaled.selectExpr(*SERIES, "i", "observed", "b", f"{product} AS fit", f"products[{n}] AS value")
+    parts = rows.groupBy(*SERIES).agg(
+        F.sum(F.expr(f"IF(i < {n}, get(b, i) * (fit - 2 * value), value)")).alias("rss"), F.max("observed").alias("observed")
+    )
+    variance = variance_of(F.greatest("rss", F.lit(0.0)), F.col("observed"))
+    slope = "fit - value"
+    gauss = f"{slope} + variance * b[i] / pow({_SCALE_ARRAY}[i], 2)"
+    pulled = f"IF(b[i] = 0, greatest(abs({slope}) - variance / {_SCALE_ARRAY}[i], 0D), {slope} + variance * sign(b[i]) / {_SCALE_ARRAY}[i])"
+    return (
+        rows.where(f"i < {n}")
+        .join(parts.select(*SERIES, variance.alias("variance")), list(SERIES))
+        .selectExpr(*SERIES, f"{_NAMES}[i] AS term", "observed", f"IF({_LAPLACE_ARRAY}[i], {pulled}, {gauss}) AS gradient")
+    )
+
+
+def marginal(train: DataFrame) -> DataFrame:
+    """Least-squares coefficient of every term on its own, in the form of a model.
+
+    One division per term of the summed cross products: a model without a solver,
+    for a quick look at a term and as given coefficients to score with.
     """
-    return gram(design(train)).groupBy(*SERIES).applyInPandas(
-        lambda rows: _fit_series(rows, prior_weight), _FIT_COLUMNS
+    n = len(TERMS)
+    return (
+        gram(design(train))
+        .where(f"i < {n}")
+        .withColumn("alone", F.expr(f"coalesce(try_divide(products[{n}], products[i]), 0D)"))
+        .selectExpr(
+            *SERIES,
+            f"{_NAMES}[i] AS term",
+            f"alone * y_scale / IF({_PER_DAY_ARRAY}[i], span, 1) AS coef",
+            f"{_SCALE_ARRAY}[i] AS scale",
+            "knot",
+        )
     )
 
 
@@ -115,7 +180,7 @@ def score(points: DataFrame, model: DataFrame) -> DataFrame:
     and no aggregation over the points. Whether the model side is broadcast is
     left to its measured size; a hot series is split by adaptive skew handling.
     """
-    position = F.expr(f"array_position({text_array([term.name for term in TERMS])}, term)")
+    position = F.expr(f"array_position({_NAMES}, term)")
     terms = F.array_sort(F.collect_list(F.struct(position.alias("position"), "coef", "knot")))
     run = [F.col("ds").alias("run")] if "ds" in model.columns else [F.lit(None).cast("date").alias("run")]
     twice = "CAST(raise_error(concat_ws(' ', source, place, 'has a term twice')) AS BOOLEAN)"

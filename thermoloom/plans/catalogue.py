@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from thermoloom.operators import design as dm
 from thermoloom.operators import quality, reshape, rollups, smoothing, timeseries
-from thermoloom.operators.forecast import fit, score, stamp_model
+from thermoloom.operators.forecast import fit, fit_all, fit_optimality, marginal, score, stamp_model
 from thermoloom.plans import jobs
 from thermoloom.session import scratch_dir
 from thermoloom.sources import readings as rd
@@ -130,6 +130,27 @@ def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _settle(stamp_model(coefficients, RUN_DATE), "coef")
 
 
+def optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance of every trained coefficient from the maximum of its posterior."""
+    frame = tables.write_stage(jobs.training_data(_readings(spark, sf_dir)), scratch_dir(spark, "frame"))
+    fitted = tables.write_stage(fit_all(frame), scratch_dir(spark, "fitted"))
+    found = fit_optimality(frame, fitted)
+    return found.withColumn("gradient", F.round("gradient", DIGITS) + F.lit(0.0))  # no negative zero
+
+
+def marginal_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of each term on its own, over the training frame without filled days."""
+    return _settle(marginal(_frame(spark, sf_dir)), "coef")
+
+
+def marginal_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day of every series scored with the coefficients of :func:`marginal_model`."""
+    calendar = tables.write_stage(_calendar(spark, sf_dir), scratch_dir(spark, "calendar"))
+    frame = timeseries.train_frame(reshape.daily_onehot(reshape.in_out_daily(calendar)))
+    points = calendar.selectExpr("source", "place", "daily AS ds")
+    return _settle(score(points, marginal(frame)), "yhat")
+
+
 def model_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored outdoor models of the run date."""
     _, path = _stored_model(spark, sf_dir)
@@ -206,6 +227,9 @@ def queries() -> dict[str, Query]:
         "design_matrix": lambda s, d: _settle(dm.design_matrix(dm.design(_frame(s, d))), "x"),
         "gram": lambda s, d: _settle(dm.gram_long(dm.gram(dm.design(_frame(s, d)))), "product"),
         "model_coefficients": model_coefficients,
+        "fit_optimality": optimality,
+        "marginal_model": marginal_model,
+        "marginal_score": marginal_score,
         "model_lookup": model_lookup,
         "forecast_score": forecast_score,
         "stream_ingest": stream_ingest,
