@@ -19,7 +19,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -31,35 +33,58 @@ from .hashing import mix
 from .packed_rows import SENT, dealt, gathered, halves, joined, merged, sent, summed
 
 #: Pieces kept per worker, and the longest that is; pairs counted at a time.
-MEMO_PIECES = 200_000
+MEMO_PIECES = 250_000
 MEMO_LETTERS = 64
 FLUSH_PAIRS = 3_000_000
 
 _CUT = re.compile(r"(?<=\S)(?= )")
+_SPACES = re.compile(r"\s ")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
-def align(ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """Groups of ids between common ends, and all pairs of ids that share bytes.
+def align(ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[int]]:
+    """Groups of ids between common ends, and the ids of A and B, in turn, of all
+    pairs of tokens that share bytes.
 
     Ends are byte offsets behind each token, ascending; the last ones are equal.
     """
-    at_a = {end: k + 1 for k, end in enumerate(ends_a)}
-    at_b = {end: k + 1 for k, end in enumerate(ends_b)}
+    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1), strict=True))
+    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
     groups, links = [], []
     a = b = 0
     for end in sorted(at_a.keys() & at_b.keys()):
         to_a, to_b = at_a[end], at_b[end]
         groups.append((ids_a[a:to_a], ids_b[b:to_b]))
-        while a < to_a and b < to_b:
-            links.append((ids_a[a], ids_b[b]))
+        while True:
+            links += (ids_a[a], ids_b[b])
             left, right = ends_a[a], ends_b[b]
+            if left == right == end:
+                break
             a += left <= right
             b += right <= left
         a, b = to_a, to_b
     return groups, links
 
 
+class Memo(dict):
+    """What is known of pieces, in two generations: when the new one is full it
+    becomes the old one, and what is used of the old one moves to the new."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def __missing__(self, key):
+        value = self[key] = self.old[key]
+        return value
+
+    def learn(self, found: dict) -> None:
+        if len(self) + len(found) > self.most:
+            self.old = dict(self)
+            self.clear()
+        self.update(found)
+
+
 class Aligner:
     """Pieces of texts as (tokens of A, tokens of B, groups, links, their text);
     None where the bytes of the tokens are not those of the text."""
@@ -78,29 +103,31 @@ class Aligner:
         self.bytes_a = {i: bytes(byte[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
+        self.text_a = [str(i) for i in range(max(self.bytes_a, default=-1) + 1)]
+        self.text_b = [str(i) for i in range(len(pieces))]
         #: No piece goes on behind a word's space.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.memo: dict[str, tuple | None] = {}
+        self.memo = Memo(MEMO_PIECES)
 
     def pieces(self, text: str) -> list[str]:
         """The text cut before spaces behind words, without the space at the
         begin of each piece (the first one's stands before the text)."""
         if not self.cuts:
             return [text]
-        parts = text.split(" ")
-        if all(p and not p[-1].isspace() for p in parts[:-1]):
-            return parts
-        return [p[1:] for p in _CUT.split(" " + text)]
+        if text[0] == " " or _SPACES.search(text):
+            return [p[1:] for p in _CUT.split(" " + text)]
+        return text.split(" ")
 
     def _aligned(self, piece: str, ids_a: list[int], ids_b: list[int]) -> tuple | None:
         raw = b" " + piece.encode()
-        own_a, own_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
+        known_a, known_b = self.bytes_a, self.bytes_b
+        own_a, own_b = [known_a[i] for i in ids_a], [known_b[i] for i in ids_b]
         if b"".join(own_a) != raw or b"".join(own_b) != raw:
             return None
-        ends_a, ends_b = (np.cumsum([len(x) for x in own]).tolist() for own in (own_a, own_b))
-        groups, links = align(ids_a, ends_a, ids_b, ends_b)
-        text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
-        return len(ids_a), len(ids_b), len(groups), np.array(links, np.uint32).tobytes(), text
+        groups, links = align(ids_a, [*accumulate(map(len, own_a))], ids_b, [*accumulate(map(len, own_b))])
+        text_a, text_b = self.text_a, self.text_b
+        text = ";".join([",".join([text_a[i] for i in a]) + "|" + ",".join([text_b[i] for i in b]) for a, b in groups])
+        return len(ids_a), len(ids_b), len(groups), array("I", links).tobytes(), text
 
     def learn(self, pieces: list[str]) -> dict[str, tuple | None]:
         """Encode and align pieces; short ones are remembered."""
@@ -108,20 +135,18 @@ class Aligner:
         # a space alone: the library puts none before a text without letters
         b = [ids if p else [self.b.piece_to_id("▁")] for p, ids in zip(pieces, self.b.encode(pieces, num_threads=1), strict=True)]
         found = {p: self._aligned(p, x.ids, y) for p, x, y in zip(pieces, a, b, strict=True)}
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        self.memo.update((p, r) for p, r in found.items() if len(p) <= MEMO_LETTERS)
+        self.memo.learn({p: r for p, r in found.items() if len(p) <= MEMO_LETTERS})
         return found
 
     def text(self, text: str | None) -> tuple | None:
         """(tokens of A, of B, groups, links as pairs of ids, sha256 of the groups)."""
         if not text:
             return None
-        pieces = self.pieces(text)
+        pieces, memo = self.pieces(text), self.memo
         try:
-            parts = [self.memo[p] for p in pieces]
+            parts = [memo[p] for p in pieces]
         except KeyError:
-            known = {p: self.memo[p] for p in set(pieces) if p in self.memo}
+            known = {p: memo[p] for p in set(pieces) if p in memo or p in memo.old}
             new = [p for p in dict.fromkeys(pieces) if p not in known]
             for k in range(0, len(new), 1000):
                 known |= self.learn(new[k : k + 1000])
