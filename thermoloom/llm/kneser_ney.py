@@ -353,7 +353,7 @@ def train(docs: DataFrame, path: str) -> Model:
     model.hot = max(1, model.tokens // n)
     parts = []
     for turn in range(ROUNDS):
-        parts.append(merged(texts.mapInArrow(_send_trigrams(model, turn), SENT), n, _write_shard(model), "lm-shards"))
+        parts.append(merged(texts.mapInArrow(_send_trigrams(model, turn), SENT), n, _write_shard(model), "lm-shards", ROUNDS))
     both = reduce(DataFrame.unionByName, parts)
     hot = merged(both.where("kind = 'part'"), n, _write_hot_pairs(model), "lm-hot-pairs")
     both = both.unionByName(hot)

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import stored
 from .hash_arrays import packed, unpacked
@@ -41,8 +42,11 @@ def gathered(got: Got, kind: str, n: int) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.uint32)] * n
 
 
-def merged(rows: DataFrame, shards: int, merge: Callable[[int, Got], list[Row]], name: str) -> DataFrame:
-    """Deal ``rows`` by destination, call ``merge`` for each, store what it returns."""
+def merged(rows: DataFrame, shards: int, merge: Callable[[int, Got], list[Row]], name: str, rounds: int = 1) -> DataFrame:
+    """Deal ``rows`` by destination, call ``merge`` for each, store what it returns.
+
+    A task gets one destination; of several ``rounds`` each has every so manyth one.
+    """
 
     def run(batches):
         now, got = None, {}
@@ -56,7 +60,7 @@ def merged(rows: DataFrame, shards: int, merge: Callable[[int, Got], list[Row]],
         if got:
             yield from sent(merge(now, got))
 
-    by_dest = rows.repartition(shards, "dest").sortWithinPartitions("dest")
+    by_dest = rows.repartitionById(-(-shards // rounds), F.expr(f"CAST(dest div {rounds} AS INT)")).sortWithinPartitions("dest")
     return stored(by_dest.mapInArrow(run, SENT), name)
 
 
