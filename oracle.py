@@ -265,6 +265,13 @@ def oracle_sql() -> dict[str, str]:
         "preprocess": readings,
         "stage_table": readings,
         "stream_ingest": readings,
+        "upload_folders": f"""WITH {_RAW}
+SELECT source, folder, CAST(sum(CASE WHEN folder IN ('archive', 'consumed') THEN 1 ELSE 0 END) AS BIGINT) AS readings
+FROM raw CROSS JOIN (VALUES ('landing'), ('inbox'), ('consumed'), ('archive')) f(folder) GROUP BY ALL""",
+        "trained_uploads": f"""WITH {_RAW}
+SELECT source, 'Out' AS place, count(*) AS readings, CAST(0 AS BIGINT) AS refused, true AS trained,
+       CAST({len(_terms())} AS BIGINT) AS terms
+FROM raw GROUP BY ALL""",
         "archived_input": f"""WITH {_RAW}
 SELECT raw.*, 'manual-1' AS run_id, TIMESTAMP '2024-12-31 06:30:00' AS ts FROM raw""",
         "duplicate_rows": f"""WITH {_PARSED}

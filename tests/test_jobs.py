@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-import os
 from pathlib import Path
 
 import pytest
@@ -16,8 +15,6 @@ from thermoloom.operators.rollups import timestamp_rollup
 from thermoloom.plans import jobs
 from thermoloom.session import scratch_dir
 from thermoloom.sources import readings as rd
-from thermoloom.sources.tables import read_archive, read_model
-from thermoloom.streaming import ingest
 
 HEADER = "id,room_id/id,noted_date,temp,out/in"
 DAY0 = dt.date(2018, 6, 1)
@@ -87,63 +84,6 @@ def test_pipeline_writes_every_table(spark, tmp_path):
     assert error < 0.5
 
 
-def test_stream_handles_each_upload_once(spark, tmp_path):
-    landing, consumed = tmp_path / "landing", tmp_path / "consumed"
-    archive, output, checkpoint = (str(tmp_path / n) for n in ("archive", "output", "checkpoint"))
-    twice = "__export__.temp_log_1_x,R,08-12-2018 09:30,2,In"
-    other = "__export__.temp_log_2_x,R,08-12-2018 09:31,3,Out"
-    _upload(landing, "a", "1.csv", [twice, twice, other])
-    _upload(landing, "b", "2.csv", [twice])
-    job = ingest.FeatureJob(archive, output)
-    batch = quality.preprocess(rd.read_landing(spark, str(landing)))
-    want = sorted(map(tuple, batch.collect()))
-
-    def run():
-        uploads = ingest.upload_stream(spark, str(landing), str(consumed))
-        ingest.start(uploads, job, checkpoint, once=True).awaitTermination(120)
-        return spark.read.parquet(output)
-
-    rows = run()
-    assert {(r.source, r.id, r.temp) for r in rows.collect()} == {("a", 1, 2), ("a", 2, 3), ("b", 1, 2)}
-    assert rows.select("batch").distinct().count() == 2
-    assert sorted(map(tuple, rows.select(*batch.columns).collect())) == want
-    assert run().count() == 3  # restart from the checkpoint: nothing new
-    _upload(landing, "a", "3.csv", [other.replace("_2_", "_9_")])
-    _upload(landing, "a", "4.csv", [other.replace("_2_", "_10_")])
-    assert run().count() == 5
-    assert read_archive(spark, archive).count() == 6
-    assert read_archive(spark, archive).select("run_id").distinct().count() == 4
-    moved = {name for _, _, names in os.walk(consumed) for name in names}
-    assert {"1.csv", "2.csv"} <= moved
-
-
-def test_repeated_batch_replaces_its_output(spark, tmp_path):
-    _upload(tmp_path / "in", "a", "1.csv", _year(10))
-    raw = rd.read_landing(spark, str(tmp_path / "in"))
-    job = ingest.FeatureJob(str(tmp_path / "archive"), str(tmp_path / "out"))
-    job(raw, 0)
-    job(raw, 0)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == raw.count()
-    assert read_archive(spark, str(tmp_path / "archive")).count() == raw.count()
-
-
-def test_stream_trains_on_each_upload_alone(spark, tmp_path):
-    landing, models = tmp_path / "landing", str(tmp_path / "models")
-    _upload(landing, "a", "1.csv", _year())
-    _upload(landing, "b", "2.csv", _year(level=10))
-    ds = dt.date(2024, 5, 1)
-    job = ingest.TrainingJob(str(tmp_path / "archive"), models, ds=ds)
-    ingest.start(
-        ingest.upload_stream(spark, str(landing)), job, str(tmp_path / "checkpoint"), once=True
-    ).awaitTermination(300)
-    model = read_model(spark, models, ds)
-    assert {(r.source, r.place) for r in model.collect()} == {("a", "Out"), ("b", "Out")}
-    direct = jobs.training_data(quality.preprocess(rd.read_landing(spark, str(landing))), ["Out"])
-    want = {(r.source, r.term): r.coef for r in jobs.fit(direct).collect()}
-    got = {(r.source, r.term): r.coef for r in model.collect()}
-    assert got == pytest.approx(want, abs=1e-6)
-
-
 @pytest.mark.parametrize("name", ["mean_by_day", "month_share_by_place", "daily_filled", "model_coefficients"])
 def test_results_do_not_depend_on_partitioning(spark, name):
     sf_dir = "/root/testdata/sf0.01"

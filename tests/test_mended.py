@@ -69,7 +69,7 @@ def test_pipeline_keeps_order_and_lists_what_it_leaves_out(spark, tmp_path):
     tables = run(False)
     days = [r.weekday for r in tables["mean_by_weekday"].where("source = 'a' AND place = 'In'").collect()]
     assert days == ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
-    assert [(r.source, r.reason) for r in tables["untrained"].collect()] == [("b", "no indoor readings")]
+    assert [tuple(r) for r in tables["untrained"].collect()] == [("b", "Out", "no indoor readings")]
     assert tables["rejected"].count() == 1
     assert {r.source for r in tables["scores"].select("source").distinct().collect()} == {"a"}
 

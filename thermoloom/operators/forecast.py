@@ -98,10 +98,10 @@ def fit_all(train: DataFrame, prior_weight: float = 1.0) -> DataFrame:
     return solved.unionByName(none)
 
 
-def coefficients(fitted: DataFrame) -> DataFrame:
-    """One row per term of the series that have been fitted."""
-    return fitted.where("reason IS NULL").selectExpr(*SERIES, "posexplode(arrays_zip(coefs, knots)) AS (at, term_of)").selectExpr(
-        *SERIES, f"{_NAMES}[at] AS term", "term_of.coefs AS coef", f"{_SCALE_ARRAY}[at] AS scale", "term_of.knots AS knot"
+def coefficients(fitted: DataFrame, *more: str) -> DataFrame:
+    """One row per term of the series that have been fitted, with ``more`` of their columns."""
+    return fitted.where("reason IS NULL").selectExpr(*SERIES, *more, "posexplode(arrays_zip(coefs, knots)) AS (at, term_of)").selectExpr(
+        *SERIES, *more, f"{_NAMES}[at] AS term", "term_of.coefs AS coef", f"{_SCALE_ARRAY}[at] AS scale", "term_of.knots AS knot"
     )
 
 
@@ -163,9 +163,9 @@ def marginal(train: DataFrame) -> DataFrame:
     )
 
 
-def stamp_model(coefficients: DataFrame, ds: dt.date) -> DataFrame:
-    """Model rows of the run date."""
-    return coefficients.withColumn("ds", F.lit(ds)).select(*MODEL.names)
+def stamp_model(coefficients: DataFrame, ds: dt.date, *more: str) -> DataFrame:
+    """Model rows of the run date, with ``more`` of their columns."""
+    return coefficients.withColumn("ds", F.lit(ds)).select(*MODEL.names, *more)
 
 
 def score(points: DataFrame, model: DataFrame) -> DataFrame:

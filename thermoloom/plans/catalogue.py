@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from thermoloom.session import scratch_dir
 from thermoloom.sources import readings as rd
 from thermoloom.sources import tables
 from thermoloom.streaming import ingest
+from thermoloom.streaming.uploads import Uploads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -164,17 +166,51 @@ def forecast_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _settle(score(daily.withColumnRenamed("daily", "ds"), model), "temp_mean", "yhat")
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> Uploads:
+    """All readings as uploads. Copies of a row come from one input row, so they
+    are always in the same file."""
+    uploads = Uploads(scratch_dir(spark, "landing"), scratch_dir(spark, "inbox"), scratch_dir(spark, "consumed"))
+    rd.write_landing(_raw(spark, sf_dir), uploads.landing)
+    return uploads
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> tuple[Uploads, ingest.FeatureJob]:
+    uploads = _landed(spark, sf_dir)
+    job = ingest.FeatureJob(scratch_dir(spark, "archive"), scratch_dir(spark, "records"), uploads, output=scratch_dir(spark, "streamed"))
+    ingest.follow(uploads, spark, job, scratch_dir(spark, "checkpoint"), once=True)
+    return uploads, job
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All readings as uploads, consumed once each by a file stream."""
-    landing, output = scratch_dir(spark, "landing"), scratch_dir(spark, "streamed")
-    # Copies of a row come from one input row, so they are always in the same file.
-    rd.write_landing(_raw(spark, sf_dir), landing)
-    job = ingest.FeatureJob(scratch_dir(spark, "archive"), output)
-    stream = ingest.start(
-        ingest.upload_stream(spark, landing, files_per_batch=64), job, scratch_dir(spark, "checkpoint"), once=True
+    """All readings as uploads, handled once each by a file stream and consumed."""
+    _, job = _ingested(spark, sf_dir)
+    return spark.read.parquet(job.output).drop("batch", "upload")
+
+
+def upload_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings per folder and source when all uploads have been handled: none
+    are left where they landed, all are archived, and the files are consumed."""
+    uploads, job = _ingested(spark, sf_dir)
+    sources = tables.read_archive(spark, job.archive).select("source").distinct()
+    folders = [rd.read_landing(spark, path).select("source", F.lit(name).alias("folder")) for name, path in (("landing", uploads.landing), ("inbox", uploads.inbox), ("consumed", uploads.consumed))]
+    folders.append(tables.read_archive(spark, job.archive).select("source", F.lit("archive").alias("folder")))
+    names = F.explode(F.array(*[F.lit(n) for n in ("landing", "inbox", "consumed", "archive")])).alias("folder")
+    counted = reduce(DataFrame.unionByName, folders).groupBy("source", "folder").agg(F.count(F.lit(1)).alias("readings"))
+    return sources.select("source", names).join(counted, ["source", "folder"], "left").na.fill(0, ["readings"])
+
+
+def trained_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the uploads of each source, trained for one place only, and
+    how many models of how many terms are stored."""
+    uploads, models, records = _landed(spark, sf_dir), scratch_dir(spark, "models"), scratch_dir(spark, "records")
+    job = ingest.TrainingJob(scratch_dir(spark, "archive"), records, uploads, models=models, places=("Out",), ds=RUN_DATE)
+    ingest.follow(uploads, spark, job, scratch_dir(spark, "checkpoint"), once=True)
+    fate = spark.read.schema(ingest.RECORD).parquet(f"{records}/uploads")
+    stored = tables.read_model(spark, models, RUN_DATE).groupBy("source", "place").agg(F.count(F.lit(1)).alias("terms"))
+    whole = fate.groupBy("source", "place").agg(
+        F.sum("readings").alias("readings"), F.sum("refused").alias("refused"), F.every(F.col("reason").isNull()).alias("trained")
     )
-    stream.awaitTermination(ingest.WAIT_SECONDS)
-    return spark.read.parquet(output).drop("batch")
+    return whole.join(stored, ["source", "place"], "left")
 
 
 def queries() -> dict[str, Query]:
@@ -233,4 +269,6 @@ def queries() -> dict[str, Query]:
         "model_lookup": model_lookup,
         "forecast_score": forecast_score,
         "stream_ingest": stream_ingest,
+        "upload_folders": upload_folders,
+        "trained_uploads": trained_uploads,
     }

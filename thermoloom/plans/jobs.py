@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermoloom.operators.forecast import fit, score, stamp_model
+from thermoloom.operators.forecast import coefficients, fit_all, score, stamp_model
 from thermoloom.functions.calendar import weekday_ordinal
 from thermoloom.operators.quality import preprocess, rejected_readings
 from thermoloom.operators.reshape import PLACES, daily_onehot, extremes_long, in_out_daily, in_out_month_long
@@ -24,6 +24,7 @@ from thermoloom.operators.rollups import (
 from thermoloom.operators.smoothing import fill_gaps
 from thermoloom.operators.timeseries import daily_calendar, train_frame, untrained
 from thermoloom.schemas import SERIES
+from thermoloom.session import scratch_dir
 from thermoloom.sources.tables import read_model, write_model, write_stage
 
 
@@ -78,6 +79,28 @@ def reports(cube: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def train_series(readings: DataFrame, places: Iterable[str] = ("Out",), days: int | None = None) -> DataFrame:
+    """Every source and chosen place with its coefficients, or with the reason why
+    it has none: no indoor readings, too few days, no values. None stops the others."""
+    daily = write_stage(daily_series(readings, strict=False), scratch_dir(readings.sparkSession, "daily"))
+    return fit_daily(daily, places, days)
+
+
+def fit_daily(daily: DataFrame, places: Iterable[str], days: int | None) -> DataFrame:
+    """As :func:`train_series`, from filled daily means, which are read twice."""
+    places = tuple(places)
+    fitted = fit_all(train_frame(daily_onehot(in_out_daily(daily)), places, days, strict=False))
+    each = F.explode(F.array(*[F.lit(p) for p in places])).alias("place")
+    left = untrained(daily, days).select("source", each, "reason")
+    return fitted.unionByName(left, allowMissingColumns=True)
+
+
+def refuse_untrained(fitted: DataFrame) -> None:
+    """Raise for the first series that has no model."""
+    if first := fitted.where("reason IS NOT NULL").orderBy("source", "place").first():
+        raise ValueError(f"source {first.source!r} cannot be trained: {first.reason}")
+
+
 def train_and_store(
     readings: DataFrame,
     model_path: str,
@@ -85,9 +108,17 @@ def train_and_store(
     places: Iterable[str] = ("Out",),
     days: int | None = None,
     strict: bool = True,
-) -> None:
-    """Fit the chosen places and replace their models of the run date."""
-    write_model(stamp_model(fit(training_data(readings, tuple(places), days, strict=strict)), ds), model_path)
+) -> DataFrame:
+    """Fit the chosen places and replace their models of the run date.
+
+    Returns the series without a model and why; a strict run fails on any, and
+    stores nothing.
+    """
+    fitted = write_stage(train_series(readings, places, days), scratch_dir(readings.sparkSession, "fitted"))
+    if strict:
+        refuse_untrained(fitted)
+    write_model(stamp_model(coefficients(fitted), ds), model_path)
+    return fitted.where("reason IS NOT NULL").select("source", "place", "reason")
 
 
 def run_pipeline(
@@ -122,11 +153,11 @@ def run_pipeline(
     daily = write_stage(
         fill_gaps(daily_calendar(tables["mean_by_day"]), strict), f"{workspace}/daily", rebalance=True
     )
-    left = write_stage(untrained(daily, days), f"{workspace}/untrained", rebalance=True)
-    if strict and (first := left.first()):
-        raise ValueError(f"source {first.source!r} cannot be trained: {first.reason}")
-    frame = train_frame(daily_onehot(in_out_daily(daily)), places, days, strict)
-    write_model(stamp_model(fit(frame), ds), f"{workspace}/models")
+    fitted = write_stage(fit_daily(daily, places, days), f"{workspace}/fitted", rebalance=True)
+    if strict:
+        refuse_untrained(fitted)
+    left = write_stage(fitted.where("reason IS NOT NULL").select("source", "place", "reason"), f"{workspace}/untrained")
+    write_model(stamp_model(coefficients(fitted), ds), f"{workspace}/models")
     model = read_model(raw.sparkSession, f"{workspace}/models", ds)
     points = daily.where(F.col("place").isin(*places)).withColumnRenamed("daily", "ds")
     scored = write_stage(score(points, model.drop("ds")), f"{workspace}/scores")

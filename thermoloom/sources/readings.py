@@ -44,6 +44,24 @@ def read_landing(spark: SparkSession, root: str, strict: bool = True) -> DataFra
     return spark.read.schema(_schema(LANDED, strict)).options(**csv_options(strict)).csv(root)
 
 
+#: Columns of an upload read as text, each line a row, with the name of its file.
+LINES = T.StructType([*(T.StructField(f.name, T.StringType()) for f in RAW.fields), CORRUPT, LANDED["source"]])
+
+
+def lines_of(rows: DataFrame) -> DataFrame:
+    """Raw readings of lines read by :data:`LINES` without options but ``PERMISSIVE``.
+
+    ``header`` marks the line that names the columns. A temperature that is no
+    number makes its record a corrupt one, as does a wrong number of fields.
+    """
+    header = F.lit(True)
+    for field in RAW.fields:
+        header = header & F.col(f"`{field.name}`").eqNullSafe(F.lit(field.name))
+    number = F.col("temp").try_cast("double")
+    bad = F.when(~header & F.col("temp").isNotNull() & number.isNull(), F.col("temp"))
+    return rows.withColumns({"header": header, CORRUPT.name: F.coalesce(CORRUPT.name, bad)}).withColumn("temp", number)
+
+
 def write_landing(raw: DataFrame, root: str) -> None:
     """Raw readings as CSV uploads, one directory per source."""
     raw.write.partitionBy("source").option("header", "true").csv(root)
