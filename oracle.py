@@ -242,6 +242,33 @@ def _mean(key: str) -> str:
 SELECT source, place, {key}, round(avg(temp), 6) AS temp_mean FROM series GROUP BY ALL"""
 
 
+def _groups() -> str:
+    """Every group of the reports by a query of its own."""
+    groups = {
+        "month": ("source", "year_month"), "place": ("source", "place"), "season": ("source", "season"),
+        "timing": ("source", "timing"), "place_month": ("source", "place", "year_month"),
+        "calendar_month": ("source", "place", "month"), "day": ("source", "place", "daily"),
+        "weekday": ("source", "place", "weekday"), "week": ("source", "place", "weekofyear"),
+    }
+    types = {
+        "source": "VARCHAR", "year_month": "VARCHAR", "place": "VARCHAR", "season": "VARCHAR", "timing": "VARCHAR",
+        "month": "INTEGER", "daily": "DATE", "weekday": "VARCHAR", "weekofyear": "INTEGER",
+    }
+    parts = []
+    for name, keys in groups.items():
+        columns = ", ".join(c if c in keys else f"CAST(NULL AS {kind}) AS {c}" for c, kind in types.items())
+        parts.append(f"""SELECT '{name}' AS report, {columns}, CAST(sum(n) AS BIGINT) AS n, round(sum(temp), 6) AS temp_sum,
+       count(temp) AS temp_count, min(low) AS temp_min, max(high) AS temp_max
+FROM stamps GROUP BY {", ".join(keys)}""")
+    return f"""WITH {_READINGS},
+stamps AS (
+  SELECT source, place, date, season, timing, month, weekday, weekofyear, CAST(date AS DATE) AS daily,
+         strftime(date, '%Y-%m') AS year_month, count(*) AS n, avg(temp) AS temp, min(temp) AS low, max(temp) AS high
+  FROM readings GROUP BY ALL
+)
+""" + "\nUNION ALL ".join(parts)
+
+
 def _moments() -> str:
     powers = ", ".join(
         f"round(sum(CASE WHEN temp_mean IS NOT NULL THEN t ** {k} END), 4) AS t{k}" for k in range(11)
@@ -318,6 +345,7 @@ UNION ALL SELECT source, "Month", 'Out', "Out" FROM in_out""",
         "mean_by_month": _mean("month"),
         "mean_by_day": by_day,
         "pipeline_means": by_day,
+        "report_groups": _groups(),
         "mean_by_weekday": _mean("weekday"),
         "mean_by_weekofyear": _mean("weekofyear"),
         "daily_calendar": f"""WITH {_DAILY}

@@ -6,6 +6,7 @@ import datetime as dt
 
 import pytest
 
+import __spark_entry__ as entry
 from thermoloom.operators import reshape, rollups, timeseries
 from thermoloom.operators.quality import preprocess
 from thermoloom.plans.jobs import reports
@@ -110,3 +111,23 @@ def test_reports_from_cube_equal_reports_from_readings(spark):
         name = "mean_by_day" if key == "daily" else f"mean_by_{key}"
         got, want = ({tuple(r[:-1]): r[-1] for r in f.collect()} for f in (cube[name], frame))
         assert got == pytest.approx(want, abs=1e-9), name
+
+
+def test_all_groups_take_one_shuffle(spark):
+    frame = entry.queries()["report_groups"](spark, "/root/testdata/sf0.001")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1
+    names = {r.report for r in frame.select("report").distinct().collect()}
+    assert names == set(rollups.GROUPS)
+
+
+def test_groups_keep_missing_places_apart(spark):
+    rows = [("s", "In", 1), ("s", None, 2), (None, "In", 3)]
+    cube = spark.createDataFrame(
+        [(s, p, dt.date(2018, 12, 8), "Morning", n, float(n), 1, float(n), float(n), 12, 49, "Saturday", "Winter") for s, p, n in rows],
+        "source string, place string, daily date, timing string, n long, temp_sum double, temp_count long, temp_min double, temp_max double, month int, weekofyear int, weekday string, season string",
+    )
+    groups = rollups.report_groups(cube)
+    assert {(r.source, r.place, r.n) for r in rollups.report_group(groups, "place").collect()} == set(rows)
+    assert {(r.source, r.n) for r in rollups.report_group(groups, "season").collect()} == {("s", 3), (None, 3)}
+    assert {(r.place, r.readings) for r in reports(cube)["place_share"].where("source = 's'").collect()} == {("In", 1)}

@@ -56,6 +56,45 @@ def daily_cube(rollup: DataFrame) -> DataFrame:
     )
 
 
+#: Groups that the reports need of the cube, by name.
+GROUPS = {
+    "month": ("source", "year_month"),
+    "place": ("source", "place"),
+    "season": ("source", "season"),
+    "timing": ("source", "timing"),
+    "place_month": ("source", "place", "year_month"),
+    "calendar_month": ("source", "place", "month"),
+    "day": ("source", "place", "daily"),
+    "weekday": ("source", "place", "weekday"),
+    "week": ("source", "place", "weekofyear"),
+}
+
+
+def report_groups(cube: DataFrame) -> DataFrame:
+    """All of :data:`GROUPS` by one pass over the cube and one shuffle.
+
+    A row has the columns of its group, NULL in the others, and the parts of the
+    cube added up; ``report`` names the group.
+    """
+    columns = list(dict.fromkeys(c for group in GROUPS.values() for c in group))
+    number = {name: sum(2 ** (len(columns) - 1 - k) for k, c in enumerate(columns) if c not in group) for name, group in GROUPS.items()}
+    names = F.create_map(*[F.lit(x) for name, bits in number.items() for x in (bits, name)])
+    parts = {"n": F.sum, "temp_sum": F.sum, "temp_count": F.sum, "temp_min": F.min, "temp_max": F.max}
+    return (
+        cube.withColumn("year_month", year_month("daily"))
+        .groupingSets([[F.col(c) for c in group] for group in GROUPS.values()], *columns)
+        .agg(F.grouping_id().cast("int").alias("bits"), *[add(c).alias(c) for c, add in parts.items()])
+        .withColumn("report", F.element_at(names, F.col("bits")))
+        .drop("bits")
+    )
+
+
+def report_group(groups: DataFrame, name: str) -> DataFrame:
+    """One group of :func:`report_groups`, with its own columns only."""
+    others = {c for group in GROUPS.values() for c in group} - set(GROUPS[name])
+    return groups.where(F.col("report") == name).drop("report", *others)
+
+
 def _rows(df: DataFrame) -> Column:
     """Readings behind a group: summed counts, or plain rows."""
     return F.sum("n") if "n" in df.columns else F.count(F.lit(1))
@@ -91,8 +130,11 @@ def value_share(df: DataFrame, key: str) -> DataFrame:
 
 def month_shares(df: DataFrame, within: tuple[str, ...] = ("source",)) -> DataFrame:
     """Percentage of readings per calendar month, to one decimal."""
-    day = "daily" if "daily" in df.columns else "date"
-    return shares(df.withColumn("Month", year_month(day)), "Month", within, digits=1)
+    if "year_month" in df.columns:
+        named = df.withColumnRenamed("year_month", "Month")
+    else:
+        named = df.withColumn("Month", year_month("daily" if "daily" in df.columns else "date"))
+    return shares(named, "Month", within, digits=1)
 
 
 def month_share(df: DataFrame, within: tuple[str, ...] = ("source",)) -> DataFrame:

@@ -99,7 +99,13 @@ def archived_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily means from the stored cube instead of from the readings."""
     cube = tables.write_stage(_cube(spark, sf_dir), scratch_dir(spark, "cube"))
-    return _settle(jobs.reports(cube)["mean_by_day"], "temp_mean")
+    return _settle(rollups.mean_by(cube.where("place IS NOT NULL"), "daily"), "temp_mean")
+
+
+def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups of all reports, made in one pass over the stored cube."""
+    cube = tables.write_stage(_cube(spark, sf_dir), scratch_dir(spark, "cube"))
+    return _settle(rollups.report_groups(cube), "temp_sum")
 
 
 def daily_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,6 +252,7 @@ def queries() -> dict[str, Query]:
         "mean_by_weekday": on_series(rollups.mean_by_weekday, "temp_mean"),
         "mean_by_weekofyear": on_series(lambda df: rollups.mean_by(df, "weekofyear"), "temp_mean"),
         "pipeline_means": pipeline_means,
+        "report_groups": report_rows,
         "daily_calendar": lambda s, d: _settle(_calendar(s, d), "temp_mean"),
         "in_out_daily": lambda s, d: _settle(_wide(s, d), *reshape.PLACES),
         "daily_onehot": lambda s, d: _settle(reshape.daily_onehot(_wide(s, d)), *reshape.PLACES),

@@ -13,10 +13,13 @@ from thermoloom.functions.calendar import weekday_ordinal
 from thermoloom.operators.quality import preprocess, rejected_readings
 from thermoloom.operators.reshape import PLACES, daily_onehot, extremes_long, in_out_daily, in_out_month_long
 from thermoloom.operators.rollups import (
+    GROUPS,
     daily_cube,
     mean_by,
     mean_by_weekday,
     month_share,
+    report_group,
+    report_groups,
     series_mean,
     timestamp_rollup,
     value_share,
@@ -60,22 +63,25 @@ def read_report(name: str, table: DataFrame) -> DataFrame:
     return table.orderBy(*orders[name]) if name in orders else table
 
 
-def reports(cube: DataFrame) -> dict[str, DataFrame]:
-    """All share, extreme and mean tables from the daily cube."""
-    series = cube.where("place IS NOT NULL")
+def reports(cube: DataFrame, groups: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All share, extreme and mean tables, from :func:`report_groups` of the daily
+    cube; pass ``groups`` where that has been written, so that it is made once."""
+    groups = report_groups(cube) if groups is None else groups
+    group = {name: report_group(groups, name) for name in GROUPS}
+    place = {name: rows.where("place IS NOT NULL") for name, rows in group.items() if "place" in rows.columns}
     return {
-        "month_share": month_share(cube),
-        "place_share": value_share(cube, "place"),
-        "season_share": value_share(cube, "season"),
-        "timing_share": value_share(cube, "timing"),
-        "month_share_by_place": month_share(cube, ("source", "place")),
-        "in_out_month_long": in_out_month_long(cube),
-        "season_minmax_long": extremes_long(cube, "season", "Season"),
-        "timing_minmax_long": extremes_long(cube, "timing", "Timing"),
-        "mean_by_month": mean_by(series, "month"),
-        "mean_by_day": mean_by(series, "daily"),
-        "mean_by_weekday": mean_by_weekday(series),
-        "mean_by_weekofyear": mean_by(series, "weekofyear"),
+        "month_share": month_share(group["month"]),
+        "place_share": value_share(place["place"], "place"),
+        "season_share": value_share(group["season"], "season"),
+        "timing_share": value_share(group["timing"], "timing"),
+        "month_share_by_place": month_share(place["place_month"], ("source", "place")),
+        "in_out_month_long": in_out_month_long(place["place_month"]),
+        "season_minmax_long": extremes_long(group["season"], "season", "Season"),
+        "timing_minmax_long": extremes_long(group["timing"], "timing", "Timing"),
+        "mean_by_month": mean_by(place["calendar_month"], "month"),
+        "mean_by_day": mean_by(place["day"], "daily"),
+        "mean_by_weekday": mean_by_weekday(place["weekday"]),
+        "mean_by_weekofyear": mean_by(place["week"], "weekofyear"),
     }
 
 
@@ -134,7 +140,8 @@ def run_pipeline(
 
     The readings are scanned and shuffled once, into the feature table, which is
     written straight from the deduplication. One pass over that table gives the
-    daily cube, and everything after it reads only the cube or less. Both tables
+    daily cube, one pass over the cube the groups of all reports, and everything
+    after it reads only the cube or less. Both tables
     cut lineage: losing executors later never means going back to the raw input.
 
     If not strict, readings that cannot be parsed go to ``rejected``, and a source
@@ -146,9 +153,10 @@ def run_pipeline(
     rejected = {} if strict else {"rejected": write_stage(rejected_readings(raw), f"{workspace}/rejected", rebalance=True)}
     readings = write_stage(preprocess(raw, strict), f"{workspace}/readings", rebalance)
     cube = write_stage(daily_cube(timestamp_rollup(readings)), f"{workspace}/cube", rebalance=True)
+    groups = write_stage(report_groups(cube), f"{workspace}/groups", by=("report", "source"))
     tables = {
         name: write_stage(table, f"{workspace}/reports/{name}", rebalance=True)
-        for name, table in reports(cube).items()
+        for name, table in reports(cube, groups).items()
     }
     daily = write_stage(
         fill_gaps(daily_calendar(tables["mean_by_day"]), strict), f"{workspace}/daily", rebalance=True

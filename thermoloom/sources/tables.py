@@ -29,8 +29,8 @@ RUN = T.StructField("run", T.StringType())
 MANIFEST = T.StructType([*(MODEL[c] for c in MODEL_PARTITIONS), T.StructField("version", T.StringType()), RUN])
 
 
-def write_stage(df: DataFrame, path: str, rebalance: bool = False) -> DataFrame:
-    """Write an intermediate table by source and return it as read back.
+def write_stage(df: DataFrame, path: str, rebalance: bool = False, by: tuple[str, ...] = ("source",)) -> DataFrame:
+    """Write an intermediate table by source, or other columns, and return it as read back.
 
     The table holds typed columns and no index; reading it back cuts lineage, so
     a lost executor repeats only the later stages.
@@ -40,8 +40,8 @@ def write_stage(df: DataFrame, path: str, rebalance: bool = False) -> DataFrame:
     splitting a hot source over many tasks; it pays off with many sources.
     """
     if rebalance:
-        df = df.hint("rebalance", "source")
-    df.write.mode("overwrite").partitionBy("source").parquet(path)
+        df = df.hint("rebalance", *by)
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     # a partition of the empty name is read as NULL
     return back.withColumn("source", F.coalesce("source", F.lit(""))).select(*df.columns)
