@@ -61,11 +61,16 @@ def test_links_are_all_overlaps(sizes, rng):
     ends_a = np.cumsum(sizes).tolist()
     inner = sorted(rng.sample(range(1, ends_a[-1]), rng.randint(0, ends_a[-1] - 1))) if ends_a[-1] > 1 else []
     ends_b = [*inner, ends_a[-1]]
-    groups, links = alignment.align(list(range(len(ends_a))), ends_a, list(range(len(ends_b))), ends_b)
+    groups, links = alignment.align(ends_a, ends_b)
     spans = [list(zip([0, *e[:-1]], e, strict=True)) for e in (ends_a, ends_b)]
-    assert list(zip(links[::2], links[1::2], strict=True)) == [(i, j) for i, x in enumerate(spans[0]) for j, y in enumerate(spans[1]) if x[0] < y[1] and y[0] < x[1]]
-    assert [sum(len(g[k]) for g in groups) for k in (0, 1)] == [len(ends_a), len(ends_b)]
-    assert len(groups) == len(set(ends_a) & set(ends_b))
+    assert links == [(i, j) for i, x in enumerate(spans[0]) for j, y in enumerate(spans[1]) if x[0] < y[1] and y[0] < x[1]]
+    assert groups == [(ends_a.index(e) + 1, ends_b.index(e) + 1) for e in sorted(set(ends_a) & set(ends_b))]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t abc.,'<|>12é ▁　\x1c")), max_size=60))
+def test_both_libraries_give_the_ids_of_the_file(text):
+    assert ALIGNER.encode_a([text]) == [ALIGNER.a.encode(text, add_special_tokens=False).ids]
 
 
 @pytest.mark.parametrize("most", [1, 3, 6])

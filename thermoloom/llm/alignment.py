@@ -17,6 +17,7 @@ number of documents.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from array import array
@@ -33,35 +34,43 @@ from .hashing import mix
 from .packed_rows import SENT, dealt, gathered, halves, joined, merged, sent, summed
 
 #: Pieces kept per worker, and the longest that is; pairs counted at a time.
-MEMO_PIECES = 250_000
+MEMO_PIECES = 350_000
 MEMO_LETTERS = 64
 FLUSH_PAIRS = 3_000_000
 
+#: Fixed value: the pattern by which byte-level tokenizers part a text.
+BYTE_LEVEL = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CUT = re.compile(r"(?<=\S)(?= )")
 _SPACES = re.compile(r"\s ")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
-def align(ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[int]]:
-    """Groups of ids between common ends, and the ids of A and B, in turn, of all
-    pairs of tokens that share bytes.
+def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Where groups of tokens end on both sides, and all pairs that share bytes.
 
     Ends are byte offsets behind each token, ascending; the last ones are equal.
+    A dictionary gives the place behind the token of each end; the sorted ends
+    that both dictionaries have cut the tokens into groups.
     """
-    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1), strict=True))
-    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
+    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))  # noqa: B905
+    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))  # noqa: B905
     groups, links = [], []
     a = b = 0
     for end in sorted(at_a.keys() & at_b.keys()):
         to_a, to_b = at_a[end], at_b[end]
-        groups.append((ids_a[a:to_a], ids_b[b:to_b]))
-        while True:
-            links += (ids_a[a], ids_b[b])
-            left, right = ends_a[a], ends_b[b]
-            if left == right == end:
-                break
-            a += left <= right
-            b += right <= left
+        groups.append((to_a, to_b))
+        if to_a - a == 1:
+            links += [(a, k) for k in range(b, to_b)]
+        elif to_b - b == 1:
+            links += [(k, b) for k in range(a, to_a)]
+        else:
+            while True:
+                links.append((a, b))
+                left, right = ends_a[a], ends_b[b]
+                if left == right == end:
+                    break
+                a += left <= right
+                b += right <= left
         a, b = to_a, to_b
     return groups, links
 
@@ -103,12 +112,31 @@ class Aligner:
         self.bytes_a = {i: bytes(byte[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
-        self.text_a = [str(i) for i in range(max(self.bytes_a, default=-1) + 1)]
-        self.text_b = [str(i) for i in range(len(pieces))]
+        self.encode_a = self._encoder(path_a)
         #: No piece goes on behind a word's space.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
         self.memo = Memo(MEMO_PIECES)
 
+    def _encoder(self, path: str):
+        """Ids of texts by A. If A's merges make its ids in turn and its pattern is
+        the usual one, its file's vocabulary is also one of ranks, and the faster of
+        the libraries takes it."""
+        with open(path) as file:
+            spec = json.load(file)
+        vocab, merges = spec["model"]["vocab"], spec["model"].get("merges", [])
+        made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+        split = spec.get("pre_tokenizer") or {}
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and not spec.get("normalizer")
+        options = any(spec["model"].get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        special = {t["content"] for t in spec.get("added_tokens") or []}
+        if plain and not options and made == sorted(made) and len(vocab.keys() - special) == len(made) + 256:
+            import tiktoken
+
+            ranks = {self.bytes_a[i]: i for t, i in vocab.items() if t not in special}
+            fast = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+            return lambda texts: [fast.encode_ordinary(t) for t in texts]
+        return lambda texts: [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+
     def pieces(self, text: str) -> list[str]:
         """The text cut before spaces behind words, without the space at the
         begin of each piece (the first one's stands before the text)."""
@@ -120,21 +148,24 @@ class Aligner:
 
     def _aligned(self, piece: str, ids_a: list[int], ids_b: list[int]) -> tuple | None:
         raw = b" " + piece.encode()
-        known_a, known_b = self.bytes_a, self.bytes_b
-        own_a, own_b = [known_a[i] for i in ids_a], [known_b[i] for i in ids_b]
+        own_a, own_b = [*map(self.bytes_a.__getitem__, ids_a)], [*map(self.bytes_b.__getitem__, ids_b)]
         if b"".join(own_a) != raw or b"".join(own_b) != raw:
             return None
-        groups, links = align(ids_a, [*accumulate(map(len, own_a))], ids_b, [*accumulate(map(len, own_b))])
-        text_a, text_b = self.text_a, self.text_b
-        text = ";".join([",".join([text_a[i] for i in a]) + "|" + ",".join([text_b[i] for i in b]) for a, b in groups])
-        return len(ids_a), len(ids_b), len(groups), array("I", links).tobytes(), text
+        groups, links = align([*accumulate(map(len, own_a))], [*accumulate(map(len, own_b))])
+        names_a, names_b = [*map(str, ids_a)], [*map(str, ids_b)]
+        texts, a, b = [], 0, 0
+        for to_a, to_b in groups:
+            texts.append(f"{','.join(names_a[a:to_a])}|{','.join(names_b[b:to_b])}")
+            a, b = to_a, to_b
+        pairs = array("I", [i for x, y in links for i in (ids_a[x], ids_b[y])])
+        return len(ids_a), len(ids_b), len(groups), pairs.tobytes(), ";".join(texts)
 
     def learn(self, pieces: list[str]) -> dict[str, tuple | None]:
         """Encode and align pieces; short ones are remembered."""
-        a = self.a.encode_batch([" " + p for p in pieces], add_special_tokens=False)
+        a = self.encode_a([" " + p for p in pieces])
         # a space alone: the library puts none before a text without letters
         b = [ids if p else [self.b.piece_to_id("▁")] for p, ids in zip(pieces, self.b.encode(pieces, num_threads=1), strict=True)]
-        found = {p: self._aligned(p, x.ids, y) for p, x, y in zip(pieces, a, b, strict=True)}
+        found = {p: self._aligned(p, x, y) for p, x, y in zip(pieces, a, b, strict=True)}
         self.memo.learn({p: r for p, r in found.items() if len(p) <= MEMO_LETTERS})
         return found
 
@@ -143,13 +174,15 @@ class Aligner:
         if not text:
             return None
         pieces, memo = self.pieces(text), self.memo
+        new = [p for p in set(pieces) if p not in memo and p not in memo.old]
+        found = {}
+        for k in range(0, len(new), 1000):
+            found |= self.learn(new[k : k + 1000])
         try:
             parts = [memo[p] for p in pieces]
-        except KeyError:
-            known = {p: memo[p] for p in set(pieces) if p in memo or p in memo.old}
-            new = [p for p in dict.fromkeys(pieces) if p not in known]
-            for k in range(0, len(new), 1000):
-                known |= self.learn(new[k : k + 1000])
+        except KeyError:  # long pieces are not remembered, and a very long text fills the memo itself
+            known = {p: memo[p] for p in set(pieces).difference(found) if p in memo or p in memo.old} | found
+            known |= self.learn([p for p in set(pieces) if p not in known])
             parts = [known[p] for p in pieces]
         if None in parts:
             return None
