@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,6 +75,21 @@ def dropped(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def tidy(run):
+    """A worker function that hands freed memory back to the system when it ends,
+    because a worker stays for later tasks beside the executor's own heap."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return wrapped
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

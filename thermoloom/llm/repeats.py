@@ -15,10 +15,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import partitions
+from .common import partitions, tidy
 from .hashing import mix
 
-FLUSH_ENTRIES = 1_000_000
+#: Bytes of keys, ids and places that a worker holds before it sends them; sorting
+#: and packing take a few times as much.
+FLUSH_BYTES = 8 << 20
+ENTRY_BYTES = 24
 BUCKETS_PER_PARTITION = 4
 
 SENT = "bucket int, settled boolean, low binary, high binary, docs binary, refs binary"
@@ -47,6 +50,7 @@ def places(blob: bytes) -> np.ndarray:
 
 def _packed(batch: list[Entries], buckets: int, wide: bool) -> Iterator[pa.RecordBatch]:
     keys, docs, refs = (np.concatenate(x) for x in zip(*batch, strict=True))
+    batch.clear()
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.empty(len(keys), bool)
@@ -63,7 +67,7 @@ def _packed(batch: list[Entries], buckets: int, wide: bool) -> Iterator[pa.Recor
         by = np.argsort(own, kind="stable")
         rows.append((int(own[0]) % buckets, True, b"", b"", _delta(own[by], np.int64), _delta(where[by], np.int32)))
     keys, at = keys[runs], order[runs]
-    slot = ((keys >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
+    slot = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     cuts = np.searchsorted(slot, np.arange(buckets + 1))
     for k in range(buckets):
         a, b = cuts[k], cuts[k + 1]
@@ -117,7 +121,8 @@ def repeated(df: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[Entries
     costs a later check. One row per document that has any.
     """
     n = partitions(df.sparkSession)
-    buckets = min(BUCKETS_PER_PARTITION * n, 1 << 16)
+    buckets = BUCKETS_PER_PARTITION * n
+    most = FLUSH_BYTES // ENTRY_BYTES
 
     def deal(batches):
         batch, size = [], 0
@@ -125,7 +130,7 @@ def repeated(df: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[Entries
             for part in entries(rows):
                 batch.append(part)
                 size += len(part[0])
-                if size >= FLUSH_ENTRIES:
+                if size >= most:
                     yield from _packed(batch, buckets, wide)
                     batch, size = [], 0
         if size:
@@ -169,7 +174,7 @@ def repeated(df: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[Entries
                     bucket, waiting = r["bucket"], []
                 if not r["settled"]:
                     waiting.append(r)
-                if size > FLUSH_ENTRIES:
+                if size > most:
                     yield from _by_group(found, buckets)
                     found, size = [], 0
         if waiting:
@@ -186,6 +191,6 @@ def repeated(df: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[Entries
                 parts.append((_undelta(r["docs"], np.int64), _undelta(r["refs"], np.int32)))
         yield from _by_document(parts)
 
-    sent = df.mapInArrow(deal, SENT).repartition(n, "bucket").sortWithinPartitions("settled", "bucket")
-    found = sent.mapInArrow(compare, GROUPED).repartition(n, "bucket").sortWithinPartitions("bucket")
-    return found.mapInArrow(gather, FOUND)
+    sent = df.mapInArrow(tidy(deal), SENT).repartition(n, "bucket").sortWithinPartitions("settled", "bucket")
+    found = sent.mapInArrow(tidy(compare), GROUPED).repartition(n, "bucket").sortWithinPartitions("bucket")
+    return found.mapInArrow(tidy(gather), FOUND)

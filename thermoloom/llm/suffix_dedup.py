@@ -33,11 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, columns, running, stored
+from .common import bytes_of, columns, running, stored, tidy
 from .hashing import buffers, chunks, prefix_sums, substring_hashes
 from .repeats import places, repeated
 
 LENGTH = 200
+#: Every byte of a segment is a suffix of 24 bytes: so many at a time.
+SUFFIX_BYTES = 1 << 18
 NO_ID = -(2**63)
 
 
@@ -129,7 +131,7 @@ def _suffix_names(length: int):
         data, offsets = buffers(batch.column("text"))
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         begin = batch.column("offset").to_numpy(zero_copy_only=False)
-        for first, last in chunks(offsets):
+        for first, last in chunks(offsets, SUFFIX_BYTES):
             own = offsets[first : last + 1] - offsets[first]
             keep = np.diff(own) - length + 1
             local = np.arange(keep.sum()) - np.repeat(np.cumsum(keep) - keep, keep)
@@ -205,12 +207,6 @@ def _prepared(docs: DataFrame) -> DataFrame:
     return columns(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), bytes_of().alias("text"))
 
 
-def _with_repeats(docs: DataFrame, length: int) -> DataFrame:
-    with running(docs.sparkSession):
-        found = repeats(docs, length)
-    return docs.join(found, "doc_id", "left")
-
-
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Rows (doc_id, kept, begins, ends): the remaining bytes and removed runs.
 
@@ -220,12 +216,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     doc_id but not the text are cut alike, at the places found in any of them.
     ``kept`` is binary: a run may begin inside a UTF-8 character.
     """
-    out = _with_repeats(_prepared(docs), length).mapInArrow(_cut, "doc_id long, kept binary, begins array<long>, ends array<long>")
+    docs = _prepared(docs)
+    with running(docs.sparkSession):
+        found = repeats(docs, length)
+    out = docs.join(found, "doc_id", "left").mapInArrow(_cut, "doc_id long, kept binary, begins array<long>, ends array<long>")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
 def removal_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256) of
     :func:`remove_repeats`, without the texts."""
-    out = _with_repeats(_prepared(docs), length).mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    docs = _prepared(docs)
+    with running(docs.sparkSession):
+        whole = docs.join(repeats(docs, length), "doc_id", "left")
+        out = stored(whole.mapInArrow(tidy(_digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "digest")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
