@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, dropped, new_path, partitions, running, stored
+from .common import columns, dropped, new_path, partitions, running, stored, tidy
 from .hash_arrays import look_up, mounted, slots, write_array, write_file
 from .hashing import mix
 from .packed_rows import SENT, Row, dealt, gathered, halves, joined, merged, sent, summed
@@ -342,7 +342,7 @@ def train(docs: DataFrame, path: str) -> Model:
     model = Model(mounted(path), partitions(spark))
     n = model.shards
     os.makedirs(model.folder, exist_ok=True)
-    sizes = merged(texts.mapInArrow(_send_words(n), SENT), n, _write_words(model.folder), "lm-words")
+    sizes = merged(texts.mapInArrow(tidy(_send_words(n)), SENT), n, _write_words(model.folder), "lm-words")
     held = np.zeros(n, np.int64)
     for dest, data in sizes.select("dest", "data").collect():
         known, tokens, size = np.frombuffer(data, np.int64)
@@ -353,7 +353,7 @@ def train(docs: DataFrame, path: str) -> Model:
     model.hot = max(1, model.tokens // n)
     parts = []
     for turn in range(ROUNDS):
-        parts.append(merged(texts.mapInArrow(_send_trigrams(model, turn), SENT), n, _write_shard(model), "lm-shards", ROUNDS))
+        parts.append(merged(texts.mapInArrow(tidy(_send_trigrams(model, turn)), SENT), n, _write_shard(model), "lm-shards", ROUNDS))
     both = reduce(DataFrame.unionByName, parts)
     hot = merged(both.where("kind = 'part'"), n, _write_hot_pairs(model), "lm-hot-pairs")
     both = both.unionByName(hot)
@@ -470,7 +470,7 @@ def _scored(model: Model):
 
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     """Score every whole text of ``docs`` (doc_id, text, held_out) as it stands."""
-    return columns(docs, "doc_id", "text", "held_out").mapInArrow(_scored(model), SCORES)
+    return columns(docs, "doc_id", "text", "held_out").mapInArrow(tidy(_scored(model)), SCORES)
 
 
 def held_out(share: int = HELD_OUT):

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, tidy
 from .hash_arrays import packed, unpacked
 
 SENT = "kind string, dest int, data binary"
@@ -61,7 +61,7 @@ def merged(rows: DataFrame, shards: int, merge: Callable[[int, Got], list[Row]],
             yield from sent(merge(now, got))
 
     by_dest = rows.repartitionById(-(-shards // rounds), F.expr(f"CAST(dest div {rounds} AS INT)")).sortWithinPartitions("dest")
-    return stored(by_dest.mapInArrow(run, SENT), name)
+    return stored(by_dest.mapInArrow(tidy(run), SENT), name)
 
 
 def summed(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .additive import quality_scores
 from .alignment import align_tokenizers
-from .common import new_path, running, table
+from .common import new_path, running, stored, table
 from .decontam import leaks
 from .kneser_ney import model_scores
 from .line_winnowing import WORDS, drop_repeated_lines
@@ -32,7 +32,7 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     with running(spark):
         write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file())
-    return token_documents(spark, path)
+        return stored(token_documents(spark, path), "token-documents")
 
 
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
