@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, running, stored
+from .common import columns, running, stored, tidy
 from .text_features import NAMES, features
 
 #: The model is fitted on so many labelled rows at most, chosen by a hash.
@@ -173,26 +173,45 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def _fitted(docs: DataFrame, labels: DataFrame, fit_rows: int) -> tuple[DataFrame, Additive]:
-    docs = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    table = stored(docs.mapInArrow(_features, "doc_id long, x array<double>"), "features")
+def _known(labels: DataFrame) -> DataFrame:
+    """Labels that teach: 0 or 1, not held out, without contradiction."""
     known = columns(labels, "doc_id", "quality").where("quality in (0, 1)").where(_fold() != 0)
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("top")).where("y = top").select("doc_id", "y")
-    sample = table.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select("x", "y").toPandas()
+    return known.groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("top")).where("y = top").select("doc_id", "y")
+
+
+def _fit_on(rows: DataFrame, fit_rows: int) -> Additive:
+    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select("x", "y").toPandas()
     x = np.array(sample["x"].tolist(), float).reshape(-1, len(NAMES))
-    return table, fit(x, sample["y"].to_numpy(float))
+    return fit(x, sample["y"].to_numpy(float))
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, fit_rows: int) -> tuple[DataFrame, Additive]:
+    docs = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    table = stored(docs.mapInArrow(tidy(_features), "doc_id long, x array<double>"), "features")
+    return table, _fit_on(table.join(_known(labels), "doc_id"), fit_rows)
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, all columns.
 
-    Every row is scored where it lies, so nothing but the fitted tables moves.
+    The model is fitted on at most ``fit_rows`` labelled rows, the only ones whose
+    features are stored; then every row is scored where it lies. Null and empty
+    texts are scored as empty ones; rows that share an id are scored each by its
+    text; a null id never teaches. The result is a written table.
     """
-    with running(docs.sparkSession):
-        _, model = _fitted(docs, labels, fit_rows)
 
-    @F.arrow_udf("double")
-    def score(text: pa.Array) -> pa.Array:
-        return pa.array(model.scores(features(text)))
+    def score_of(model: Additive):
+        @F.arrow_udf("double")
+        def score(text: pa.Array) -> pa.Array:
+            return pa.array(model.scores(features(text)))
 
-    return docs.where(score(F.col("text")) >= threshold)
+        return score(F.col("text"))
+
+    with running(docs.sparkSession):
+        rows = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+        # as many labels as rows to fit on, so of a size that is a parameter
+        chosen = stored(_known(labels).join(rows.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "chosen")
+        taught = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text")
+        table = stored(taught.mapInArrow(tidy(_features), "doc_id long, x array<double>"), "features")
+        model = _fit_on(table.join(F.broadcast(chosen), "doc_id"), fit_rows)
+        return stored(docs.where(score_of(model) >= threshold), "quality")
