@@ -10,13 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from thermoloom.llm.additive import keep_quality
 from thermoloom.llm.common import new_path, running, stored, table
 from thermoloom.llm.decontam import drop_leaks
 from thermoloom.llm.mixing import mix
-from thermoloom.llm.ngram_join import ngram_jaccard
+from thermoloom.llm.ngram_join import one_of_each
 from thermoloom.llm.queries import tokenizer_file
 from thermoloom.llm.tokens import token_documents, write_tokens
 
@@ -27,14 +26,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies (operator 10) the document with its id.
-
-    Of repeated rows one stays; documents without an id stay unless they link
-    with one that has an id.
-    """
-    found = ngram_jaccard(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = found.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+    """One document of each component of near copies (operator 10), and one of
+    repeated rows."""
+    return one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +46,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     with running(spark):
         write_tokens(docs, path, tokenizer_file())
-    return token_documents(spark, path)
+        return stored(token_documents(spark, path), "token-documents")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
