@@ -5,6 +5,7 @@ import re
 
 import brute
 
+from thermoloom.llm import line_winnowing
 from thermoloom.llm.line_winnowing import WORDS, drop_repeated_lines
 
 
@@ -74,3 +75,32 @@ def test_odd_documents(odd, empty):
     assert drop_repeated_lines(empty).count() == 0
     twice = [r.text for r in got if r.doc_id == 5]
     assert len(twice) == 2 and twice[0] == twice[1]
+
+
+def test_windows_grow_with_recurring_lines(spark, monkeypatch):
+    """Unshared lines are selected, but no window is built around them."""
+    rows = lambda n: [(k, "\n".join([*(f"own {k} {j}" for j in range(40)), *(["x", "y", "z"] if k < 4 else [])])) for k in range(n)]
+    counts = {}
+
+    def counted(df, name="t", keep=line_winnowing.stored):
+        out = keep(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(line_winnowing, "stored", counted)
+    found = {}
+    for n in (20, 200):
+        got = drop_repeated_lines(spark.createDataFrame(rows(n), "doc_id long, text string"), words=WORDS)
+        assert sum(r.n_removed for r in got.collect()) == 9
+        found[n] = dict(counts)
+    assert found[200]["selected"] > 5 * found[20]["selected"]
+    assert found[200]["line-windows"] == found[20]["line-windows"] <= 4 * 9
+
+
+def test_a_match_goes_on_both_ways(spark):
+    """A long run copied between two texts goes as one, whatever its fingerprints."""
+    rng = random.Random(2)
+    run = [f"line {rng.random()}" for _ in range(200)]
+    rows = [(1, "\n".join(["a", *run, "b"])), (2, "\n".join(["c", *run[:120], "d", *run[119:], "e"]))]
+    got = {r.doc_id: r.text for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == rows[0][1] and got[2] == "c\nd\ne"

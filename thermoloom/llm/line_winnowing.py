@@ -1,15 +1,21 @@
 """Operator 8: repeated runs of lines, found by winnowing; DataFrame functions only.
 
-Lines are trimmed and hashed, blank ones passed over. Of every window of ``run``
-lines the smallest hash (the last one of equals) is its fingerprint, so any run
-of that many lines that recurs shares a fingerprint. Positions whose fingerprint
-occurs once are dropped. Around the others matches are extended both ways: all
-windows that hold the fingerprint are compared as a whole with their first
-occurrence. Windows that came before, in the order of doc_id and line, are
-deleted; together they make the maximal repeated runs.
-
-Runs of fewer lines count if they have many words or are a whole text; these
-windows are fingerprints of their own.
+Lines are trimmed and hashed, blank ones passed over.
+
+1. *Fingerprints.* Of every window of ``run`` lines the line with the smallest
+   hash (the last one of equals) is selected, so any run of that many lines that
+   recurs shares a selected line. A line is selected once, however many windows
+   it stands for. Runs of fewer lines count if they have many words or are a whole
+   text; for these the same is done with smaller windows of enough characters.
+2. *Join positions.* Selected lines whose hash occurs once are dropped. Each of the
+   others is joined with the first place, in the order of doc_id and line, that has
+   the same lines around it: the windows that hold it are compared as a whole, by
+   two hashes of every line (128 bits; no other look is taken at the text).
+3. *Extend.* Matches that overlap or touch are one run: a match goes on in both
+   directions as long as the window one line further matches too, which holds a
+   selected line of its own.
+4. *Delete.* What came before goes, in one pass over the texts; there the words of
+   short runs are counted.
 """
 
 from __future__ import annotations
@@ -25,48 +31,73 @@ WORDS = 50
 #: Scripts without spaces: each character counts as a word.
 _UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 _WORD = rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+"
+_WINDOWS = "ARRAY<STRUCT<i: INT, width: INT, whole: BOOLEAN>>"
 
 
-def _blank(line):
-    return F.trim(line) == ""
+def _full(text: str) -> str:
+    """Trimmed lines without blank ones."""
+    return f"filter(transform(split({text}, '\\n'), x -> trim(x)), x -> x <> '')"
 
 
-def _windows(docs: DataFrame, run: int, words: int | None) -> DataFrame:
-    """Rows (doc_id, row, i, at, fp, name, width): window i of a text, its
-    fingerprint, where that stands, the hash of the whole window, its lines."""
-    lines = F.filter(F.split("text", "\n"), lambda x: ~_blank(x))
-    hashed = docs.where("text is not null").select("doc_id", "row", lines.alias("lines"))
-    count = F.transform("lines", lambda x: F.regexp_count(x, F.lit(_WORD)) if words is not None else F.lit(0))
-    hashed = hashed.select("doc_id", "row", F.transform("lines", lambda x: F.xxhash64(F.trim(x))).alias("h"), count.alias("n"))
+def _starts(width: int) -> str:
+    return f"IF(size(h) >= {width}, sequence(1, size(h) - {width - 1}), CAST(array() AS ARRAY<INT>))"
 
-    def window(i):
-        part = F.slice(F.col("h"), i, F.lit(run))
-        last = run - F.array_position(F.reverse(part), F.array_min(part))
-        return F.struct(i.alias("i"), (i + last).alias("at"), F.array_min(part).alias("fp"), F.xxhash64(part).alias("name"), F.lit(run).alias("width"))
 
-    def short(width):
-        name = lambda i: F.xxhash64(F.slice(F.col("h"), i, F.lit(width)))
-        many = lambda i: (F.size("h") == width) | (F.aggregate(F.slice(F.col("n"), i, F.lit(width)), F.lit(0), lambda a, x: a + x) > words)
-        one = lambda i: F.struct(i.alias("i"), i.cast("long").alias("at"), name(i).alias("fp"), name(i).alias("name"), F.lit(width).alias("width"))
-        return F.transform(F.filter(starts(width), many), one)
+def _enough(i: str, width: int, words: int) -> str:
+    """Whether a run of fewer lines has more characters than it needs words."""
+    return f"aggregate(slice(chars, {i}, {width}), 0, (a, x) -> a + x) > {words}"
 
-    def starts(width):
-        return F.when(F.size("h") >= width, F.sequence(F.lit(1), F.size("h") - width + 1)).otherwise(F.array().cast("array<int>"))
 
-    each = F.concat(F.transform(starts(run), window), *([short(w) for w in range(1, run)] if words is not None else []))
-    return hashed.select("doc_id", "row", F.explode(each).alias("w")).select("doc_id", "row", "w.*")
+def _hashed(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, row, h, g, chars): two hashes and the length of every line."""
+    lines = docs.where("text is not null").select("doc_id", "row", F.expr(_full("text")).alias("lines")).where("size(lines) > 0")
+    return lines.selectExpr("doc_id", "row", "transform(lines, x -> xxhash64(x)) AS h", "transform(lines, x -> xxhash64(1, x)) AS g", "transform(lines, x -> length(x)) AS chars")
+
+
+def _selected(hashed: DataFrame, run: int, words: int | None) -> DataFrame:
+    """Rows (row, at, fp): the lines that are window minima."""
+
+    def minima(width: int, starts: str) -> str:
+        part = f"slice(h, i, {width})"
+        return f"transform({starts}, i -> CAST(i + {width} - array_position(reverse({part}), array_min({part})) AS INT))"
+
+    each = [minima(run, _starts(run))]
+    if words is not None:
+        each.append(f"IF(size(h) < {run}, sequence(1, size(h)), CAST(array() AS ARRAY<INT>))")
+        each += [minima(w, f"filter({_starts(w)}, i -> {_enough('i', w, words)})") for w in range(1, run)]
+    return hashed.selectExpr("row", "h", f"explode(array_distinct(concat({', '.join(each)}))) AS at").selectExpr("row", "at", "h[at - 1] AS fp")
+
+
+def _around(hits: DataFrame, run: int, words: int | None) -> DataFrame:
+    """Rows (doc_id, row, i, width, whole, name, other): the windows that hold a
+    line of ``places``, and the names of their lines."""
+
+    def windows(width: int) -> str:
+        inside = f"sequence(greatest(1, at - {width - 1}), least(at, size(h) - {width - 1}))"
+        some = f"filter({inside}, i -> {_enough('i', width, words)})" if width < run else inside
+        return f"IF(size(h) >= {width}, transform({some}, i -> struct(CAST(i AS INT) AS i, {width} AS width, false AS whole)), CAST(array() AS {_WINDOWS}))"
+
+    each = [f"flatten(transform(places, at -> {windows(w)}))" for w in range(1 if words is not None else run, run + 1)]
+    if words is not None:
+        each.append(f"IF(size(h) < {run}, array(struct(1 AS i, size(h) AS width, true AS whole)), CAST(array() AS {_WINDOWS}))")
+    rows = hits.selectExpr("doc_id", "row", "h", "g", f"explode(array_distinct(concat({', '.join(each)}))) AS w")
+    return rows.selectExpr("doc_id", "row", "w.i", "w.width", "w.whole", "xxhash64(w.whole, slice(h, w.i, w.width)) AS name", "xxhash64(w.width, slice(g, w.i, w.width)) AS other")
 
 
 def repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
-    """Rows (row, gone): per text the places, from 1, of its lines to delete,
-    counted without blank lines. ``docs`` has doc_id, row and text."""
-    windows = stored(_windows(docs, run, words), "line_windows")
-    positions = windows.select("doc_id", "row", "at", "fp").distinct()
-    again = positions.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
-    found = windows.join(again, "fp", "left_semi")
-    first = found.groupBy("name").agg(F.min(F.struct("doc_id", "row", "i")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = found.join(first, "name").where(~F.struct("doc_id", "row", "i").eqNullSafe(F.col("first")))
-    return stored(later.select("row", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("width") - 1)).alias("line")).distinct().groupBy("row").agg(F.collect_list("line").alias("gone")), "lines")
+    """Rows (row, runs): per text the runs (i, width, whole) that came before, by
+    places from 1, counted without blank lines. Runs of fewer lines than ``run``
+    that are no whole text still need their words counted. ``docs`` has doc_id,
+    row and text."""
+    hashed = stored(_hashed(docs), "lines")
+    selected = stored(_selected(hashed, run, words).distinct(), "selected")
+    again = selected.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    places = selected.join(again, "fp", "left_semi").groupBy("row").agg(F.collect_list("at").alias("places"))
+    windows = stored(_around(hashed.dropDuplicates(["row"]).join(places, "row"), run, words), "line-windows")
+    place = F.struct("doc_id", "row", "i")
+    first = windows.groupBy("name", "other").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    later = windows.join(first, ["name", "other"]).where(~place.eqNullSafe(F.col("first")))
+    return stored(later.groupBy("row").agg(F.collect_list(F.struct("i", "width", "whole")).alias("runs")), "runs")
 
 
 def drop_repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
@@ -82,14 +113,15 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = Non
     docs = columns(docs, "doc_id", "text").withColumn("row", F.xxhash64("doc_id", "text"))
     with running(docs.sparkSession):
         gone = repeated_lines(docs, run, words)
-    lines = F.split("text", "\n")
-    # the running number of a line without blank ones, found for changed texts only
-    numbered = F.aggregate(
-        lines,
-        F.struct(F.lit(0).alias("k"), F.array().cast("array<string>").alias("kept")),
-        lambda a, x: F.struct((a["k"] + F.when(_blank(x), 0).otherwise(1)).alias("k"), F.when(~_blank(x) & F.array_contains(F.col("gone"), a["k"] + 1), a["kept"]).otherwise(F.concat(a["kept"], F.array(x))).alias("kept")),
-    )["kept"]
-    cut = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(numbered, "\n"))
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
-    # every size takes the same plan: texts are shuffled once
-    return docs.join(gone.hint("merge"), "row", "left").select("doc_id", cut.alias("text"), n.alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"))
+    few = f"regexp_count(array_join(slice(l.full, r.i, r.width), ' '), '{_WORD}') > {words}".replace("\\", "\\\\") if words is not None else "false"
+    lines = docs.join(gone.hint("merge"), "row", "left").select("doc_id", "text", "runs")
+    # lines as they stand, and which of them are not blank
+    changed = lines.withColumn("l", F.expr(f"IF(runs IS NULL, NULL, struct(split(text, '\\n') AS each, {_full('text')} AS full))"))
+    changed = changed.withColumn("good", F.expr(f"filter(runs, r -> r.width = {run} OR r.whole OR {few})"))
+    changed = changed.withColumn("gone", F.expr("array_distinct(flatten(transform(good, r -> sequence(r.i, r.i + r.width - 1))))"))
+    places = "filter(transform(l.each, (x, k) -> IF(trim(x) = '', -1, k)), k -> k >= 0)"
+    changed = changed.withColumn("at", F.expr(f"IF(size(gone) > 0, {places}, NULL)"))
+    changed = changed.withColumn("at", F.expr("transform(gone, g -> at[g - 1])"))
+    cut = F.expr("IF(size(gone) > 0, array_join(filter(l.each, (x, k) -> NOT array_contains(at, k)), '\\n'), text)")
+    n = F.expr("IF(text IS NULL, 0, size(split(text, '\\n')))")
+    return changed.select("doc_id", cut.alias("text"), n.alias("n_lines"), F.expr("coalesce(size(gone), 0)").alias("n_removed"))
