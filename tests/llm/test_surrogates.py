@@ -73,3 +73,51 @@ def test_plain_documents_stay(odd, empty):
 def test_no_python_in_the_plan(spark):
     plan = replace_entities(spark.createDataFrame(DOCS, "doc_id long, text string"), "k")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_names_leave_nothing_of_the_surname(spark):
+    names = ["Mr John McDonald", "Herr Hans-Peter Müller", "Ms Anna de Vries", "Mr O'Neil", "Frau von der Leyen", "Dr. J.R. Smith-Jones", "Mme D’Arc", "Mr JOHN SMITH", "Prof Ludwig van Beethoven", "Mr De", "Mr O'N"]
+    got = {r.doc_id: r.text for r in replace_entities(spark.createDataFrame([(k, f"so {n}, said") for k, n in enumerate(names)], "doc_id long, text string"), "k").collect()}
+    for gone in "John McDonald Donald Hans Peter Müller Anna Vries Neil Leyen Smith Jones Arc JOHN SMITH Ludwig Beethoven".split():
+        assert not any(re.search(rf"\b{gone}\b", t) for t in got.values()), gone
+    name = r"[A-Z][a-z]+"
+    for k, shape in enumerate([rf"Mr {name} {name}", rf"Herr {name} {name}", rf"Ms {name} de {name}", rf"Mr O'{name}", rf"Frau von der {name}", rf"Dr\. [A-Z]\. {name}-{name}", rf"Mme D’{name}", "Mr [A-Z]+ [A-Z]+", rf"Prof {name} van {name}", rf"Mr {name}", "Mr O'[A-Z]+"]):
+        assert re.fullmatch(f"so {shape}, said", got[k]), got[k]
+
+
+def test_people_stay_distinct_and_are_linked_by_surname(spark):
+    """200 people of one surname, 30 of another; brute force: one surrogate for each, none for two."""
+    given = [f"{a}{b}" for a in ("Al", "Be", "Ca", "Do", "Em", "Fi", "Ga", "Hu", "Il", "Jo") for b in ("an", "bo", "co", "di", "el", "fa", "gi", "ha", "in", "ju", "ko", "la", "mi", "no", "op", "pa", "qi", "ro", "su", "ti")]
+    people = [(t, g, n) for n, some in (("Smith", given), ("Jones", given[:30])) for k, g in enumerate(some) for t in ("Mr", "Mrs", "Dr")[k % 3 : k % 3 + 1]]
+    rows = [(k, f"{t} {g} {n}") for k, (t, g, n) in enumerate(people)]
+    rows += [(1000 + k, f"Dr {g} {n}") for k, (_, g, n) in enumerate(people)] + [(5000, "Mr Smith"), (5001, "Mrs Jones")]
+    got = {r.doc_id: r.text for r in replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    full = {(g, n): got[k].split(" ", 1)[1] for k, (_, g, n) in enumerate(people)}
+    assert len(set(full.values())) == len(full)
+    assert not set(full.values()) & {f"{g} {n}" for g, n in full}
+    assert all(got[1000 + k].split(" ", 1)[1] == full[g, n] for k, (_, g, n) in enumerate(people))
+    for k, n in ((5000, "Smith"), (5001, "Jones")):
+        assert {x.split(" ")[1] for (_, m), x in full.items() if m == n} == {got[k].split(" ")[1]}
+    for (t, g, n) in people:
+        first = full[g, n].split(" ")[0].split("-")[0]
+        assert first in surrogates.GIVEN[{"Mr": "m", "Mrs": "f", "Dr": "u"}[t]]
+
+
+def test_small_ranges_do_not_run_out(spark):
+    """More addresses of one private range than half of it has."""
+    entities = spark.createDataFrame([("ip", f"192.168.{a}.{b}") for a in range(1, 255) for b in range(1, 255) if (a + b) % 3], "kind string, entity string")
+    found = surrogate_table(entities, "k")
+    from pyspark.sql import functions as F
+
+    n = entities.count()
+    assert found.agg(F.countDistinct("surrogate"), F.count("*")).first()[:] == (n, n)
+    assert found.join(entities.select(F.col("entity").alias("surrogate")), "surrogate").isEmpty()
+
+
+def test_what_has_no_surrogates_left_is_an_error(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(surrogates, "MOST_ATTEMPTS", 3)
+    entities = spark.createDataFrame([("x", str(k)) for k in range(5)], "kind string, entity string")
+    with pytest.raises(ValueError, match="no distinct surrogate"):
+        surrogate_table(entities, "k", lambda attempt: F.lit("same"))
