@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-from thermoloom.llm import decontam
 from thermoloom.llm.decontam import drop_leaks, leaks
 
 ITEM = "If a train leaves Boston with 60 km per hour and Anna waits 3 hours for the 60 km train, how far does it go?"
@@ -25,12 +24,12 @@ DOCS = [
 ITEMS = [(1, ITEM), (2, "short one"), (3, None), (4, ""), (None, ITEM)]
 
 
-def test_reparameterised_items(spark, monkeypatch):
+def test_reparameterised_items(spark):
     found = _leaks(spark, DOCS, ITEMS)
     assert found - {(10, 1)} == {(1, 1), (3, 1), (7, 2), (9, 1)}
-    # beyond the bound all windows are joined, with the same result
-    monkeypatch.setattr(decontam, "MOST_SENT", 0)
-    assert _leaks(spark, DOCS, ITEMS) == found
+    # a filter that is full of other items changes nothing
+    others = [(100 + k, " ".join(f"w{k}x{j}" for j in range(30))) for k in range(3000)]
+    assert _leaks(spark, DOCS, ITEMS + others) == found
 
 
 def test_slots_have_to_agree(spark):
@@ -75,3 +74,25 @@ def test_odd_and_no_documents(spark, odd, empty):
     assert leaks(empty, bench).count() == 0
     assert leaks(odd, bench.limit(0)).count() == 0
     assert drop_leaks(odd, bench).count() == odd.count()
+
+
+def test_items_of_numbers_names_and_unspaced_scripts(spark):
+    """Copies are found although no window has two plain words, or no space; with other values they are not."""
+    sums, places = "Calculate 12 * 35 + 17 * 48 - 93", "Rome 1960, Tokyo 1964, Paris 1924, Oslo 1952, Kiel 1936, Berlin 1936"
+    han = "小明有三个苹果，小红给了他五个苹果，请问小明现在一共有多少个苹果？"
+    thai = "สมชายมีแอปเปิ้ลสามผลและซื้อเพิ่มอีกห้าผลเขามีแอปเปิ้ลกี่ผล"
+    items = [(1, sums), (2, places), (3, han), (4, thai)]
+    docs = [
+        (1, "So: " + sums + " at once."), (2, "The games of " + places + " were held."), (3, "今天我们来看一道题。" + han + "答案是八个。"), (4, thai), (5, "前" + thai + "后"),
+        (11, "Calculate 13 * 36 + 18 * 49 - 94"), (12, "Rome 1961, Tokyo 1965, Paris 1925, Oslo 1953, Kiel 1937, Berlin 1937"),
+        (13, "今天我们去公园看花，天气很好，孩子们一共放了多少个风筝，没有人知道。"), (14, "Calculate 12 and 35"),
+    ]
+    assert _leaks(spark, docs, items) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 4)}
+
+
+def test_every_text_is_dropped_for_itself(spark):
+    """Rows without an id and rows that share one."""
+    docs = spark.createDataFrame([(None, ITEM), (None, "clean"), (7, "so " + ITEM), (7, "clean too"), (8, None), (9, "")], "doc_id long, text string").selectExpr("*", "1 AS row", "2 AS item_id")
+    kept = drop_leaks(docs, spark.createDataFrame(ITEMS, "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(None, "clean"), (7, "clean too"), (8, None), (9, "")], key=repr)

@@ -4,6 +4,9 @@ A text becomes a template: numbers, units and names turn into typed
 placeholders, everything else is lower-cased, punctuation goes. Windows of five
 template words are hashed and joined with those of the benchmark items; a
 question asked again with other numbers, units or names has the same windows.
+A window of hardly anything but placeholders says too little as a template; it
+keeps its values and matches only itself. Scripts without spaces are cut into
+characters.
 What stood at the placeholders must also fit: within an occurrence each value of
 the item has to become the same new value nearly everywhere. An occurrence is a
 group of hits whose place in the document less that in the item is about the same.
@@ -21,11 +24,11 @@ from .hashing import BASE, FOLDED_VALUES, buffers, chunks, mix, prefix_sums, sub
 
 WINDOW = 5
 SIMILARITY = 0.75
-#: Windows with fewer words that are no placeholders say too little.
+#: Windows with fewer words that are no placeholders match only with their values.
 LEAST_LITERALS = 2
-#: So many window hashes of the benchmark are sent to all tasks to drop windows
-#: before the join (16 bytes each in the driver); beyond that all windows are joined.
-MOST_SENT = 1_000_000
+#: Bits of the filter of benchmark windows that every task gets, of the same size
+#: whatever the benchmark's; what it lets through in vain falls in the join.
+FILTER_BITS = 25
 
 #: Unit words that may stand beside a number.
 UNITS = (
@@ -46,6 +49,23 @@ _STOP = np.zeros(256, bool)
 _STOP[list(b".!?\n")] = True
 
 
+def _unspaced(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where characters of scripts without spaces begin (Han, kana, Thai, Lao,
+    Khmer, Burmese), and the bytes of wide punctuation."""
+    next_ = np.append(part[1:], np.uint8(0))
+    third = np.append(part[2:], np.zeros(2, np.uint8))[: len(part)]
+    lead = (part >= 0xE4) & (part <= 0xE9)
+    lead |= (part == 0xE3) & (next_ >= 0x81) & (next_ <= 0xBF)
+    lead |= (part == 0xE0) & (next_ >= 0xB8) & (next_ <= 0xBB)
+    lead |= (part == 0xE1) & (((next_ >= 0x80) & (next_ <= 0x82)) | (next_ == 0x9E) | (next_ == 0x9F))
+    lead |= (part == 0xF0) & (next_ >= 0xA0) & (next_ <= 0xAF)
+    wide = ((part == 0xE3) & (next_ == 0x80)) | ((part == 0xEF) & (next_ == 0xBC) & (((third >= 0x81) & (third <= 0x8F)) | ((third >= 0x9A) & (third <= 0xA0))))
+    marks = wide.copy()
+    marks[1:] |= wide[:-1]
+    marks[2:] |= wide[:-2]
+    return lead, marks
+
+
 def _fold(part: np.ndarray) -> np.ndarray:
     """Lower-case the Latin letters of two bytes; A-Z are folded by the table."""
     out = part.copy()
@@ -76,18 +96,23 @@ def template(part: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """Word hashes, their kinds, and where each text's words begin.
 
     A word is a run of letters and digits, joined by single marks as in 3.5 or
-    don't. It is a number if it begins with a digit; a unit if listed and after a
+    don't, or one character of a script without spaces. It is a number if it begins with a digit; a unit if listed and after a
     number; a name if it begins with a capital, goes on in lower case and does not
     open a sentence.
     """
     n = len(part)
-    solid = _ALNUM[part]
+    lead, marks = _unspaced(part)
+    solid = _ALNUM[part] & ~marks
     edge = np.zeros(n + 1, bool)
     edge[own] = True
     inner = np.zeros(n, bool)
     if n > 2:
         inner[1:-1] = _JOINER[part[1:-1]] & solid[:-2] & solid[2:] & ~edge[1 : n - 1] & ~edge[2:n]
     solid |= inner
+    if lead.any():  # each such character is a word, and so begins what follows it
+        at = np.flatnonzero(lead)
+        edge[at] = True
+        edge[np.minimum(at + np.where(part[at] == 0xF0, 4, 3), n)] = True
     begin, end = solid.copy(), solid.copy()
     begin[1:] &= ~solid[:-1] | edge[1:n]
     end[:-1] &= ~solid[1:] | edge[1:n]
@@ -115,7 +140,8 @@ def template(part: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _windows(column: pa.Array):
-    """(text, place of the window, its hash, values at the placeholders) for a chunk at a time.
+    """(text, place of the window, its hash, values at the placeholders, whether it
+    is poor in words) for a chunk at a time.
 
     A text of fewer than five words is one window, its whole template.
     """
@@ -132,44 +158,70 @@ def _windows(column: pa.Array):
         place = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
         start = np.repeat(at[:-1], number) + place
         width = np.repeat(size, number)
-        total, literal = np.zeros(len(start), np.uint64), np.zeros(len(start), np.int64)
+        total, exact, literal = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64), np.zeros(len(start), np.int64)
         values = np.zeros((len(start), WINDOW), np.uint64)
         for k, step in enumerate(_STEPS):
             there = width > k
             where = start[there] + k
             total[there] += masked[where] * step
+            exact[there] += hashes[where] * step
             literal[there] += kind[where] == 0
             values[there, k] = slots[where]
-        total = mix(total + width.astype(np.uint64))
-        good = literal >= np.minimum(width, LEAST_LITERALS)
-        yield text[good], place[good], total[good], values[good]
+        poor = literal < np.minimum(width, LEAST_LITERALS)
+        values[poor] = 0  # they are in the hash
+        total = mix(np.where(poor, mix(exact) ^ _PLACEHOLDERS[_NUMBER], total) + width.astype(np.uint64))
+        yield text, place, total, values, poor
+
+
+def _bits(keys: np.ndarray) -> np.ndarray:
+    """The two bits of each key in the filter."""
+    return np.stack([keys >> np.uint64(64 - FILTER_BITS), mix(keys) >> np.uint64(64 - FILTER_BITS)])
+
+
+def _filter_words(batches):
+    for batch in batches:
+        bits = np.unique(_bits(batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)))
+        word, at = np.unique(bits >> np.uint64(6), return_index=True)
+        value = np.bitwise_or.reduceat(np.uint64(1) << (bits & np.uint64(63)), at) if len(at) else bits
+        yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))], names=["word", "value"])
+
+
+def _filter_of(known: DataFrame) -> np.ndarray:
+    """A Bloom filter of the keys, of a fixed number of words."""
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    rows = known.select("key").mapInArrow(_filter_words, "word long, value long").groupBy("word").agg(F.bit_or("value").alias("value")).toPandas()
+    out[rows["word"].to_numpy(np.int64)] = rows["value"].to_numpy(np.int64).view(np.uint64)
+    return out
 
 
 def _window_rows(id_name: str, wanted: np.ndarray | None):
     def run(batches):
         for batch in batches:
             ids, rows = (batch.column(c).to_numpy(zero_copy_only=False) for c in (id_name, "row"))
-            for text, place, key, values in _windows(batch.column("text")):
+            for text, place, key, values, poor in _windows(batch.column("text")):
                 if wanted is not None:
-                    hit = _isin(key, wanted)
-                    text, place, key, values = text[hit], place[hit], key[hit], values[hit]
+                    one, two = _bits(key)
+                    there = lambda bits: (wanted[bits >> np.uint64(6)] >> (bits & np.uint64(63))) & np.uint64(1) > 0
+                    hit = there(one)
+                    hit[hit] = there(two[hit])
+                    text, place, key, values, poor = text[hit], place[hit], key[hit], values[hit], poor[hit]
                 for a in range(0, len(text), 100_000):
                     part, of = values[a : a + 100_000], text[a : a + 100_000]
                     slots = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * WINDOW), pa.array(part.astype(np.int64).ravel()))
-                    arrays = [pa.array(ids[of]), pa.array(rows[of]), pa.array(place[a : a + 100_000]), pa.array(key[a : a + 100_000].astype(np.int64)), slots]
-                    yield pa.RecordBatch.from_arrays(arrays, names=[id_name, "row", "place", "key", "slots"])
+                    arrays = [pa.array(ids[of]), pa.array(rows[of]), pa.array(place[a : a + 100_000]), pa.array(key[a : a + 100_000].view(np.int64)), slots, pa.array(poor[a : a + 100_000])]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[id_name, "row", "place", "key", "slots", "poor"])
 
     return run
 
 
 def _window_table(df: DataFrame, id_name: str, wanted: np.ndarray | None) -> DataFrame:
-    """Distinct rows (id, row, place, key, slots); row stands for the text."""
+    """Distinct rows (id, row, place, key, slots, poor); row stands for the text."""
     texts = df.select(id_name, F.xxhash64("text").alias("row"), "text")
-    return texts.mapInArrow(_window_rows(id_name, wanted), f"{id_name} long, row long, place long, key long, slots array<long>").distinct()
+    return texts.mapInArrow(_window_rows(id_name, wanted), f"{id_name} long, row long, place long, key long, slots array<long>, poor boolean").distinct()
 
 
 def _occurrences(pairs: DataFrame) -> DataFrame:
-    """Rows (doc_id, item_id, at, key, item_slots, slots): the hits of every group
+    """Rows (doc_id, item_id, at, key, item_slots, slots, poor): the hits of every group
     ``at`` that may be an occurrence.
 
     Groups are the hits with the same offset (place in the document less place in
@@ -184,7 +236,7 @@ def _occurrences(pairs: DataFrame) -> DataFrame:
     group = lambda kind, row, part, value: F.struct(F.lit(kind).alias("kind"), row.alias("row"), part.alias("part"), value.cast("long").alias("value"))
     row, part, offset, length = (F.col(c) for c in ("row", "item_row", "offset", "length"))
     groups = F.array(group(0, row, part, offset), group(1, row, none, F.floor(offset / length)), group(2, row, none, F.floor(offset / length + 0.5)), group(3, none, none, none))
-    best = F.max_by(F.struct("key", "item_slots", "slots"), F.struct("n", "row", "offset")).alias("b")
+    best = F.max_by(F.struct("key", "item_slots", "slots", "poor"), F.struct("n", "row", "offset")).alias("b")
     return pairs.withColumn("at", F.explode(groups)).groupBy("doc_id", "item_id", "at", "item_row", "item_place").agg(best).select("doc_id", "item_id", "at", "b.*")
 
 
@@ -193,7 +245,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text. ``coverage``
     is the share of the item's distinct windows that occur together in the
-    document, ``consistency`` the share of placeholder values there that follow
+    document, of all or of those rich in words, whichever is more; ``consistency`` the share of placeholder values there that follow
     the item's most frequent replacement (1 without placeholders). A document is
     reported if one occurrence reaches ``similarity`` in both, with the figures of
     the one that covers most. An item of fewer than five words matches only a
@@ -205,21 +257,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     docs = columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
     items = columns(benchmark, "item_id", "text").withColumn("item_id", F.col("item_id").cast("long")).where("item_id is not null")
     with running(spark):
-        known = _window_table(items, "item_id", None).select("item_id", F.col("row").alias("item_row"), F.col("place").alias("item_place"), "key", F.col("slots").alias("item_slots"))
+        known = _window_table(items, "item_id", None).select("item_id", F.col("row").alias("item_row"), F.col("place").alias("item_place"), "key", F.col("slots").alias("item_slots"), "poor")
         known = stored(known, "item_windows")
-        n = known.select("key").distinct().count()
-        wanted = None
-        if n <= MOST_SENT:
-            keys = [int(r.key) for r in known.select("key").distinct().collect()]
-            wanted = np.sort(np.array(keys, np.int64).astype(np.uint64))
-        found = stored(_window_table(docs, "doc_id", wanted), "windows")
-    sizes = known.groupBy("item_id").agg(F.countDistinct("key").alias("windows"), (F.max("item_place") + WINDOW).alias("length"))
+        found = stored(_window_table(docs, "doc_id", _filter_of(known)).drop("poor"), "windows")
+    rich = F.when(~F.col("poor"), F.col("key"))
+    sizes = known.groupBy("item_id").agg(F.countDistinct("key").alias("windows"), F.countDistinct(rich).alias("rich"), (F.max("item_place") + WINDOW).alias("length"))
+    # an item asked again covers its windows that are rich in words, a copy all of them
+    covers = F.greatest(F.col("hits") / F.col("windows"), F.coalesce(F.try_divide("rich_hits", "rich"), F.lit(0.0)))
     # a pair whose hits do not cover the item all together holds no occurrence
-    near = found.select("doc_id", "key").distinct().join(known.select("item_id", "key").distinct(), "key").groupBy("doc_id", "item_id").agg(F.count("*").alias("hits"))
-    near = near.join(sizes, "item_id").where(F.col("hits") / F.col("windows") >= similarity).select("doc_id", "item_id", "windows", "length")
+    keys = known.select("item_id", "key", "poor").distinct()
+    near = found.select("doc_id", "key").distinct().join(keys, "key").groupBy("doc_id", "item_id").agg(F.count("*").alias("hits"), F.count_if(~F.col("poor")).alias("rich_hits"))
+    near = near.join(sizes, "item_id").where(covers >= similarity).select("doc_id", "item_id", "windows", "rich", "length")
     hits = _occurrences(found.join(known, "key").join(near, ["doc_id", "item_id"]))
     one = ["doc_id", "item_id", "at"]
-    covered = hits.groupBy(*one).agg(F.countDistinct("key").alias("hits")).join(near, ["doc_id", "item_id"]).withColumn("coverage", F.col("hits") / F.col("windows"))
+    covered = hits.groupBy(*one).agg(F.countDistinct("key").alias("hits"), F.countDistinct(rich).alias("rich_hits")).join(near, ["doc_id", "item_id"]).withColumn("coverage", covers)
     covered = covered.where(F.col("coverage") >= similarity).select(*one, "coverage")
     both = F.explode(F.filter(F.arrays_zip("item_slots", "slots"), lambda s: s["item_slots"] != 0))
     values = hits.select(*one, both.alias("s")).groupBy(*one, F.col("s.item_slots").alias("old"), F.col("s.slots").alias("new")).agg(F.count("*").alias("k"))
@@ -230,6 +281,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns; rows with a
-    null doc_id stay."""
-    return docs.join(leaks(docs, benchmark, similarity).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` whose text holds no benchmark item, all columns.
+
+    Every text is judged by itself, whatever its doc_id, also without one; null
+    and empty texts hold nothing and stay.
+    """
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    held = leaks(texts, benchmark, similarity).select("doc_id").distinct()
+    return docs.alias("d").join(held.alias("h"), F.expr("xxhash64(d.text) = h.doc_id"), "left_anti")
