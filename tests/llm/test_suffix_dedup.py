@@ -38,6 +38,14 @@ def test_overlaps_periods_and_shared_passages(spark):
         assert left == b"".join(raw[a:b] for a, b in zip([0, *ends], [*begins, len(raw)], strict=True))
 
 
+def test_rows_that_share_an_id_are_cut_apart(spark):
+    """A text that recurs nowhere stays, also if another row of its id is a copy."""
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    alone, copied = text(790), text(400)
+    _check(spark.createDataFrame([(1, alone), (1, copied), (2, copied), (None, text(300)), (None, copied), (3, alone[:150] + text(200))], "doc_id long, text string"))
+
+
 def test_difference_covers():
     for period in (2, 7, 50, 100):
         cover = difference_cover(period)

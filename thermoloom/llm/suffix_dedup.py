@@ -1,25 +1,27 @@
-"""Operator 7: exact substring removal with a difference-cover suffix sort.
+"""Operator 7: exact substring removal with difference-cover samples.
 
 Every byte covered by a string of ``length`` bytes that also starts anywhere
-else is removed. Of equal texts one takes part in the distributed
-difference-cover scheme, with period ``length / 2``:
+else is removed. Of equal texts one takes part, with period ``length / 2``:
 
-1. *Sort sampled tuples.* Positions whose residue lies in a difference cover are
-   sampled. Each gets a name for its tuple of one period of bytes; names are
-   sorted and equal neighbours found. A name that stands alone is discarded.
-2. *Recurse on names.* Any two positions have a shift below the period at which
+1. *Sample.* Positions whose residue lies in a difference cover of the period are
+   sampled, about 12 of 100. Each is named by its tuple of one period of bytes,
+   and the names are sorted in shards.
+2. *Keep recurring names.* Any two positions have a shift below the period at which
    both are sampled, so a string of two periods that recurs holds a recurring
    name within its first period. Only positions with such a name go on, as
    segments of text.
-3. *Merge the remaining suffixes.* All suffixes of the segments, sampled or not,
-   are named by their first ``length`` bytes and sorted together.
-4. *Compare adjacent prefixes.* Equal neighbours mark their positions; the union
-   of the marked strings is removed.
-
-Names are 64-bit fingerprints. Their order is not that of the bytes, which does
-not matter: only equal neighbours count. In step 1 a false match costs work
-only. In step 4 it would remove bytes; for n suffixes that are left it has a
-chance of about n * n / 2**65.
+3. *Remaining suffixes.* All suffixes of the segments, sampled or not, are named by
+   their first ``length`` bytes and sorted in shards.
+4. *Compare neighbours.* Equal neighbours mark their positions; the union of the
+   marked strings is removed.
+
+This departs from a suffix sort in two ways. Names are 64-bit fingerprints and no
+ranks, so their order is not that of the bytes; only equal neighbours count here.
+And instead of recursing on the names until every suffix has a rank, step 2 drops
+what cannot recur: a rank for each of the bytes of a text would take eight bytes
+and its position eight more, sixteen times the text, before any sorting. In step 1
+a false match costs work only. In step 4 it would remove bytes; for n suffixes that
+are left it has a chance of about n * n / 2**65.
 """
 
 from __future__ import annotations
@@ -167,7 +169,7 @@ def _cut(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("kept", pa.binary()), ("begins", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
     for batch in batches:
         out = []
-        for doc, text, begins, ends, whole in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "begins", "ends", "whole")), strict=True):
+        for doc, text, begins, ends, whole in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "begins", "ends", "whole")), strict=True):
             n = len(text)
             begins, ends = ([0], [n]) if whole and n else ([min(a, n) for a in begins or []], [min(b, n) for b in ends or []])
             out.append((doc, _left(text, begins, ends), begins, ends))
@@ -204,7 +206,9 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
-    return columns(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), bytes_of().alias("text"))
+    """Rows (id, doc_id, text): the given id, and one of id and text together."""
+    rows = columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("id"), bytes_of().alias("text"))
+    return rows.select("id", F.xxhash64(F.coalesce("id", F.lit(NO_ID)), "text").alias("doc_id"), "text")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -213,14 +217,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ``docs`` needs doc_id and text; null text counts as empty, other columns are
     ignored. Texts shorter than ``length`` bytes stay whole. Repeated rows and
     equal texts of at least that length are removed entirely. Rows that share a
-    doc_id but not the text are cut alike, at the places found in any of them.
+    doc_id but not the text are different documents.
     ``kept`` is binary: a run may begin inside a UTF-8 character.
     """
     docs = _prepared(docs)
     with running(docs.sparkSession):
-        found = repeats(docs, length)
+        found = repeats(docs.drop("id"), length)
     out = docs.join(found, "doc_id", "left").mapInArrow(_cut, "doc_id long, kept binary, begins array<long>, ends array<long>")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    return out
 
 
 def removal_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -228,6 +232,6 @@ def removal_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     :func:`remove_repeats`, without the texts."""
     docs = _prepared(docs)
     with running(docs.sparkSession):
-        whole = docs.join(repeats(docs, length), "doc_id", "left")
+        whole = docs.join(repeats(docs.drop("id"), length), "doc_id", "left")
         out = stored(whole.mapInArrow(tidy(_digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "digest")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    return out
