@@ -3,7 +3,7 @@ from __future__ import annotations
 import brute
 import numpy as np
 
-from thermoloom.llm.projection_forest import near_duplicates
+from thermoloom.llm.projection_forest import fit_tree, near_duplicates
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -56,3 +56,23 @@ def test_odd_vectors(spark):
     frame = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
     assert sorted(map(tuple, near_duplicates(frame).collect()), key=repr) == _expected(rows)
     assert near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_splits_get_past_a_crowd():
+    """Nearly a third of the rows are near copies; the tree grows with the rest."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(8000, 64))
+    x[:2400] = x[0] + rng.normal(size=(2400, 64)) * 0.05
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = fit_tree(x, 16, 0.95, 3)
+    assert len(tree.cuts) > 500
+    rows, leaf, _ = tree.leaves(x)
+    others = leaf[rows >= 2400]
+    assert np.median(np.bincount(others)[others]) < 200
+
+
+def test_every_length_has_its_leaf(spark):
+    """Lengths that the bounded sample has not seen are compared too."""
+    rows = [(1000 * d + k, [float(1 + (j * k) % 3) for j in range(d)]) for d in range(1, 30) for k in range(4)]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
+    assert sorted(map(tuple, near_duplicates(frame, fit_vectors=3).collect()), key=repr) == _expected(rows)

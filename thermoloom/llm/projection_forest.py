@@ -31,6 +31,14 @@ FIT_VECTORS = 20_000
 LEAF_ROWS = 256
 BLOCK_ROWS = 2_000
 SEED = 6
+#: Directions tried for a split, and the quantiles at which each may cut.
+TRIES = 4
+SHARES = (0.5, 0.35, 0.65, 0.2, 0.8)
+#: Part of the pairs that a split may leave.
+WORTH = 0.9
+#: Levels of the routing trees, of which each has a bit in a mark of 64; the splits
+#: within a task use the upper ones.
+MOST_DEPTH = 32
 NO_ID = -(2**63)
 
 
@@ -75,28 +83,53 @@ def _spill(dimension: int, cosine: float) -> float:
     return 0.5 * float(np.sqrt((2 - 2 * cosine) / max(1, dimension)))
 
 
+def _split(x: np.ndarray, spill: float, rng: np.random.Generator) -> tuple[np.ndarray, float, np.ndarray, np.ndarray] | None:
+    """Direction, cut and both sides of the split with the fewest pairs left to
+    compare; None if none leaves clearly fewer than there were.
+
+    A first direction whose median parts the rows well is taken at once. Where a
+    crowd of near copies lies on the median, other quantiles cut beside it.
+    """
+    best = None
+    for _ in range(TRIES):
+        direction = rng.standard_normal(x.shape[1])
+        direction /= np.linalg.norm(direction)
+        at = x @ direction
+        ordered = np.sort(at)
+        for share in SHARES:
+            cut = float(ordered[int(share * (len(x) - 1))])
+            low = np.searchsorted(ordered, cut + spill, "right") / len(x)
+            high = 1 - np.searchsorted(ordered, cut - spill, "left") / len(x)
+            pairs = low * low + high * high
+            if pairs < (best[0] if best else WORTH):
+                best = pairs, direction, cut, at
+            if share == 0.5 and pairs < 0.7:
+                break
+        if best and best[0] < 0.7:
+            break
+    if best is None:
+        return None
+    _, direction, cut, at = best
+    return direction, cut, at <= cut + spill, at >= cut - spill
+
+
 def fit_tree(sample: np.ndarray, leaf_rows: int, cosine: float, seed: int) -> Tree:
     """Split until a leaf holds ``leaf_rows`` rows of the sample; a split that
     parts nobody ends a branch."""
     rng = np.random.default_rng(seed)
     spill = _spill(sample.shape[1] if sample.ndim == 2 else 1, cosine)
     directions, cuts, children, leaves = [], [], [], 0
-    todo = [(np.arange(len(sample)), None, 0)]
+    todo = [(np.arange(len(sample)), None, 0, 0)]
     while todo:
-        own, parent, side = todo.pop(0)
+        own, parent, side, depth = todo.pop(0)
         node = None
-        if len(own) > leaf_rows:
-            direction = rng.standard_normal(sample.shape[1])
-            direction /= np.linalg.norm(direction)
-            at = sample[own] @ direction
-            cut = float(np.median(at))
-            left, right = own[at <= cut + spill], own[at >= cut - spill]
-            if max(len(left), len(right)) < 0.9 * len(own):
-                node = len(cuts)
-                directions.append(direction)
-                cuts.append(cut)
-                children.append([0, 0])
-                todo += [(left, node, 0), (right, node, 1)]
+        if len(own) > leaf_rows and depth < MOST_DEPTH and (found := _split(sample[own], spill, rng)):
+            direction, cut, low, high = found
+            node = len(cuts)
+            directions.append(direction)
+            cuts.append(cut)
+            children.append([0, 0])
+            todo += [(own[low], node, 0, depth + 1), (own[high], node, 1, depth + 1)]
         if node is None:
             node, leaves = -1 - leaves, leaves + 1
         if parent is not None:
@@ -118,13 +151,15 @@ def _vectors(column: pa.Array) -> np.ndarray:
 def _route(trees: dict[int, list[Tree]]):
     schema = pa.schema([("leaf", pa.int64()), ("node", pa.int64()), ("left", pa.int64()), ("unit", pa.list_(pa.float64()))])
 
+    one_leaf = Tree(np.zeros((0, 1)), np.zeros(0), np.zeros((0, 2), np.int64), 0.0)
+
     def run(batches):
         for batch in batches:
             sizes = np.diff(batch.column("embedding").offsets.to_numpy())
             for d in np.unique(sizes):
                 own = batch.filter(pa.array(sizes == d))
                 node, x = own.column("node").to_numpy(), _unit(_vectors(own.column("embedding")))
-                for t, tree in enumerate(trees.get(int(d), [])):
+                for t, tree in enumerate(trees.get(int(d), [one_leaf])):
                     rows, leaf, left = tree.leaves(x)
                     for a in range(0, len(rows), 5000):
                         part = x[rows[a : a + 5000]]
@@ -145,13 +180,9 @@ def near_pairs(x: np.ndarray, left: np.ndarray, first: np.ndarray, cosine: float
     """
     both = first.all()
     if len(x) > LEAF_ROWS and depth < 30:
-        rng = np.random.default_rng((seed, depth))
-        direction = rng.standard_normal(x.shape[1])
-        direction /= np.linalg.norm(direction)
-        at = x @ direction
-        cut, spill = np.median(at), _spill(x.shape[1], cosine)
-        low, high = at <= cut + spill, at >= cut - spill
-        if max(low.sum(), high.sum()) < 0.9 * len(x):
+        parted = _split(x, _spill(x.shape[1], cosine), np.random.default_rng((seed % (1 << 63), depth)))
+        if parted:
+            _, _, low, high = parted
             found = [np.zeros((0, 2), np.int64)]
             for k, (part, mark) in enumerate(((low, left), (high, left | low.astype(np.int64) << (62 - depth)))):
                 own = np.flatnonzero(part)
@@ -213,10 +244,6 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, fit_vectors: int
     with running(spark):
         classes = stored(rows.where("node is not null").groupBy("node").agg(F.first("embedding").alias("embedding"), F.min(F.when(F.col("vec_id") != NO_ID, F.col("vec_id"))).alias("label"), F.count("*").alias("k")), "classes")
         trees = _dimensions(classes, cosine, fit_vectors)
-        seen = F.array(*[F.lit(d) for d in trees]).cast("array<int>")
-        flat = Tree(np.zeros((0, 1)), np.zeros(0), np.zeros((0, 2), np.int64), 0.0)
-        others = [r.d for r in classes.select(F.size("embedding").alias("d")).distinct().where(~F.array_contains(seen, F.col("d"))).limit(100_000).collect()]
-        trees |= {d: [flat] for d in others}
         routed = stored(classes.select("node", "embedding").mapInArrow(_route(trees), "leaf long, node long, left long, unit array<double>"), "leaves")
         blocks = routed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
         dealt = routed.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
