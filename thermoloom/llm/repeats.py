@@ -175,11 +175,11 @@ def repeated(df: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[Entries
                 if not r["settled"]:
                     waiting.append(r)
                 if size > most:
-                    yield from _by_group(found, buckets)
+                    yield from _by_group(found, n)
                     found, size = [], 0
         if waiting:
             found.append(settle())
-        yield from _by_group(found, buckets)
+        yield from _by_group(found, n)
 
     def gather(batches):
         bucket, parts = None, []
