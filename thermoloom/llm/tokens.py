@@ -19,13 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import columns, partitions
+from .common import columns, partitions, tidy
 from .elias_fano import Block, write_block
 
 END_ID = 1
 BLOCK_IDS = 1_000_000
 #: Words kept per worker; beyond that the memo starts afresh.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 200_000
 
 TOKEN_FILE = "shard int, block int, n_docs int, n_ids long, data binary"
 _TOKEN_FILE = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("data", pa.binary())])
@@ -129,7 +129,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     rows = columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n = partitions(docs.sparkSession)
     ordered = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    ordered.mapInArrow(_blocks(tokenizer, end_id), TOKEN_FILE).write.mode("overwrite").parquet(path)
+    ordered.mapInArrow(tidy(_blocks(tokenizer, end_id)), TOKEN_FILE).write.mode("overwrite").parquet(path)
 
 
 def _documents(batches):
@@ -151,7 +151,7 @@ def token_documents(spark: SparkSession, path: str) -> DataFrame:
     task sees more than one row per shard or the blocks of one shard.
     """
     files = spark.read.parquet(path)
-    found = files.mapInArrow(_documents, "shard int, block int, place int, doc_id long, offset long, n_tokens long, ids_crc32 long")
+    found = files.mapInArrow(tidy(_documents), "shard int, block int, place int, doc_id long, offset long, n_tokens long, ids_crc32 long")
     sizes = files.select("shard", "block", "n_ids")
     shards = sizes.groupBy("shard").agg(F.sum("n_ids").alias("ids")).select("shard", (F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")).alias("shard_start"))
     before = F.sum("n_ids").over(Window.partitionBy("shard").orderBy("block")) - F.col("n_ids")
