@@ -1,8 +1,11 @@
 """Operator 4: secret scan with a random forest that removes false positives.
 
-Any long run of token characters is a candidate. A forest trained on labelled
-findings scores it from its length, its character transitions, the share of it
-that dictionary words cover, path-like marks, and the words beside it.
+Any run of 16 token characters is a candidate, and of 8 if it has a digit or is
+assigned to a word that announces a secret. A forest trained on labelled findings
+scores it from its length, its character transitions, the share of it that
+dictionary words cover, path-like marks, and the words beside it. Where rules stand
+in for labels, the forest does without the features by which the rules decide, so
+that it judges the value itself and can overrule them.
 DataFrame functions and Spark's own forest only.
 """
 
@@ -13,12 +16,16 @@ from pyspark.sql import functions as F
 
 from .common import columns, running, stored
 
-CANDIDATE = r"[A-Za-z0-9+/=_.-]{16,}"
+_TOKEN = "[A-Za-z0-9+/=_.-]"
+CANDIDATE = (
+    rf"{_TOKEN}{{16,}}|(?<!{_TOKEN})(?=[A-Za-z+/=_.-]{{0,15}}[0-9]){_TOKEN}{{8,15}}"
+    r'''|(?<=(?:[Pp]assw(?:or)?d|PASSWORD|pwd|PWD|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Kk]ey|KEY)["']?\s{0,2}[:=]\s{0,2}["']?)[A-Za-z0-9+/=_.!@#$%^&*-]{8,15}'''
+)
 #: The forest is fitted on so many findings at most, chosen by a hash.
 FIT_FINDINGS = 20_000
 TREES, DEPTH, SEED = 40, 8, 4
-#: A dictionary word has so many letters and occurs so often in the corpus.
-WORD_LETTERS, WORD_COUNT = (4, 15), 20
+#: A dictionary word has so many letters and stands so often in the corpus by itself.
+WORD_LETTERS, WORD_COUNT = (4, 15), 5
 THRESHOLD = 0.5
 
 #: Words that announce a secret, and values that are only samples.
@@ -29,6 +36,8 @@ NAMES = (
     "log_length", "digit_share", "upper_share", "letter_runs", "class_changes", "case_changes", "hex_only", "letters_only", "digits_only", "distinct_share",
     "likelihood", "dictionary", "slashes", "dots", "dashes", "file_end", "prefix", "sample", "keyword", "assigned", "quoted", "url_before", "at_before",
 )
+#: Features by which :func:`rule_findings` decides.
+OF_RULES = ("prefix", "sample", "keyword", "assigned", "quoted", "file_end", "letters_only", "digits_only")
 _LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
 
 
@@ -77,8 +86,10 @@ def with_features(found: DataFrame, dictionary: DataFrame, weights: dict[str, fl
     distinct = found.select("value").distinct()
     pieces = distinct.select("value", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{4,}"), F.lit(0))).alias("word"))
     covered = pieces.join(dictionary, "word").groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
-    table = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map().cast("map<string,double>")
-    likely = F.aggregate(_pairs(value), F.lit(0.0), lambda a, p: a + F.coalesce(F.try_element_at(table, p), F.lit(0.0)))
+    # one row of an array for each first letter, so that a pair is found by its place
+    table = F.array(*[F.lit(weights.get(a + b, 0.0)) for a in _LETTERS for b in _LETTERS])
+    at = lambda c: F.instr(F.lit(_LETTERS), c) - 1
+    likely = F.aggregate(_pairs(value), F.lit(0.0), lambda a, p: a + F.get(table, at(F.left(p, F.lit(1))) * len(_LETTERS) + at(F.right(p, F.lit(1)))))
     is_ = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     key = "(?:" + "|".join(KEYWORDS) + ")"
     features = {
@@ -95,7 +106,7 @@ def with_features(found: DataFrame, dictionary: DataFrame, weights: dict[str, fl
 
 
 def corpus_dictionary(docs: DataFrame) -> DataFrame:
-    """Rows (word): plain words that occur often in the corpus."""
+    """Rows (word): plain words that occur often in the corpus as words of their own."""
     low, high = WORD_LETTERS
     words = columns(docs, "text").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(rf"(?<![\p{{L}}0-9])[a-z]{{{low},{high}}}(?![\p{{L}}0-9])"), F.lit(0))).alias("word"))
     return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= WORD_COUNT).select("word")
@@ -135,7 +146,8 @@ def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, fit_finding
         sample = stored(per[0].unionByName(per[1]), "findings")
         dictionary = stored(corpus_dictionary(docs), "dictionary")
         weights = transition_weights(sample)
-        vectors = VectorAssembler(inputCols=list(NAMES), outputCol="features")
+        used = [n for n in NAMES if findings is not None or n not in OF_RULES]
+        vectors = VectorAssembler(inputCols=used, outputCol="features")
         featured = stored(with_features(found, dictionary, weights), "featured")
         labels = [r.label for r in sample.select("label").distinct().collect()]
         if len(labels) == 2:
