@@ -200,3 +200,15 @@ def test_an_out_only_source_is_refused_or_listed(spark, tmp_path):
     left = jobs.train_and_store(readings, str(tmp_path / "m"), DS, strict=False)
     assert [tuple(r) for r in left.collect()] == [("b", "Out", "no indoor readings")]
     assert {r.source for r in read_model(spark, str(tmp_path / "m")).collect()} == {"c"}
+
+
+def test_a_batch_without_any_usable_upload(spark, tmp_path):
+    _upload(tmp_path / "landing", "b", "out.csv", [r for r in _year() if r.endswith("Out")])
+    uploads = _folders(tmp_path)
+    job = ingest.TrainingJob(str(tmp_path / "archive"), str(tmp_path / "records"), uploads, models=str(tmp_path / "models"), ds=DS)
+    ingest.follow(uploads, spark, job, str(tmp_path / "checkpoint"), once=True)
+    assert read_model(spark, job.models, DS).count() == 0
+    _upload(tmp_path / "landing", "b", "header.csv", _year(), "a,b,c,d,e")
+    ingest.follow(uploads, spark, job, str(tmp_path / "checkpoint"), once=True)
+    assert [f[5] for f in _fate(spark, tmp_path)] == ["its header is another", "no indoor readings"]
+    assert _names(tmp_path / "landing") == _names(tmp_path / "inbox") == []
