@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import columns, running, stored
+from .common import columns, running, stored, tidy
 from .hashing import BASE, FOLDED_VALUES, buffers, chunks, mix, prefix_sums, substring_hashes
 
 WINDOW = 5
@@ -217,7 +217,7 @@ def _window_rows(id_name: str, wanted: np.ndarray | None):
 def _window_table(df: DataFrame, id_name: str, wanted: np.ndarray | None) -> DataFrame:
     """Distinct rows (id, row, place, key, slots, poor); row stands for the text."""
     texts = df.select(id_name, F.xxhash64("text").alias("row"), "text")
-    return texts.mapInArrow(_window_rows(id_name, wanted), f"{id_name} long, row long, place long, key long, slots array<long>, poor boolean").distinct()
+    return texts.mapInArrow(tidy(_window_rows(id_name, wanted)), f"{id_name} long, row long, place long, key long, slots array<long>, poor boolean").distinct()
 
 
 def _occurrences(pairs: DataFrame) -> DataFrame:
