@@ -52,3 +52,62 @@ def test_given_tables_come_near_their_targets(spark):
 
 def test_no_documents(empty):
     assert mix_plan(empty).count() == 0 and mix(empty).count() == 0
+
+
+def _taken_by_hand(rows, weights):
+    """Words taken of (key, source, size) rows, by laying blocks end to end and
+    walking the schedule slot by slot. ``rows`` are in the order of their keys."""
+    from decimal import Decimal, getcontext
+
+    getcontext().prec = 50
+    golden = (Decimal(5).sqrt() - 1) / 2
+    sizes = defaultdict(int)
+    for _, source, size in rows:
+        sizes[source] += size
+    order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    target = brute.targets(dict(sizes), weights)
+    blocks = {s: max(-(-sizes[s] // 1024), min(sizes[s], 256)) for s in order}
+    slots = {s: target[s] * blocks[s] / sizes[s] if sizes[s] else 0.0 for s in order}
+    total = sum(slots.values())
+    uses, rank = defaultdict(int), defaultdict(int)
+    for s in range(round(total)):
+        u, low = float((Decimal(s) + Decimal("0.5")) * golden % 1), 0.0
+        for source in order:
+            low += slots[source] / total
+            if u < low or source == order[-1]:
+                uses[source, rank[source] % blocks[source]] += rank[source] // blocks[source] < 3
+                rank[source] += 1
+                break
+    # a word's block: the first ones hold one word more
+    at, out = defaultdict(int), []
+    for _, source, size in rows:
+        q, rest = divmod(sizes[source], blocks[source]) if blocks[source] else (0, 0)
+        words = 0
+        for w in range(at[source], at[source] + size):
+            words += uses[source, w // (q + 1) if w < rest * (q + 1) else rest + (w - rest * (q + 1)) // q]
+        at[source] += size
+        out.append(words)
+    return out
+
+
+def test_taken_words_against_a_walk_of_the_schedule(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    keyed = docs.selectExpr("doc_id", "source", "text", "xxhash64(doc_id, 9) AS key").collect()
+    # buckets go by the upper bits as an unsigned number, keys within one as signed ones
+    rows = sorted(keyed, key=lambda r: (r.key % 2**64, r.doc_id))
+    want = dict(zip([r.doc_id for r in rows], _taken_by_hand([(r.key, r.source, _words(r.text)) for r in rows], (1, 2, 3)), strict=True))
+    got = {r.doc_id: r.taken for r in mix_plan(docs).collect()}
+    differ = [d for d in want if got[d] != want[d]]
+    assert len(differ) <= 0.01 * len(want), differ[:5]
+    assert sum(got.values()) == pytest.approx(sum(want.values()), rel=1e-3)
+
+
+def test_copies_come_near_the_targets(spark, odd):
+    """Whole documents by their first block: near the targets where sources have many documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    target = {r.source: r.target for r in mix_plan(docs).select("source", "target").distinct().collect()}
+    words = defaultdict(int)
+    for r in mix(docs).collect():
+        words[r.source] += _words(r.text)
+    assert sum(words.values()) == pytest.approx(sum(target.values()), rel=0.1)
+    assert {r.doc_id for r in mix(odd).where("text is null or trim(text) = ''").collect()} == set()

@@ -54,3 +54,22 @@ def test_stages_against_brute_force(spark):
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and {"doc_id", "start", "n_tokens", "ids_crc32"} <= set(rows[0].asDict())
+
+
+def test_stages_take_odd_and_empty_tables(spark, odd, empty, tmp_path):
+    """Nulls in every column, blank and long texts, repeats, extra columns; tables without rows."""
+    labels = "doc_id long, quality int, toxic int"
+    rows = [(k, k % 2, 0) for k in range(12)] + [(None, 1, None), (3, 0, 1), (400, 1, 0), (5, None, 0)]
+    for name, docs, known in (("odd", odd, rows), ("none", empty, []), ("unlabelled", odd, [])):
+        folder = tmp_path / name
+        docs.write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame(known, labels).write.parquet(str(folder / "labels.parquet"))
+        items = [(1, "one item of the benchmark that nobody holds"), (None, "x"), (2, None), (3, "")] if known else []
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(str(folder / "benchmark.parquet"))
+        for stage, (step, run) in enumerate(corpus_pipeline.STAGES):
+            out = stored(run(spark, docs, str(folder)), step)
+            if stage < 4:
+                assert out.columns == docs.columns
+                docs = out
+            assert out.count() <= 3 * max(docs.count(), 1)
+        assert corpus_pipeline.run(spark, str(folder)).count() == out.count()

@@ -145,7 +145,10 @@ def mix(docs: DataFrame) -> DataFrame:
     """``docs``, each row as often as the schedule takes the block it begins in.
 
     Needs doc_id, source and text and keeps all columns. Rows that agree in
-    doc_id, source and size share their copies, rounded up.
+    doc_id, source and size share their copies, rounded up. Null, empty and blank
+    texts are never taken; a null source is a source of its own. Whole documents
+    go by the block of their first word, so a source's words come near its target
+    where it has many documents; :func:`mix_plan` counts by the word.
     """
     plan = mix_plan(docs).groupBy("doc_id", "source", "size").agg(F.ceil(F.sum("copies") / F.count("*")).alias("copies")).where("copies > 0")
     plan = plan.select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies"))
