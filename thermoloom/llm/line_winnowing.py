@@ -34,6 +34,12 @@ _WORD = rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+"
 _WINDOWS = "ARRAY<STRUCT<i: INT, width: INT, whole: BOOLEAN>>"
 
 
+def _let(name: str, value: str, then: str) -> str:
+    """``then`` with a name for a value that is worked out once. A column would be
+    put in place of its name, and so worked out for every element of a lambda."""
+    return f"transform(array({value}), {name} -> {then})[0]"
+
+
 def _full(text: str) -> str:
     """Trimmed lines without blank ones."""
     return f"filter(transform(split({text}, '\\n'), x -> trim(x)), x -> x <> '')"
@@ -114,14 +120,14 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = Non
     with running(docs.sparkSession):
         gone = repeated_lines(docs, run, words)
     few = f"regexp_count(array_join(slice(l.full, r.i, r.width), ' '), '{_WORD}') > {words}".replace("\\", "\\\\") if words is not None else "false"
-    lines = docs.join(gone.hint("merge"), "row", "left").select("doc_id", "text", "runs")
-    # lines as they stand, and which of them are not blank
-    changed = lines.withColumn("l", F.expr(f"IF(runs IS NULL, NULL, struct(split(text, '\\n') AS each, {_full('text')} AS full))"))
-    changed = changed.withColumn("good", F.expr(f"filter(runs, r -> r.width = {run} OR r.whole OR {few})"))
-    changed = changed.withColumn("gone", F.expr("array_distinct(flatten(transform(good, r -> sequence(r.i, r.i + r.width - 1))))"))
+    # lines as they stand and without blank ones; numbers of lines to delete; where those stand
+    gone_ = f"array_distinct(flatten(transform(filter(runs, r -> r.width = {run} OR r.whole OR {few}), r -> sequence(r.i, r.i + r.width - 1))))"
     places = "filter(transform(l.each, (x, k) -> IF(trim(x) = '', -1, k)), k -> k >= 0)"
-    changed = changed.withColumn("at", F.expr(f"IF(size(gone) > 0, {places}, NULL)"))
-    changed = changed.withColumn("at", F.expr("transform(gone, g -> at[g - 1])"))
-    cut = F.expr("IF(size(gone) > 0, array_join(filter(l.each, (x, k) -> NOT array_contains(at, k)), '\\n'), text)")
+    left = "array_join(filter(l.each, (x, k) -> NOT array_contains(at, k)), '\\n')"
+    cut = f"IF(size(gone) = 0, text, {_let('p', places, _let('at', 'transform(gone, g -> p[g - 1])', left))})"
+    whole = _let("l", f"struct(split(text, '\\n') AS each, {_full('text')} AS full)", _let("gone", gone_, f"struct({cut} AS text, size(gone) AS n)"))
+    lines = docs.join(gone.hint("merge"), "row", "left")
+    changed = lines.select("doc_id", "text", F.expr(f"IF(runs IS NULL, NULL, {whole})").alias("new"))
+    cut = F.when(F.col("new").isNull(), F.col("text")).otherwise(F.col("new.text"))
     n = F.expr("IF(text IS NULL, 0, size(split(text, '\\n')))")
-    return changed.select("doc_id", cut.alias("text"), n.alias("n_lines"), F.expr("coalesce(size(gone), 0)").alias("n_removed"))
+    return changed.select("doc_id", cut.alias("text"), n.alias("n_lines"), F.coalesce("new.n", F.lit(0)).alias("n_removed"))
