@@ -19,7 +19,8 @@ from .common import columns, running, stored
 _TOKEN = "[A-Za-z0-9+/=_.-]"
 CANDIDATE = (
     rf"{_TOKEN}{{16,}}|(?<!{_TOKEN})(?=[A-Za-z+/=_.-]{{0,15}}[0-9]){_TOKEN}{{8,15}}"
-    r'''|(?<=(?:[Pp]assw(?:or)?d|PASSWORD|pwd|PWD|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Kk]ey|KEY)["']?\s{0,2}[:=]\s{0,2}["']?)[A-Za-z0-9+/=_.!@#$%^&*-]{8,15}'''
+    # two cheap looks back before the long one, which they follow from
+    r'''|(?<=[:=\s"'])(?<=[:=][\s"']{0,4})(?<=(?:[Pp]assw(?:or)?d|PASSWORD|pwd|PWD|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Kk]ey|KEY)["']?\s{0,2}[:=]\s{0,2}["']?)[A-Za-z0-9+/=_.!@#$%^&*-]{8,15}'''
 )
 #: The forest is fitted on so many findings at most, chosen by a hash.
 FIT_FINDINGS = 20_000
