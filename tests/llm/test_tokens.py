@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import itertools
 import zlib
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -51,6 +53,25 @@ def test_special_tokens_and_marks():
         assert np.frombuffer(ENCODER.encode(text), "<u2").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_frequent_words_are_worked_out_once():
+    asked = Counter()
+
+    class Counting(WordEncoder):
+        def word(self, word):
+            asked[word] += 1
+            return super().word(word)
+
+    encoder, rare = Counting(tokenizer_file()), map("".join, itertools.product("abcdefghijkl", repeat=5))
+    while part := list(itertools.islice(rare, 1000)):
+        encoder.encode(" ".join(["the", *part, "The", "the,"]))
+    assert len(asked) > 200_000
+    assert {asked[w] for w in (b"the", b"The", b"the,")} == {1}
+    for memo in (encoder.memo, encoder.stems):
+        assert len(memo) <= memo.most and len(memo.old) <= memo.most
+    encoder.encode("x" * 10_000)
+    assert max(map(len, [*encoder.memo, *encoder.stems])) <= 100
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(0, 3000), min_size=1, max_size=700), st.sampled_from([2, 4]))
 def test_block_boundaries(sizes, item):

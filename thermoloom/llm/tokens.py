@@ -10,8 +10,11 @@ place in the whole id sequence, and a checksum.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
+from collections.abc import Callable
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +27,39 @@ from .elias_fano import Block, write_block
 
 END_ID = 1
 BLOCK_IDS = 1_000_000
-#: Words kept per worker; beyond that the memo starts afresh.
-MEMO_WORDS = 200_000
+#: Words, and stems of words, that a worker keeps in each of two generations.
+MEMO_WORDS, MEMO_STEMS = 60_000, 200_000
+#: Longer words are rare, so they are not kept.
+MEMO_BYTES = 100
 
 TOKEN_FILE = "shard int, block int, n_docs int, n_ids long, data binary"
 _TOKEN_FILE = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("data", pa.binary())])
 
 #: Latin letters, then punctuation that the tokenizer splits off as one piece.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|&%$#*]*)")
+_ID = attrgetter("id")
+
+
+class Memo(dict):
+    """Ids by word, worked out when a word is first asked for.
+
+    Once ``most`` words are held they become the old generation, and the one
+    before goes: a word asked for again and again stays, one that came once goes.
+    """
+
+    def __init__(self, work: Callable[[bytes], bytes], most: int):
+        super().__init__()
+        self.work, self.most, self.old = work, most, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        if (ids := self.old.get(word)) is None:
+            ids = self.work(word)
+        if len(word) <= MEMO_BYTES:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
 
 
 class WordEncoder:
@@ -48,45 +76,31 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.item = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.memo: dict[bytes, bytes] = {}
+        self.memo, self.stems = Memo(self.word, MEMO_WORDS), Memo(self.stem, MEMO_STEMS)
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in visible]
         to = {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
         self.letters = "".join(to[b] for b in range(256))
 
     def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, f"<u{self.item}").tobytes()
+        return struct.pack(f"<{len(ids)}{'H' if self.item == 2 else 'I'}", *ids)
 
-    def _piece(self, piece: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+    def stem(self, piece: bytes) -> bytes:
+        """Ids of a piece that the tokenizer's model takes whole."""
+        # visible ASCII stands for itself
+        text = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.letters)
+        return self.packed(list(map(_ID, self.tokenizer.model.tokenize(text))))
 
     def word(self, word: bytes) -> bytes:
         text = word.decode()
         plain = _PLAIN.fullmatch(text)
         if not plain:
             return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        core, marks = plain[1].lower(), plain[2]
-        key = core.encode()
-        if (ids := self.memo.get(key)) is None:
-            ids = self.memo[key] = self.packed(self._piece(core))
-        if marks:
-            key = marks.encode()
-            if (more := self.memo.get(key)) is None:
-                more = self.memo[key] = self.packed(self._piece(marks))
-            ids += more
-        return ids
+        ids = self.stems[plain[1].lower().encode()]
+        return ids + self.stems[plain[2].encode()] if plain[2] else ids
 
     def encode(self, text: str) -> bytes:
-        words = text.encode().split()
-        try:
-            return b"".join(map(self.memo.__getitem__, words))
-        except KeyError:
-            if len(self.memo) > MEMO_WORDS:
-                self.memo.clear()
-            for word in set(words):
-                if word not in self.memo:
-                    self.memo[word] = self.word(word)
-            return b"".join(map(self.memo.__getitem__, words))
+        return b"".join(map(self.memo.__getitem__, text.encode().split()))
 
 
 @lru_cache(maxsize=2)
